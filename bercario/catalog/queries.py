@@ -24,13 +24,7 @@ from bercario.operators.cleaning import (
 from bercario.operators.sampling import sample_exact
 from bercario.operators.sinks import write_table
 from bercario.plans import reports, star
-from bercario.plans.warehouse import (
-    build_warehouse,
-    read_warehouse,
-    silver_path,
-    table_path,
-    write_silver,
-)
+from bercario.plans.warehouse import build_warehouse, read_warehouse, silver_path, write_silver
 from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS, RECORD_KEY, STAR
 from bercario.sources import adapter
 from bercario.sources.delimited import (
@@ -82,21 +76,12 @@ def _job_labels(spark: SparkSession, folder: str) -> DataFrame:
     return star.occupation_labels(_occupations(spark, folder))
 
 
-def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return star.star_tables(
-        _births(spark, folder), _municipalities(spark, folder), _occupations(spark, folder)
-    )
-
-
-def _stored_warehouse(spark: SparkSession, folder: str, **options) -> str:
+def _stored_warehouse(spark: SparkSession, folder: str, runs: int = 1, **options) -> str:
     root = scratch_path(spark, "warehouse")
-    build_warehouse(
-        adapter.raw_births(spark, folder),
-        _municipalities(spark, folder),
-        _occupations(spark, folder),
-        root,
-        **options,
-    )
+    raw = adapter.raw_births(spark, folder)
+    cities, jobs = _municipalities(spark, folder), _occupations(spark, folder)
+    for _ in range(runs):
+        build_warehouse(raw, cities, jobs, root, **options)
     return root
 
 
@@ -200,17 +185,17 @@ def births_wide_from_star(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orphan_municipality(spark: SparkSession, folder: str) -> DataFrame:
-    cities = dim_municipio(spark, folder)
+    cities = _city_labels(spark, folder)
     return orphans(_fact(spark, folder), "id_codmunnasc", cities, "id_codmunicipionasc")
 
 
 def orphan_occupation(spark: SparkSession, folder: str) -> DataFrame:
     mothers = star.dim_mae(_births(spark, folder))
-    return orphans(mothers, "id_codocupmae", dim_profissao(spark, folder), "id_ocupmae")
+    return orphans(mothers, "id_codocupmae", _job_labels(spark, folder), "id_ocupmae")
 
 
 def dimension_key_check(spark: SparkSession, folder: str) -> DataFrame:
-    return key_summary(_star(spark, folder))
+    return key_summary(read_warehouse(spark, _stored_warehouse(spark, folder)))
 
 
 # Writes ------------------------------------------------------------------------------------
@@ -238,10 +223,7 @@ def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 def warehouse_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The eight stored tables after a repeated run that adds new rows only."""
-    root = _stored_warehouse(spark, folder, mode="append_new_only")
-    for name, df in _star(spark, folder).items():
-        write_table(df, table_path(root, name), mode="append_new_only", key=df.columns[0])
-    stored = read_warehouse(spark, root)
+    stored = read_warehouse(spark, _stored_warehouse(spark, folder, 2, mode="append_new_only"))
     sizes = [
         stored[name].agg(
             F.lit(name).alias("tabela"),

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Dates are written ddMMyyyy as a number, so the day may have lost its leading zero.
-_SHORTEST_DATE, _LONGEST_DATE = 1_000_000, 99_999_999
-
-
 def whole_number(value: Column, dtype: T.DataType) -> Column:
     """``value`` as BIGINT, cut toward zero; NULL where it is no number.
 
@@ -25,15 +23,26 @@ def whole_number(value: Column, dtype: T.DataType) -> Column:
 def compact_date(code: Column) -> Column:
     """DATE of a ddMMyyyy number with 7 or 8 digits; NULL where there is no such day.
 
-    Integer arithmetic instead of a date pattern: no text is built or parsed per row. Each
-    part is checked before ``make_date`` sees it, so this never fails under ANSI mode.
+    The leading zero of the day may be lost. Padded to nine digits, the text starts with 0 just
+    when the number is not too long, and a number that is too short has day 00. The era rules out
+    year 0000. The expression uses ``code`` once: it ends up inside filters, where Spark would
+    compute each use anew.
     """
-    day = F.pmod(F.floor(code / 1_000_000), F.lit(100)).cast("int")
-    month = F.pmod(F.floor(code / 10_000), F.lit(100)).cast("int")
-    year = F.pmod(code, F.lit(10_000)).cast("int")
-    last_day = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
-    in_calendar = code.between(_SHORTEST_DATE, _LONGEST_DATE) & (year >= 1) & month.between(1, 12)
-    return F.when(in_calendar, F.when(day.between(F.lit(1), last_day), F.make_date(year, month, day)))
+    text = F.concat(F.lit("AD"), F.lpad(code.cast("string"), 9, "0"))
+    return F.try_to_date(text, "G'0'ddMMyyyy")
+
+
+def date_in_range(date: Column, first: str, end: str) -> Column:
+    """True from ``first`` up to, not including, ``end``; uses ``date`` once, as above.
+
+    Days past the first, divided by the length of the range, are at least 0 and below 1.
+    """
+    start, length = datetime.date.fromisoformat(first), _days(first, end)
+    return F.floor(F.date_diff(date, F.lit(start)) / length) == 0
+
+
+def _days(first: str, end: str) -> int:
+    return (datetime.date.fromisoformat(end) - datetime.date.fromisoformat(first)).days
 
 
 def stripped_date_text(date: Column) -> Column:

@@ -11,8 +11,9 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bercario.functions.expressions import compact_date, whole_number
+from bercario.functions.expressions import compact_date, date_in_range, whole_number
 from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS
 
 # Mothers are born in [first, end), and have at most this many children.
@@ -35,33 +36,31 @@ def _parsed(raw: DataFrame) -> dict[str, Column]:
 
 
 def _or_fail(parsed: Column, name: str) -> Column:
-    """``parsed``, or an error that names column and value if a present value was unreadable."""
-    text = F.col(name).cast("string")
-    problem = F.raise_error(F.concat(F.lit(f"unreadable {name}: "), text))
-    return F.when(parsed.isNull() & text.isNotNull(), problem).otherwise(parsed)
+    """``parsed``, or an error that names column and value if the value was unreadable."""
+    value = F.col(name).cast("string")
+    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"unreadable {name}: "), value)))
 
 
-def parse_columns(raw: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
-    """``raw`` with the named columns as BIGINT or DATE.
+def parse_columns(complete: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
+    """Complete rows with the named columns as BIGINT or DATE.
 
     An unreadable value ends the job when strict, under any ANSI setting; otherwise it is NULL.
     Columns that are stored as numbers already need no check.
     """
-    parsed = _parsed(raw)
+    parsed = _parsed(complete)
+    types = {field.name: field.dataType for field in complete.schema}
 
     def checked(name: str) -> Column:
-        trusted = raw.schema[name].dataType.typeName() == "long" and name not in DATE_COLUMNS
+        trusted = isinstance(types[name], T.IntegralType) and name not in DATE_COLUMNS
         return parsed[name] if trusted or not strict else _or_fail(parsed[name], name)
 
-    return raw.withColumns({name: checked(name) for name in columns})
+    return complete.withColumns({name: checked(name) for name in columns})
 
 
 def plausible_births(df: DataFrame) -> DataFrame:
     """Rows whose mother's birth date and child counts are in range (on parsed columns)."""
-    born = F.col("DTNASCMAE")
     return df.filter(
-        (born >= F.lit(MOTHER_BORN_FROM).cast("date"))
-        & (born < F.lit(MOTHER_BORN_BEFORE).cast("date"))
+        date_in_range(F.col("DTNASCMAE"), MOTHER_BORN_FROM, MOTHER_BORN_BEFORE)
         & (F.col("QTDFILVIVO") <= MOST_CHILDREN)
         & (F.col("QTDFILMORT") <= MOST_CHILDREN)
     )
