@@ -31,30 +31,33 @@ def complete_rows(raw: DataFrame) -> DataFrame:
 
 def _parsed(raw: DataFrame) -> dict[str, Column]:
     """Typed expression of every birth column; NULL where the text cannot be read."""
-    numbers = {name: whole_number(F.col(name), raw.schema[name].dataType) for name in BIRTH_COLUMNS}
+    types = {field.name: field.dataType for field in raw.schema}
+    numbers = {name: whole_number(F.col(name), types[name]) for name in BIRTH_COLUMNS}
     return numbers | {name: compact_date(numbers[name]) for name in DATE_COLUMNS}
 
 
+def _doubtful(raw: DataFrame) -> list[str]:
+    """Columns that may hold an unreadable value: dates, and codes not stored as whole numbers."""
+    whole = {field.name for field in raw.schema if isinstance(field.dataType, T.IntegralType)}
+    return [name for name in BIRTH_COLUMNS if name in DATE_COLUMNS or name not in whole]
+
+
 def _or_fail(parsed: Column, name: str) -> Column:
     """``parsed``, or an error that names column and value if the value was unreadable."""
     value = F.col(name).cast("string")
     return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"unreadable {name}: "), value)))
 
 
-def parse_columns(complete: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
-    """Complete rows with the named columns as BIGINT or DATE.
+def parse_columns(df: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
+    """``df`` with the named columns as BIGINT or DATE.
 
-    An unreadable value ends the job when strict, under any ANSI setting; otherwise it is NULL.
-    Columns that are stored as numbers already need no check.
+    When strict, rows must be complete, and an unreadable value ends the job under any ANSI
+    setting; otherwise it is NULL.
     """
-    parsed = _parsed(complete)
-    types = {field.name: field.dataType for field in complete.schema}
-
-    def checked(name: str) -> Column:
-        trusted = isinstance(types[name], T.IntegralType) and name not in DATE_COLUMNS
-        return parsed[name] if trusted or not strict else _or_fail(parsed[name], name)
-
-    return complete.withColumns({name: checked(name) for name in columns})
+    parsed = _parsed(df)
+    if strict:
+        parsed |= {name: _or_fail(parsed[name], name) for name in _doubtful(df)}
+    return df.withColumns({name: parsed[name] for name in columns})
 
 
 def plausible_births(df: DataFrame) -> DataFrame:
@@ -72,18 +75,19 @@ def clean_births(raw: DataFrame, strict: bool = True) -> DataFrame:
     When not strict, rows that cannot be read are left out here and returned by
     ``rejected_births``.
     """
-    complete = complete_rows(raw)
     if strict:
-        parsed = parse_columns(complete, BIRTH_COLUMNS)
+        parsed = parse_columns(complete_rows(raw), BIRTH_COLUMNS)
     else:
-        parsed = complete_rows(parse_columns(complete, BIRTH_COLUMNS, strict=False))
+        # What is missing in the raw row is missing after parsing, so one test finds both.
+        parsed = complete_rows(parse_columns(raw, BIRTH_COLUMNS, strict=False))
     return plausible_births(parsed.select(*BIRTH_COLUMNS))
 
 
 def rejected_births(raw: DataFrame) -> DataFrame:
     """Complete rows with an unreadable value, as they came, and the names of those columns."""
     complete = complete_rows(raw)
-    unreadable = {name: value.isNull() for name, value in _parsed(complete).items()}
+    parsed = _parsed(complete)
+    unreadable = {name: parsed[name].isNull() for name in _doubtful(complete)}
     reasons = [F.when(bad, F.lit(name)) for name, bad in unreadable.items()]
     return complete.filter(reduce(or_, unreadable.values())).select(
         *BIRTH_COLUMNS, F.concat_ws(",", *reasons).alias("motivo")
