@@ -54,16 +54,24 @@ def attach(
 ) -> DataFrame:
     """Left join of ``df`` to a lookup with one row per key, for any size of lookup and any skew.
 
-    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the rows
-    with a frequent key meet a broadcast of just those keys' lookup rows (10,000 at most), and
-    only the others are shuffled by key.
+    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the lookup
+    rows of the frequent keys (10,000 at most) are broadcast, and the rest is joined by key and
+    place: the hash of the key, but that of the record where the key is frequent or missing. So
+    those rows are spread over all tasks, and find no second match; ``df`` is read only once.
 
     ``record`` names the column that identifies a row. ``seen_in`` may give a frame with both
     columns that is cheaper to count frequent keys in than ``df``. ``small`` skips the measuring.
     """
+    labels = [name for name in lookup.columns if name != key]
     if fits_broadcast(lookup) if small is None else small:
-        return df.join(F.broadcast(lookup), key, "left")
-    hot = F.broadcast(frequent_keys(df if seen_in is None else seen_in, key, record))
-    spread = df.join(hot, key, "left_anti").join(lookup, key, "left")
-    hot_rows = F.broadcast(lookup.join(hot, key, "left_semi"))
-    return spread.unionByName(df.join(hot, key, "left_semi").join(hot_rows, key, "left"))
+        return df.join(F.broadcast(lookup), key, "left").select(*df.columns, *labels)
+
+    hot = frequent_keys(df if seen_in is None else seen_in, key, record)
+    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
+    hot_rows = hot.join(hot_lookup, key, "left").select(key, F.struct(*labels).alias("_hot"))
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    place = F.when(spread, F.xxhash64(record)).otherwise(F.xxhash64(key))
+    left = df.join(F.broadcast(hot_rows), key, "left").withColumn("_place", place)
+    right = lookup.select(key, F.xxhash64(key).alias("_place"), F.struct(*labels).alias("_label"))
+    found = [F.coalesce(F.col(f"_hot.{n}"), F.col(f"_label.{n}")).alias(n) for n in labels]
+    return left.join(right, [key, "_place"], "left").select(*df.columns, *found)
