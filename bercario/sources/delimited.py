@@ -38,12 +38,14 @@ def read_delimited(
 
     One path (a file, folder or glob) shares one header, and a file in it with another header
     is an error. Paths in a list may have different column orders: they are joined by name.
+    A quote inside quotes is written twice; a backslash is an ordinary character.
     ``multiline`` allows line breaks inside quotes, but makes each file a single task.
     """
     options = {
         "header": True,
         "sep": sep,
         "quote": quote,
+        "escape": quote,
         "encoding": encoding,
         "multiLine": multiline,
         "enforceSchema": False,

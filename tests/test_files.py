@@ -147,6 +147,13 @@ def test_occupations(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(10105, "Oficial general da aeronáutica")]
 
 
+def test_quotes_backslashes_and_separators_in_text(spark, tmp_path):
+    path = tmp_path / "jobs.csv"
+    path.write_bytes(b'CODIGO;TITULO\n1;"a ""b""; c"\n2;"ends in \\"\n3;"plain"\n')
+    rows = read_occupations(spark, str(path)).collect()
+    assert [tuple(r) for r in rows] == [(1, 'a "b"; c'), (2, "ends in \\"), (3, "plain")]
+
+
 def status(row):
     return row.first()["status"]
 
