@@ -1,4 +1,4 @@
-"""Label lookups: many rows on the left, at most one row per key on the right."""
+"""Label lookups: many rows on the left, one label row for each."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # What a broadcast may hold. It is measured, never assumed.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 
 # Keys that are looked for, and the part of the rows they are looked for in.
 MOST_FREQUENT = 10_000
@@ -23,11 +23,14 @@ def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
 def fits_broadcast(
     df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """True if ``df`` was counted and measured to be small; reads at most ``most_rows`` + 1 rows."""
+    """True if ``df`` was counted and measured to be small.
+
+    Takes the width of ``most_rows`` + 1 rows at most, which of a large table reads a few
+    partitions only. It is meant for stored or read tables, not for the result of a shuffle.
+    """
     width = sum(F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) + 8 for n in df.columns)
-    head = df.select(width.alias("width")).limit(most_rows + 1)
-    rows, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
-    return rows <= most_rows and size <= most_bytes
+    widths = [row[0] for row in df.select(width).limit(most_rows + 1).collect()]
+    return len(widths) <= most_rows and sum(widths) <= most_bytes
 
 
 def frequent_keys(df: DataFrame, key: str, record: str, least: int = 1_000) -> DataFrame:
@@ -50,9 +53,11 @@ def attach(
     key: str,
     record: str,
     seen_in: DataFrame | None = None,
-    small: bool | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Left join of ``df`` to a lookup with one row per key, for any size of lookup and any skew.
+    """``df`` with the labels its key has in a lookup, for any size of lookup and any skew.
+
+    Each row stays one row: a key counts once, see ``one_row_per_key``, which ``unique`` skips.
 
     A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the lookup
     rows of the frequent keys (10,000 at most) are broadcast, and the rest is joined by key and
@@ -60,10 +65,12 @@ def attach(
     those rows are spread over all tasks, and find no second match; ``df`` is read only once.
 
     ``record`` names the column that identifies a row. ``seen_in`` may give a frame with both
-    columns that is cheaper to count frequent keys in than ``df``. ``small`` skips the measuring.
+    columns that is cheaper to count frequent keys in than ``df``.
     """
     labels = [name for name in lookup.columns if name != key]
-    if fits_broadcast(lookup) if small is None else small:
+    small = fits_broadcast(lookup)
+    lookup = lookup if unique else one_row_per_key(lookup, key)
+    if small:
         return df.join(F.broadcast(lookup), key, "left").select(*df.columns, *labels)
 
     hot = frequent_keys(df if seen_in is None else seen_in, key, record)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bercario.functions import codes
 from bercario.functions.codes import decode
 from bercario.functions.expressions import joined_code, stripped_date_text
-from bercario.operators.lookups import attach, one_row_per_key
+from bercario.operators.lookups import attach
 from bercario.schemas import as_table
 
 _MOTHER = [
@@ -232,10 +232,9 @@ def births_wide(
     unique: bool = False,
 ) -> DataFrame:
     """Each birth with the labels of all dimensions; NULL where a dimension has no row."""
-    cities = one_row_per_key(municipality_labels(municipalities), "id_codmunicipionasc")
-    jobs = one_row_per_key(occupation_labels(occupations), "id_ocupmae")
+    cities = municipality_labels(municipalities)
     cities = cities.withColumnRenamed("id_codmunicipionasc", "id_codmunnasc")
-    jobs = jobs.withColumnRenamed("id_ocupmae", "id_codocupmae")
+    jobs = occupation_labels(occupations).withColumnRenamed("id_ocupmae", "id_codocupmae")
     # Frequent codes are looked for in the births, which need no shuffle to be read.
     seen = births.select(
         F.col("CONTADOR").alias("id_mae"),
@@ -247,11 +246,11 @@ def births_wide(
     return attach(wide, jobs, "id_codocupmae", "id_mae", seen)
 
 
-def births_wide_from_star(tables: Mapping[str, DataFrame]) -> DataFrame:
+def births_wide_from_star(tables: Mapping[str, DataFrame], unique: bool = False) -> DataFrame:
     """The same view from stored star tables, by left joins from the fact.
 
     Every dimension counts once per key, so the result has the rows of the fact even if a
-    dimension was appended twice.
+    dimension was appended twice. ``unique`` says that ``dim_mae`` holds no key twice.
     """
     renamed = {
         "dim_mae": {},
@@ -268,6 +267,6 @@ def births_wide_from_star(tables: Mapping[str, DataFrame]) -> DataFrame:
         dimension = tables[name].withColumnsRenamed(names)
         key = dimension.columns[0]
         seen = fact if key in fact.columns else mothers
-        wide = attach(wide, one_row_per_key(dimension, key), key, "id_mae", seen)
+        wide = attach(wide, dimension, key, "id_mae", seen, unique and name == "dim_mae")
     return wide
 

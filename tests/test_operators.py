@@ -89,8 +89,32 @@ def test_attach_is_a_left_join_either_way(spark, monkeypatch, least):
     left, right = skewed(spark), labels(spark)
     expected = rows(left.join(right, "key", "left").select("record", "key", "label"))
     assert len(expected) == 6000
-    assert rows(lookups.attach(left, right, "key", "record")) == expected
-    assert rows(lookups.attach(left, right, "key", "record", small=False)) == expected
+    twice = right.unionByName(right)
+    for small in (True, False):
+        monkeypatch.setattr(lookups, "fits_broadcast", lambda _: small)
+        assert rows(lookups.attach(left, twice, "key", "record")) == expected
+        assert rows(lookups.attach(left, right, "key", "record", unique=True)) == expected
+
+
+def test_attach_spreads_a_frequent_key(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "fits_broadcast", lambda _: False)
+    monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
+    original = lookups.frequent_keys
+    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key, record: original(df, key, record, 100))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookups.attach(skewed(spark), labels(spark), "key", "record")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain = skewed(spark).join(labels(spark), "key", "left")
+        before = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == sum(before) == 6000
+    assert len(sizes) == 4
+    assert max(sizes) < 6000 / 4 * 1.2
+    assert max(before) > 6000 / 4 * 1.5
 
 
 def test_attach_broadcasts_only_what_is_small(spark):

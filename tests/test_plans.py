@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bercario.catalog import queries as q
+from bercario.operators import lookups
 from bercario.operators.cleaning import clean_births, rejected_births
 from bercario.operators.lookups import attach
 from bercario.plans import reports, star
@@ -88,11 +89,12 @@ def test_reports_count_before_they_join(spark, folder):
     assert join < plan.index("partial_count(1)")
 
 
-def test_a_measured_lookup_is_broadcast_and_a_large_one_spread(spark):
+def test_a_measured_lookup_is_broadcast_and_a_large_one_spread(spark, monkeypatch):
     df = spark.range(100).select("id", (F.col("id") % 5).alias("key"))
     lookup = spark.range(5).select(F.col("id").alias("key"), F.lit("x").alias("label"))
-    assert shuffles(attach(df, lookup, "key", "id")) == []
-    spread = explained(attach(df, lookup, "key", "id", small=False), "extended")
+    assert shuffles(attach(df, lookup, "key", "id", unique=True)) == []
+    monkeypatch.setattr(lookups, "fits_broadcast", lambda _: False)
+    spread = explained(attach(df, lookup, "key", "id"), "extended")
     assert re.search(r"Join LeftOuter, .*_place", spread)
 
 

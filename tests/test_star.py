@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bercario.catalog import queries as q
 from bercario.operators import lookups
-from bercario.plans import star
+from bercario.plans import reports, star
 from bercario.plans.warehouse import build_warehouse, read_warehouse
 from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS, STAR, STAR_KEYS, table_schema
 from bercario.sources import adapter
@@ -113,7 +113,8 @@ def test_wide_views_agree(spark, folder, unique):
     clean = q._births(spark, folder)
     cities, jobs = q._municipalities(spark, folder), q._occupations(spark, folder)
     direct = star.births_wide(clean, cities, jobs, unique=unique)
-    joined = star.births_wide_from_star(star.star_tables(clean, cities, jobs, unique=unique))
+    tables = star.star_tables(clean, cities, jobs, unique=unique)
+    joined = star.births_wide_from_star(tables, unique)
     assert set(joined.columns) == set(direct.columns)
     assert rows(joined.select(*direct.columns)) == rows(direct)
 
@@ -189,5 +190,20 @@ def test_lenient_build_stores_the_rejects(spark):
     assert read_warehouse(spark, root)["fatos_nascidos"].count() == 1
 
 
+def test_reports_on_a_stored_warehouse(spark, folder):
+    tables = read_warehouse(spark, q._stored_warehouse(spark, folder))
+    wide = star.births_wide_from_star(tables)
+    regions = adapter.ADAPTER_REGIONS
+    found = {
+        "report_month_vs_average": reports.births_by_month(tables["fatos_nascidos"]),
+        "report_region": reports.births_by_region(wide, tables["dim_municipio"], regions),
+        "report_occupation": reports.births_by_occupation(wide, tables["dim_profissao"]),
+        "report_age_children": reports.children_by_age(wide),
+        "report_delivery_by_race": reports.deliveries_by_race(wide),
+    }
+    for name, df in found.items():
+        assert rows(df) == rows(q.QUERIES[name](spark, folder))
+
+
 def test_keys_are_the_first_columns():
     assert STAR_KEYS["dim_mae"] == STAR_KEYS["fatos_nascidos"] == "id_mae"
