@@ -68,6 +68,15 @@ def _profile(spark: SparkSession, folder: str) -> DataFrame:
     return star.birth_profile(_births(spark, folder))
 
 
+def _profile_with(*only: str) -> Query:
+    """The fact's columns and the named ones."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return star.birth_profile(_births(spark, folder), only=only)
+
+    return query
+
+
 def _city_labels(spark: SparkSession, folder: str) -> DataFrame:
     return star.municipality_labels(_municipalities(spark, folder))
 
@@ -270,7 +279,7 @@ def report_filtered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_filters_reset(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.births_total(reports.apply_filters(_profile(spark, folder), {}))
+    return reports.births_total(reports.apply_filters(_fact(spark, folder), {}))
 
 
 def _report(source: Query, report: Callable[..., DataFrame], *lookups: Query, **options) -> Query:
@@ -326,22 +335,22 @@ QUERIES: dict[str, Query] = {
     "silver_roundtrip": silver_roundtrip,
     "land_if_absent": land_twice,
     "report_births_total": _report(_fact, reports.births_total),
-    "report_age_band": _report(_profile, reports.births_by_age_band),
-    "report_mean_age": _report(_profile, reports.mean_mother_age),
-    "report_education": _report(_profile, reports.births_by_education),
-    "report_age_children": _report(_profile, reports.children_by_age),
-    "report_occupation": _report(_profile, reports.births_by_occupation, _job_labels),
+    "report_age_band": _report(_profile_with("dtnascmae"), reports.births_by_age_band),
+    "report_mean_age": _report(_profile_with("dtnascmae"), reports.mean_mother_age),
+    "report_education": _report(_profile_with("escolaridade"), reports.births_by_education),
+    "report_age_children": _report(_profile_with("dtnascmae", "qtd_filhovivo", "qtd_filhomorto"), reports.children_by_age),
+    "report_occupation": _report(_profile_with("id_codocupmae"), reports.births_by_occupation, _job_labels),
     "report_occupation_top": _report(
-        _profile, reports.births_by_occupation, _job_labels, top=TOP_OCCUPATIONS
+        _profile_with("id_codocupmae"), reports.births_by_occupation, _job_labels, top=TOP_OCCUPATIONS
     ),
-    "report_employment": _report(_profile, reports.births_by_employment, adapter.not_employed_codes),
+    "report_employment": _report(_profile_with("id_codocupmae"), reports.births_by_employment, adapter.not_employed_codes),
     "report_region": _report(_fact, reports.births_by_region, _city_labels, **_REGIONS),
     "report_place_by_region": _report(_fact, reports.birth_place_by_region, _city_labels, **_REGIONS),
-    "report_delivery_by_race": _report(_profile, reports.deliveries_by_race),
-    "report_delivery_by_race_table": _report(_profile, reports.deliveries_by_race_table),
-    "report_delivery_totals": _report(_profile, reports.delivery_totals),
+    "report_delivery_by_race": _report(_profile_with("raca_mae", "parto"), reports.deliveries_by_race),
+    "report_delivery_by_race_table": _report(_profile_with("raca_mae", "parto"), reports.deliveries_by_race_table),
+    "report_delivery_totals": _report(_profile_with("parto"), reports.delivery_totals),
     "report_consultations": _report(_fact, reports.births_by_visits),
-    "report_marital_status": _report(_profile, reports.births_by_marital_status),
+    "report_marital_status": _report(_profile_with("estado_civil"), reports.births_by_marital_status),
     "report_newborn_race": _report(_fact, reports.births_by_newborn_race),
     "report_month_vs_average": _report(_fact, reports.births_by_month),
     "report_state_pareto": _report(_fact, reports.births_by_state_pareto, _city_labels),

@@ -8,7 +8,7 @@ distinct, and are built without any shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -205,15 +205,18 @@ def star_tables(
 
 
 def birth_profile(
-    births: DataFrame, education_column: str = "ESCMAE", unique: bool = False
+    births: DataFrame,
+    education_column: str = "ESCMAE",
+    unique: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Fact, mother and coded labels of each birth, straight from the births.
 
     Both tables describe the same record, so nothing is joined: one distinct replaces the two
-    of the tables and the join of one large table to another.
+    of the tables and the join of one large table to another. ``only`` names the columns wanted
+    besides those of the fact; the distinct then moves no others.
     """
-    used = list(dict.fromkeys(_FACT + _with_education(_MOTHER, education_column)))
-    columns = _fact_columns(compat=False) | _mother_columns(education_column, compat=False)
+    mother = _mother_columns(education_column, compat=False)
     labels = {
         "escolaridade": decode(F.col(education_column), codes.EDUCATION),
         "descricao_semanas": decode(F.col("GESTACAO"), codes.GESTATION),
@@ -221,7 +224,13 @@ def birth_profile(
         "sexo": decode(F.col("SEXO"), codes.SEX),
         "parto": decode(F.col("PARTO"), codes.DELIVERY),
     }
-    return _rows(births, used, unique).select(*_named(columns | labels))
+    beside_fact = mother | labels
+    wanted = list(beside_fact) if only is None else list(only)
+    source = dict(zip(mother, _with_education(_MOTHER, education_column), strict=True))
+    source |= {"escolaridade": education_column, "descricao_semanas": "GESTACAO"}
+    used = dict.fromkeys(_FACT + [source[name] for name in wanted if name in source])
+    columns = _fact_columns(compat=False) | {name: beside_fact[name] for name in wanted}
+    return _rows(births, list(used), unique).select(*_named(columns))
 
 
 def births_wide(

@@ -25,7 +25,8 @@ def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
 
     The text files are parsed once, and a value that cannot be read ends the run here, before
     any table is written. Later steps read only the columns they need, and a lost executor
-    repeats a Parquet read, not the parsing.
+    repeats a Parquet read, not the parsing. A previous run's births are replaced. When not
+    strict, the raw rows are read a second time for the reject table.
     """
     clean_births(raw, strict).write.mode("overwrite").parquet(silver_path(root))
     if not strict:

@@ -69,6 +69,12 @@ def test_large_tables_shuffle_once_or_never(spark, folder):
         assert shuffles(build(births, unique=True)) == []
 
 
+def test_a_narrow_profile_moves_few_columns(spark, folder):
+    plan = explained(star.birth_profile(q._births(spark, folder), only=["escolaridade"]))
+    shuffled = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", plan).group(1)
+    assert {c.split("#")[0] for c in shuffled.split(", ")} == {*star._FACT, "ESCMAE"}
+
+
 def test_scans_are_pruned_and_filtered(spark, folder):
     plan = explained(reports.births_by_visits(star.fact_births(q._births(spark, folder), unique=True)))
     assert "PushedFilters: [IsNotNull(o_orderkey)" in plan
