@@ -338,16 +338,22 @@ QUERIES: dict[str, Query] = {
     "report_age_band": _report(_profile_with("dtnascmae"), reports.births_by_age_band),
     "report_mean_age": _report(_profile_with("dtnascmae"), reports.mean_mother_age),
     "report_education": _report(_profile_with("escolaridade"), reports.births_by_education),
-    "report_age_children": _report(_profile_with("dtnascmae", "qtd_filhovivo", "qtd_filhomorto"), reports.children_by_age),
+    "report_age_children": _report(
+        _profile_with("dtnascmae", "qtd_filhovivo", "qtd_filhomorto"), reports.children_by_age
+    ),
     "report_occupation": _report(_profile_with("id_codocupmae"), reports.births_by_occupation, _job_labels),
     "report_occupation_top": _report(
         _profile_with("id_codocupmae"), reports.births_by_occupation, _job_labels, top=TOP_OCCUPATIONS
     ),
-    "report_employment": _report(_profile_with("id_codocupmae"), reports.births_by_employment, adapter.not_employed_codes),
+    "report_employment": _report(
+        _profile_with("id_codocupmae"), reports.births_by_employment, adapter.not_employed_codes
+    ),
     "report_region": _report(_fact, reports.births_by_region, _city_labels, **_REGIONS),
     "report_place_by_region": _report(_fact, reports.birth_place_by_region, _city_labels, **_REGIONS),
     "report_delivery_by_race": _report(_profile_with("raca_mae", "parto"), reports.deliveries_by_race),
-    "report_delivery_by_race_table": _report(_profile_with("raca_mae", "parto"), reports.deliveries_by_race_table),
+    "report_delivery_by_race_table": _report(
+        _profile_with("raca_mae", "parto"), reports.deliveries_by_race_table
+    ),
     "report_delivery_totals": _report(_profile_with("parto"), reports.delivery_totals),
     "report_consultations": _report(_fact, reports.births_by_visits),
     "report_marital_status": _report(_profile_with("estado_civil"), reports.births_by_marital_status),

@@ -33,14 +33,14 @@ def fits_broadcast(
     return len(widths) <= most_rows and sum(widths) <= most_bytes
 
 
-def frequent_keys(df: DataFrame, key: str, record: str, least: int = 1_000) -> DataFrame:
+def frequent_keys(df: DataFrame, key: str, least: int = 1_000) -> DataFrame:
     """Keys that are frequent in a fixed part of ``df``, the most frequent 10,000 at most.
 
-    Which rows are inspected depends on the hash of their record key, so it never changes. The
-    answer only decides how a join is carried out: a frequent key that is missed costs time, no
-    rows. The list is read out once, so that every use of it sees the same keys.
+    Which rows are inspected depends on a hash of the row, so it never changes. The answer only
+    decides how a join is carried out: a frequent key that is missed costs time, no rows. The
+    list is read out once, so that every use of it sees the same keys.
     """
-    inspected = df.filter(F.pmod(F.xxhash64(record), F.lit(_SHARE_INSPECTED)) == 0)
+    inspected = df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(_SHARE_INSPECTED)) == 0)
     counts = inspected.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     often = counts.filter((F.col("rows") >= least) & F.col(key).isNotNull())
     top = often.orderBy(F.desc("rows"), key).limit(MOST_FREQUENT).select(key)
@@ -51,7 +51,6 @@ def attach(
     df: DataFrame,
     lookup: DataFrame,
     key: str,
-    record: str,
     seen_in: DataFrame | None = None,
     unique: bool = False,
 ) -> DataFrame:
@@ -61,11 +60,11 @@ def attach(
 
     A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the lookup
     rows of the frequent keys (10,000 at most) are broadcast, and the rest is joined by key and
-    place: the hash of the key, but that of the record where the key is frequent or missing. So
-    those rows are spread over all tasks, and find no second match; ``df`` is read only once.
+    place: the hash of the key, but that of the whole row where the key is frequent or missing.
+    So those rows are spread over all tasks; ``df`` is read only once.
 
-    ``record`` names the column that identifies a row. ``seen_in`` may give a frame with both
-    columns that is cheaper to count frequent keys in than ``df``.
+    ``seen_in`` may give a frame that is cheaper to count frequent keys in than ``df``. Its rows
+    need a column besides the key that tells them apart.
     """
     labels = [name for name in lookup.columns if name != key]
     small = fits_broadcast(lookup)
@@ -73,11 +72,11 @@ def attach(
     if small:
         return df.join(F.broadcast(lookup), key, "left").select(*df.columns, *labels)
 
-    hot = frequent_keys(df if seen_in is None else seen_in, key, record)
+    hot = frequent_keys(df if seen_in is None else seen_in, key)
     hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
     hot_rows = hot.join(hot_lookup, key, "left").select(key, F.struct(*labels).alias("_hot"))
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    place = F.when(spread, F.xxhash64(record)).otherwise(F.xxhash64(key))
+    place = F.when(spread, F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
     left = df.join(F.broadcast(hot_rows), key, "left").withColumn("_place", place)
     right = lookup.select(key, F.xxhash64(key).alias("_place"), F.struct(*labels).alias("_label"))
     found = [F.coalesce(F.col(f"_hot.{n}"), F.col(f"_label.{n}")).alias(n) for n in labels]

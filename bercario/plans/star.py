@@ -251,8 +251,8 @@ def births_wide(
         F.col("CODOCUPMAE").alias("id_codocupmae"),
     )
     wide = birth_profile(births, education_column, unique)
-    wide = attach(wide, cities, "id_codmunnasc", "id_mae", seen)
-    return attach(wide, jobs, "id_codocupmae", "id_mae", seen)
+    wide = attach(wide, cities, "id_codmunnasc", seen.select("id_mae", "id_codmunnasc"))
+    return attach(wide, jobs, "id_codocupmae", seen.select("id_mae", "id_codocupmae"))
 
 
 def births_wide_from_star(tables: Mapping[str, DataFrame], unique: bool = False) -> DataFrame:
@@ -275,7 +275,10 @@ def births_wide_from_star(tables: Mapping[str, DataFrame], unique: bool = False)
     for name, names in renamed.items():
         dimension = tables[name].withColumnsRenamed(names)
         key = dimension.columns[0]
-        seen = fact if key in fact.columns else mothers
-        wide = attach(wide, dimension, key, "id_mae", seen, unique and name == "dim_mae")
+        if name == "dim_mae":
+            wide = attach(wide, dimension, key, unique=unique)
+        else:
+            coded = fact if key in fact.columns else mothers
+            wide = attach(wide, dimension, key, coded.select("id_mae", key))
     return wide
 

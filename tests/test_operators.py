@@ -85,26 +85,26 @@ def rows(df):
 def test_attach_is_a_left_join_either_way(spark, monkeypatch, least):
     monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
     original = lookups.frequent_keys
-    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key, record: original(df, key, record, least))
+    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, least))
     left, right = skewed(spark), labels(spark)
     expected = rows(left.join(right, "key", "left").select("record", "key", "label"))
     assert len(expected) == 6000
     twice = right.unionByName(right)
     for small in (True, False):
         monkeypatch.setattr(lookups, "fits_broadcast", lambda _: small)
-        assert rows(lookups.attach(left, twice, "key", "record")) == expected
-        assert rows(lookups.attach(left, right, "key", "record", unique=True)) == expected
+        assert rows(lookups.attach(left, twice, "key")) == expected
+        assert rows(lookups.attach(left, right, "key", unique=True)) == expected
 
 
 def test_attach_spreads_a_frequent_key(spark, monkeypatch):
     monkeypatch.setattr(lookups, "fits_broadcast", lambda _: False)
     monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
     original = lookups.frequent_keys
-    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key, record: original(df, key, record, 100))
+    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, 100))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookups.attach(skewed(spark), labels(spark), "key", "record")
+        joined = lookups.attach(skewed(spark), labels(spark), "key")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         plain = skewed(spark).join(labels(spark), "key", "left")
         before = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
@@ -126,7 +126,7 @@ def test_attach_broadcasts_only_what_is_small(spark):
 
 def test_frequent_keys(spark, monkeypatch):
     monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 1)
-    hot = lookups.frequent_keys(skewed(spark), "key", "record", least=100)
+    hot = lookups.frequent_keys(skewed(spark), "key", least=100)
     assert [row["key"] for row in hot.collect()] == [7]
 
 
@@ -183,8 +183,9 @@ def test_pareto(spark):
 
 def test_months_against_the_mean(spark):
     births = spark.createDataFrame(
-        [("2022-01-05",), ("2022-01-31",), ("2022-01-10",), ("2022-02-01",), ("2022-03-01",), ("2022-03-02",)],
+        [(d,) for d in ["2022-01-05", "2022-01-31", "2022-01-10", "2022-02-01", "2022-03-01", "2022-03-02"]],
         "d STRING",
     ).select(F.col("d").cast("date").alias("id_calendario"))
-    found = {str(r["mes"]): (r["nascimentos"], r["situacao"]) for r in reports.births_by_month(births).collect()}
+    months = reports.births_by_month(births).collect()
+    found = {str(r["mes"]): (r["nascimentos"], r["situacao"]) for r in months}
     assert found == {"2022-01-01": (3, "acima"), "2022-02-01": (1, "abaixo"), "2022-03-01": (2, "igual")}

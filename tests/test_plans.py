@@ -98,9 +98,9 @@ def test_reports_count_before_they_join(spark, folder):
 def test_a_measured_lookup_is_broadcast_and_a_large_one_spread(spark, monkeypatch):
     df = spark.range(100).select("id", (F.col("id") % 5).alias("key"))
     lookup = spark.range(5).select(F.col("id").alias("key"), F.lit("x").alias("label"))
-    assert shuffles(attach(df, lookup, "key", "id", unique=True)) == []
+    assert shuffles(attach(df, lookup, "key", unique=True)) == []
     monkeypatch.setattr(lookups, "fits_broadcast", lambda _: False)
-    spread = explained(attach(df, lookup, "key", "id"), "extended")
+    spread = explained(attach(df, lookup, "key"), "extended")
     assert re.search(r"Join LeftOuter, .*_place", spread)
 
 

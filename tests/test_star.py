@@ -133,7 +133,7 @@ def test_wide_view_without_broadcast(spark, folder, monkeypatch):
     monkeypatch.setattr(lookups, "fits_broadcast", lambda *_: False)
     original = lookups.frequent_keys
     monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
-    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key, record: original(df, key, record, 10))
+    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, 10))
     assert rows(q.births_wide(spark, folder)) == expected
 
 
@@ -161,7 +161,8 @@ def test_where_compatible_output_differs(spark, folder):
 
 
 def test_known_counts(spark):
-    for folder, known in {"sf0.001": (1500, 1448, 1041, 71586), "sf0.01": (15000, 14482, 10401, 694373)}.items():
+    counts = {"sf0.001": (1500, 1448, 1041, 71586), "sf0.01": (15000, 14482, 10401, 694373)}
+    for folder, known in counts.items():
         path = f"/root/testdata/{folder}"
         clean = q._births(spark, path)
         sample = q.sample_exact(clean, 100, "CONTADOR")
@@ -222,3 +223,24 @@ def test_reports_on_a_stored_warehouse(spark, folder):
 
 def test_keys_are_the_first_columns():
     assert STAR_KEYS["dim_mae"] == STAR_KEYS["fatos_nascidos"] == "id_mae"
+
+
+def test_a_record_key_on_many_births_is_spread(spark, monkeypatch):
+    """A third of the facts share one record key; each stays one row, in no single task."""
+    days = F.date_add(F.lit(DAY(2000, 1, 1)), F.col("id").cast("int"))
+    shared = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    fact = spark.range(3000).select(shared.alias("id_mae"), days.alias("id_calendario"))
+    mothers = fact.select("id_mae", F.lit("Parda").alias("raca_mae")).distinct()
+    monkeypatch.setattr(lookups, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
+    original = lookups.frequent_keys
+    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, 100))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookups.attach(fact, mothers, "id_mae", unique=True)
+        assert joined.filter("raca_mae = 'Parda'").count() == 3000
+        hot = joined.filter("id_mae = 0").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(hot) == 4
+    assert max(row["count"] for row in hot) < 1000 / 4 * 1.4
