@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import types as T
 
 from __spark_entry__ import entry, oracle_sql, queries
+from bercario.catalog.oracle import ORACLE
+from bercario.catalog.queries import QUERIES
 
 TABLES = ["region", "nation", "customer", "orders"]
 
@@ -39,13 +41,15 @@ DUCKDB_TYPES = {
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, folder, database, name):
-    frame = queries()[name](spark, folder)
-    names, types, rows = expected(database, folder, oracle_sql()[name])
+    frame = QUERIES[name](spark, folder)
+    names, types, rows = expected(database, folder, ORACLE[name])
     assert sorted(frame.columns) == sorted(names)
     assert {f.name: DUCKDB_TYPES[type(f.dataType)] for f in frame.schema} == types
     found = [tuple(row) for row in frame.collect()]
