@@ -11,12 +11,13 @@ _RAW = """
 raw AS (
   SELECT
     CAST(o_orderkey + 1 AS BIGINT) AS "CONTADOR",
-    CAST(110001 + c_nationkey AS BIGINT) AS "CODMUNNASC",
+    CAST(CASE WHEN o_orderkey % 59 = 0 THEN 119999 ELSE 110001 + c_nationkey END AS BIGINT)
+      AS "CODMUNNASC",
     CAST(CASE WHEN o_orderkey % 53 = 0 THEN 9 ELSE 1 + o_orderkey % 5 END AS BIGINT) AS "LOCNASC",
     CAST(CASE WHEN o_orderkey % 37 = 0 THEN 9
          ELSE CAST(substr(o_orderpriority, 1, 1) AS INT) END AS BIGINT) AS "ESTCIVMAE",
     CAST(o_orderkey % 14 AS BIGINT) AS "ESCMAE",
-    CAST(o_custkey AS BIGINT) AS "CODOCUPMAE",
+    CAST(CASE WHEN o_orderkey % 61 = 0 THEN 9000000000000 ELSE o_custkey END AS BIGINT) AS "CODOCUPMAE",
     CAST(o_orderkey % 13 AS BIGINT) AS "QTDFILVIVO",
     CAST((o_orderkey * 7) % 12 AS BIGINT) AS "QTDFILMORT",
     CAST(CASE WHEN o_orderkey % 41 = 0 THEN 9 ELSE 1 + o_orderkey % 6 END AS BIGINT) AS "GESTACAO",
@@ -41,6 +42,17 @@ spoiled AS (
 )"""
 
 
+# Births four years later, of other mothers, with the numbers of the first.
+_LATER = _RAW + """,
+later AS (
+  SELECT * REPLACE (
+    "DTNASC" + 4 AS "DTNASC", "DTNASCMAE" - 1 AS "DTNASCMAE",
+    CAST("CONTADOR" % 14 AS BIGINT) AS "ESCMAE")
+  FROM raw
+),
+both_files AS (SELECT * FROM raw UNION SELECT * FROM later)"""
+
+
 def _births(source: str) -> str:
     """Complete, parsed, and clean births of a table with raw rows."""
     return f"""
@@ -61,15 +73,16 @@ clean AS (
 
 _CLEAN = _RAW + "," + _births("raw")
 _CLEAN_LENIENT = _SPOILED + "," + _births("spoiled")
+_CLEAN_BOTH = _LATER + "," + _births("both_files")
 
 _REFERENCE = """
 municipality AS (
   SELECT CAST(110001 + n_nationkey AS VARCHAR) AS code, n_name AS name,
          CASE r_name WHEN 'AFRICA' THEN 'AF' WHEN 'AMERICA' THEN 'AM' WHEN 'ASIA' THEN 'AS'
                      WHEN 'EUROPE' THEN 'EU' END AS state
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24
+  FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
-occupation AS (SELECT c_custkey AS code, c_name AS title FROM customer WHERE c_custkey % 10 <> 0)"""
+occupation AS (SELECT c_custkey AS code, c_name AS title FROM customer)"""
 
 _LABELS = """
 education(code, label) AS (VALUES
@@ -212,6 +225,24 @@ sampled AS (
 
 _SILVER = f"SELECT {_BIRTH_COLUMNS} FROM clean"
 
+_VIEWS = [
+    "fatos_nascidos", "dim_mae", "registros", "direto", "larga", "larga_do_esquema", "escolaridade",
+    "estado_civil", "mes",
+]
+
+_CHOSEN = """wide
+WHERE parto IN ('Vaginal', 'Cesário') AND (estado IN ('AF', 'AS') OR estado IS NULL)
+  AND estado_civil = 'Casada'"""
+
+_AGE_BAND = """CASE WHEN idade < 0 THEN 'invalid' WHEN idade < 15 THEN '<15'
+            WHEN idade <= 19 THEN '15-19' WHEN idade <= 24 THEN '20-24'
+            WHEN idade <= 29 THEN '25-29' WHEN idade <= 34 THEN '30-34'
+            WHEN idade <= 39 THEN '35-39' WHEN idade <= 44 THEN '40-44' ELSE '45+' END
+         AS faixa_etaria"""
+
+_FIELDS = [name.strip().strip('"') for name in _BIRTH_COLUMNS.split(",")]
+_LINE = "concat_ws(';', " + ", ".join(f"coalesce(CAST(\"{n}\" AS VARCHAR), '')" for n in _FIELDS) + ", 'x')"
+
 ORACLE: dict[str, str] = {
     "births_dropna": _select(_CLEAN, f"SELECT {_BIRTH_COLUMNS} FROM complete"),
     "births_parsed_dates": _select(_CLEAN, 'SELECT "CONTADOR", "DTNASC", "DTNASCMAE" FROM parsed'),
@@ -227,6 +258,27 @@ ORACLE: dict[str, str] = {
         _CLEAN_LENIENT,
         f"""SELECT {_BIRTH_COLUMNS}, 'DTNASC' AS motivo FROM complete
 WHERE try_strptime(lpad(CAST("DTNASC" AS VARCHAR), 8, '0'), '%d%m%Y') IS NULL""",
+    ),
+    "births_strict_violations": _select(
+        _CLEAN_LENIENT,
+        """SELECT "CONTADOR", 'DTNASC' AS motivo FROM complete
+WHERE try_strptime(lpad(CAST("DTNASC" AS VARCHAR), 8, '0'), '%d%m%Y') IS NULL""",
+    ),
+    "sample_tied_timestamps": """
+WITH sizes AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1),
+placed AS (
+  SELECT event_type, n,
+         sum(n) OVER (ORDER BY md5('42|' || event_type)) - n AS before
+  FROM sizes
+)
+SELECT event_type, CAST(least(n, 1000 - before) AS BIGINT) AS linhas FROM placed WHERE before < 1000""",
+    "codes_beyond_double": (
+        "SELECT o_orderkey, CAST(o_orderkey + 9007199254740993 AS BIGINT) AS codigo FROM orders"
+    ),
+    "births_csv_rejects": _select(
+        _RAW,
+        f"""SELECT CAST("CONTADOR" AS VARCHAR) AS "CONTADOR", {_LINE} AS linha, 'campos demais' AS motivo
+FROM raw WHERE "CONTADOR" % 50 = 0""",
     ),
     "births_sample_exact": _select(_SAMPLED, f"SELECT {_BIRTH_COLUMNS} FROM sampled"),
     "births_csv_scan": _select(_CLEAN, _SILVER),
@@ -297,6 +349,25 @@ WHERE id_codmunnasc NOT IN (SELECT id_codmunicipionasc FROM dim_municipio) GROUP
 WHERE id_codocupmae NOT IN (SELECT id_ocupmae FROM dim_profissao) GROUP BY 1""",
     ),
     "dimension_key_check": _select(_STAR, "\nUNION ALL\n".join(_summary(*t) for t in _TABLES)),
+    "births_total_by_view": _select(
+        _CLEAN_BOTH,
+        "\nUNION ALL\n".join(
+            f"SELECT '{view}' AS visao, CAST(count(*) AS BIGINT) AS nascimentos FROM clean"
+            for view in _VIEWS
+        ),
+    ),
+    "append_two_years": _select(
+        _CLEAN_BOTH,
+        """SELECT "CONTADOR" AS id_mae, year("DTNASC") AS ano, "DTNASC" AS id_calendario,
+       "DTNASCMAE" AS dtnascmae, "ESCMAE" AS id_escmae FROM clean""",
+    ),
+    "append_new_label": _select(
+        _STAR,
+        """SELECT * FROM dim_profissao
+UNION ALL SELECT id_ocupmae, ocupacao || ' *' FROM dim_profissao WHERE id_ocupmae % 4 = 0""",
+    ),
+    **{f"stored_{name or table}": _select(_STAR, f"SELECT * FROM {table}") for table, _, name in _TABLES},
+    "stored_registros": _select(_CLEAN, _SILVER),
     "sink_append_twice": _select(_STAR, "SELECT * FROM fact UNION ALL SELECT * FROM fact"),
     "sink_append_new_only": _select(_STAR, "SELECT * FROM fact"),
     "sink_overwrite": _select(_STAR, "SELECT * FROM fact"),
@@ -322,12 +393,7 @@ WHERE id_codocupmae NOT IN (SELECT id_ocupmae FROM dim_profissao) GROUP BY 1""",
     "report_births_total": _select(_WIDE, "SELECT count(*) AS nascimentos FROM fact"),
     "report_age_band": _select(
         _WIDE,
-        """SELECT CASE WHEN idade < 0 THEN 'invalid' WHEN idade < 15 THEN '<15'
-            WHEN idade <= 19 THEN '15-19' WHEN idade <= 24 THEN '20-24'
-            WHEN idade <= 29 THEN '25-29' WHEN idade <= 34 THEN '30-34'
-            WHEN idade <= 39 THEN '35-39' WHEN idade <= 44 THEN '40-44' ELSE '45+' END
-         AS faixa_etaria, count(*) AS nascimentos
-FROM wide GROUP BY 1""",
+        f"SELECT {_AGE_BAND}, count(*) AS nascimentos FROM wide GROUP BY 1",
     ),
     "report_mean_age": _select(_WIDE, "SELECT avg(idade) AS idade_media FROM wide"),
     "report_education": _select(_WIDE, _counted("escolaridade")),
@@ -410,10 +476,40 @@ FROM states s""",
     "report_filtered": _select(
         _WIDE,
         f"""SELECT coalesce(raca_nascidos, {_UNKNOWN}) AS raca_nascidos, count(*) AS nascimentos
-FROM wide
-WHERE parto IN ('Vaginal', 'Cesário') AND (estado IN ('AF', 'AS') OR estado IS NULL)
-  AND estado_civil = 'Casada'
-GROUP BY 1""",
+FROM {_CHOSEN} GROUP BY 1""",
+    ),
+    "report_filtered_profile": _select(
+        _WIDE, f"SELECT {_AGE_BAND}, count(*) AS nascimentos FROM {_CHOSEN} GROUP BY 1"
+    ),
+    "report_filtered_occupations": _select(
+        _WIDE,
+        f"""SELECT coalesce(ocupacao, {_UNKNOWN}) AS ocupacao, count(*) AS nascimentos
+FROM {_CHOSEN} GROUP BY 1""",
+    ),
+    "report_filtered_health": _select(
+        _WIDE,
+        f"""SELECT coalesce(raca_mae, {_UNKNOWN}) AS raca_mae, coalesce(parto, {_UNKNOWN}) AS parto,
+       count(*) AS nascimentos
+FROM {_CHOSEN} GROUP BY 1, 2""",
+    ),
+    "report_filtered_geography": _select(
+        _WIDE + f""",
+months AS (
+  SELECT CAST(date_trunc('month', id_calendario) AS DATE) AS mes, count(*) AS nascimentos
+  FROM {_CHOSEN} GROUP BY 1
+)""",
+        """SELECT mes, nascimentos, mean.media,
+       CASE WHEN nascimentos > mean.media THEN 'acima' WHEN nascimentos < mean.media THEN 'abaixo'
+            ELSE 'igual' END AS situacao
+FROM months, (SELECT avg(nascimentos) AS media FROM months) mean""",
+    ),
+    "report_filtered_places": _select(
+        _WIDE,
+        f"""SELECT coalesce(regiao, {_UNKNOWN}) AS regiao,
+       coalesce(local_nascimento, {_UNKNOWN}) AS local_nascimento, count(*) AS nascimentos
+FROM {_CHOSEN} GROUP BY 1, 2""",
     ),
     "report_filters_reset": _select(_WIDE, "SELECT count(*) AS nascimentos FROM wide"),
 }
+
+ORACLE["warehouse_named_tables"] = ORACLE["warehouse_tables"]

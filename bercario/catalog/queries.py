@@ -1,7 +1,9 @@
 """Every operator, table and report as a query over the adapter's tables.
 
 A query is a function of a session and a folder with the driver tables, and returns a frame.
-Those that store something do so in a new folder of the cluster's shared scratch space.
+Those that store something do so in a new folder of the cluster's shared scratch space. Reports
+and views read a stored warehouse, as they would in use; it is built once per application and
+folder, by the first query that needs it.
 """
 
 from __future__ import annotations
@@ -11,10 +13,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bercario.functions.codes import PREGNANCY, decode
+from bercario.functions.expressions import whole_number
 from bercario.operators.checks import key_summary, orphans
 from bercario.operators.cleaning import (
+    UnreadableBirths,
     clean_births,
     complete_rows,
     parse_columns,
@@ -24,8 +29,21 @@ from bercario.operators.cleaning import (
 from bercario.operators.sampling import sample_exact
 from bercario.operators.sinks import write_table
 from bercario.plans import reports, star
-from bercario.plans.warehouse import build_warehouse, read_warehouse, silver_path, write_silver
-from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS, RECORD_KEY, STAR
+from bercario.plans.warehouse import (
+    build_warehouse,
+    read_warehouse,
+    rejected_path,
+    write_silver,
+)
+from bercario.schemas import (
+    BIRTH_COLUMNS,
+    DATE_COLUMNS,
+    RECORD_HASH,
+    RECORD_KEY,
+    RECORDS,
+    STAR,
+    YEAR,
+)
 from bercario.sources import adapter
 from bercario.sources.delimited import (
     prepare_municipalities,
@@ -33,6 +51,7 @@ from bercario.sources.delimited import (
     read_births,
     read_municipalities,
     read_occupations,
+    rejected_lines,
 )
 from bercario.sources.landing import land_if_absent
 from bercario.sources.storage import scratch_path
@@ -60,19 +79,44 @@ def _occupations(spark: SparkSession, folder: str) -> DataFrame:
     return prepare_occupations(adapter.raw_occupations(spark, folder))
 
 
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+
+
+def _warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The stored tables of the folder's births, built by the first call of an application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = _stored_warehouse(spark, folder)
+    return read_warehouse(spark, _WAREHOUSES[key])
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return _warehouse(spark, folder)[RECORDS]
+
+
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    return star.fact_births(_births(spark, folder))
+    return star.fact_births(_records(spark, folder), unique=True)
 
 
 def _profile(spark: SparkSession, folder: str) -> DataFrame:
-    return star.birth_profile(_births(spark, folder))
+    return star.birth_profile(_records(spark, folder), unique=True)
 
 
 def _profile_with(*only: str) -> Query:
     """The fact's columns and the named ones."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return star.birth_profile(_births(spark, folder), only=only)
+        return star.birth_profile(_records(spark, folder), unique=True, only=only)
+
+    return query
+
+
+def _wide_with(*only: str) -> Query:
+    """The fact's columns, the named ones, and those of the municipality."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        cities, jobs = _municipalities(spark, folder), _occupations(spark, folder)
+        return star.births_wide(_records(spark, folder), cities, jobs, unique=True, only=only)
 
     return query
 
@@ -127,12 +171,39 @@ def births_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejected_births(adapter.raw_births(spark, folder, malformed_dates=True))
 
 
+def births_strict_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """What a strict run lists before it ends: every bad complete row, implausible ones too."""
+    root = scratch_path(spark, "strict")
+    try:
+        write_silver(adapter.raw_births(spark, folder, malformed_dates=True), root)
+    except UnreadableBirths:
+        return spark.read.parquet(rejected_path(root)).select(
+            F.col(RECORD_KEY).cast("bigint").alias(RECORD_KEY), "motivo"
+        )
+    raise AssertionError("a strict run accepted unreadable births")
+
+
 def births_clean_lenient(spark: SparkSession, folder: str) -> DataFrame:
     return clean_births(adapter.raw_births(spark, folder, malformed_dates=True), strict=False)
 
 
 def births_sample_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return sample_exact(_births(spark, folder), SAMPLE_SIZE, RECORD_KEY)
+    return sample_exact(_records(spark, folder).select(*BIRTH_COLUMNS), SAMPLE_SIZE, RECORD_KEY)
+
+
+def sample_tied_timestamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per key of a sample whose rows agree in the key, and in the time but for microseconds."""
+    time = F.expr("timestampadd(MICROSECOND, event_id, date_trunc('DAY', ts))")
+    tied = spark.read.parquet(f"{folder}/events.parquet").select("event_type", time.alias("ts"))
+    sampled = sample_exact(tied, SAMPLE_SIZE, "event_type")
+    return sampled.groupBy("event_type").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+def codes_beyond_double(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of 16 digits, neighbours of which would be one as a binary fraction."""
+    text = (F.col("o_orderkey") + F.lit(9007199254740993)).cast("string")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", text.alias("texto"))
+    return orders.select("o_orderkey", whole_number(F.col("texto"), T.StringType()).alias("codigo"))
 
 
 # Delimited files ---------------------------------------------------------------------------
@@ -144,6 +215,20 @@ def births_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return clean_births(read_births(spark, _as_delimited(raw, "ISO-8859-1")))
 
 
+def births_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with a field too many are listed; those with fields too few are incomplete rows."""
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in BIRTH_COLUMNS]
+    line = (
+        F.when(F.col(RECORD_KEY) % 50 == 0, F.concat_ws(";", *fields, F.lit("x")))
+        .when(F.col(RECORD_KEY) % 51 == 0, F.concat_ws(";", *fields[:-3]))
+        .otherwise(F.concat_ws(";", *fields))
+    )
+    path = scratch_path(spark, "broken")
+    lines = adapter.raw_births(spark, folder).select(line.alias(";".join(BIRTH_COLUMNS)))
+    lines.write.options(header=True, sep="\u0001", quote="\u0002").csv(path)
+    return rejected_lines(spark, path)
+
+
 def municipality_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     raw = adapter.raw_municipalities(spark, folder)
     return read_municipalities(spark, _as_delimited(raw, "UTF-8"), adapter.ADAPTER_STATES)
@@ -184,13 +269,12 @@ def decode_pregnancy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def births_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return star.births_wide(
-        _births(spark, folder), _municipalities(spark, folder), _occupations(spark, folder)
-    )
+    cities, jobs = _municipalities(spark, folder), _occupations(spark, folder)
+    return star.births_wide(_records(spark, folder), cities, jobs, unique=True)
 
 
 def births_wide_from_star(spark: SparkSession, folder: str) -> DataFrame:
-    return star.births_wide_from_star(read_warehouse(spark, _stored_warehouse(spark, folder)))
+    return star.births_wide_from_star(_warehouse(spark, folder))
 
 
 def orphan_municipality(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,12 +283,40 @@ def orphan_municipality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orphan_occupation(spark: SparkSession, folder: str) -> DataFrame:
-    mothers = star.dim_mae(_births(spark, folder))
+    mothers = star.dim_mae(_records(spark, folder), unique=True)
     return orphans(mothers, "id_codocupmae", _job_labels(spark, folder), "id_ocupmae")
 
 
 def dimension_key_check(spark: SparkSession, folder: str) -> DataFrame:
-    return key_summary(read_warehouse(spark, _stored_warehouse(spark, folder)))
+    return key_summary(_warehouse(spark, folder))
+
+
+def births_total_by_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The births that each view and report counts, of records that repeat or share a number."""
+    root = scratch_path(spark, "views")
+    once = adapter.raw_births(spark, folder)
+    raw = once.unionByName(adapter.raw_births(spark, folder, years_later=True))
+    raw = raw.unionByName(once.filter(F.col(RECORD_KEY) % 5 == 0))
+    cities, jobs = _municipalities(spark, folder), _occupations(spark, folder)
+    build_warehouse(raw, cities, jobs, root)
+    tables = read_warehouse(spark, root)
+    profile = star.birth_profile(tables[RECORDS], unique=True)
+    counted = {
+        "fatos_nascidos": reports.births_total(tables["fatos_nascidos"]),
+        "dim_mae": reports.births_total(tables["dim_mae"]),
+        "registros": reports.births_total(tables[RECORDS]),
+        "direto": reports.births_total(star.birth_profile(clean_births(raw))),
+        "larga": reports.births_total(star.births_wide(tables[RECORDS], cities, jobs, unique=True)),
+        "larga_do_esquema": reports.births_total(star.births_wide_from_star(tables)),
+        "escolaridade": reports.births_by_education(profile),
+        "estado_civil": reports.births_by_marital_status(profile),
+        "mes": reports.births_by_month(tables["fatos_nascidos"]),
+    }
+    totals = [
+        df.agg(F.lit(name).alias("visao"), F.sum("nascimentos").alias("nascimentos"))
+        for name, df in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, totals)
 
 
 # Writes ------------------------------------------------------------------------------------
@@ -226,13 +338,69 @@ def sink_append_new_only(spark: SparkSession, folder: str) -> DataFrame:
     return _fact_written_twice(spark, folder, "append_new_only")
 
 
+def append_two_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files that use the same numbers, the second offered twice: births and their mothers."""
+    root = scratch_path(spark, "years")
+    cities, jobs = _municipalities(spark, folder), _occupations(spark, folder)
+    for later in (False, True, True):
+        raw = adapter.raw_births(spark, folder, years_later=later)
+        build_warehouse(raw, cities, jobs, root, mode="append_new_only")
+    tables = read_warehouse(spark, root)
+    mothers = tables["dim_mae"].select("id_mae", YEAR, RECORD_HASH, "dtnascmae", "id_escmae")
+    births = tables["fatos_nascidos"].join(mothers, ["id_mae", YEAR, RECORD_HASH])
+    return births.select(
+        "id_mae", F.col(YEAR).cast("bigint").alias(YEAR), "id_calendario", "dtnascmae", "id_escmae"
+    )
+
+
+def append_new_label(spark: SparkSession, folder: str) -> DataFrame:
+    """A known occupation code that comes again with another title is another row."""
+    root = scratch_path(spark, "labels")
+    raw, cities = adapter.raw_births(spark, folder), _municipalities(spark, folder)
+    jobs = _occupations(spark, folder)
+    title = F.when(F.col("CODIGO") % 4 == 0, F.concat("TITULO", F.lit(" *"))).otherwise(F.col("TITULO"))
+    for offered in (jobs, jobs.withColumn("TITULO", title)):
+        build_warehouse(raw, cities, offered, root, mode="append_new_only")
+    return read_warehouse(spark, root)["dim_profissao"]
+
+
 def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return _fact_written_twice(spark, folder, "overwrite")
 
 
 def warehouse_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The eight stored tables after a repeated run that adds new rows only."""
-    stored = read_warehouse(spark, _stored_warehouse(spark, folder, 2, mode="append_new_only"))
+    return _sizes(read_warehouse(spark, _stored_warehouse(spark, folder, 2, mode="append_new_only")))
+
+
+def warehouse_named_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as tables of a database of the catalog."""
+    path = scratch_path(spark, "database")
+    name = "d" + path[-32:]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    for _ in range(2):
+        build_warehouse(
+            adapter.raw_births(spark, folder),
+            _municipalities(spark, folder),
+            _occupations(spark, folder),
+            scratch_path(spark, "warehouse"),
+            database=name,
+            mode="append_new_only",
+        )
+    return _sizes(read_warehouse(spark, database=name))
+
+
+def _stored(table: str) -> Query:
+    """A stored table after a repeated run, with the columns of the star schema."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        stored = _warehouse(spark, folder)[table]
+        return stored.drop(YEAR, RECORD_HASH)
+
+    return query
+
+
+def _sizes(stored: dict[str, DataFrame]) -> DataFrame:
     sizes = [
         stored[name].agg(
             F.lit(name).alias("tabela"),
@@ -247,20 +415,19 @@ def warehouse_tables(spark: SparkSession, folder: str) -> DataFrame:
 def warehouse_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The stored fact of a run that samples."""
     root = _stored_warehouse(spark, folder, sample=SAMPLE_SIZE)
-    return read_warehouse(spark, root)["fatos_nascidos"]
+    return read_warehouse(spark, root)["fatos_nascidos"].drop(YEAR, RECORD_HASH)
 
 
 def silver_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    root = scratch_path(spark, "silver")
-    write_silver(adapter.raw_births(spark, folder), root)
-    return spark.read.parquet(silver_path(root))
+    return write_silver(adapter.raw_births(spark, folder), scratch_path(spark, "silver"))
 
 
 def land_twice(spark: SparkSession, folder: str) -> DataFrame:
     """Two landings on one path, the second with other rows: what each says, and what is stored."""
     path = scratch_path(spark, "landing")
     raw = adapter.raw_births(spark, folder)
-    said = [land_if_absent(df, path).first()["status"] for df in (raw, raw.limit(1))]
+    other = raw.withColumn(RECORD_KEY, F.col(RECORD_KEY) + 1)
+    said = [land_if_absent(df, path).first()["status"] for df in (raw, other)]
     stored = spark.read.parquet(path)
     return stored.agg(
         F.lit(said[0]).alias("primeira"),
@@ -273,9 +440,14 @@ def land_twice(spark: SparkSession, folder: str) -> DataFrame:
 # Reports -----------------------------------------------------------------------------------
 
 
-def report_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = reports.apply_filters(births_wide(spark, folder), FILTERS)
-    return reports.births_by_newborn_race(chosen)
+def _filtered(*only: str) -> Query:
+    """The births that the filters choose, with the columns that they and a report need."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        source = _wide_with("parto", "estado_civil", *only)
+        return reports.apply_filters(source(spark, folder), FILTERS)
+
+    return query
 
 
 def report_filters_reset(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,8 +473,12 @@ QUERIES: dict[str, Query] = {
     "births_clean": _births,
     "births_clean_lenient": births_clean_lenient,
     "births_rejects": births_rejects,
+    "births_strict_violations": births_strict_violations,
     "births_sample_exact": births_sample_exact,
+    "sample_tied_timestamps": sample_tied_timestamps,
+    "codes_beyond_double": codes_beyond_double,
     "births_csv_scan": births_csv_scan,
+    "births_csv_rejects": births_csv_rejects,
     "municipality_csv_scan": municipality_csv_scan,
     "occupation_csv_scan": occupation_csv_scan,
     "municipality_prepared": _municipalities,
@@ -316,10 +492,10 @@ QUERIES: dict[str, Query] = {
     "dim_consultas": _report(_births, star.dim_consultas),
     "dim_gestacao": _report(_births, star.dim_gestacao),
     "dim_parto_sexo": _report(_births, star.dim_parto_sexo),
-    "dim_mae": _report(_births, star.dim_mae),
-    "dim_mae_compat": _report(_births, star.dim_mae, compat=True),
+    "dim_mae": _report(_records, star.dim_mae, unique=True),
+    "dim_mae_compat": _report(_records, star.dim_mae, compat=True, unique=True),
     "fact_births": _fact,
-    "fact_births_compat": _report(_births, star.fact_births, compat=True),
+    "fact_births_compat": _report(_records, star.fact_births, compat=True, unique=True),
     "decode_pregnancy": decode_pregnancy,
     "birth_profile": _profile,
     "births_wide": births_wide,
@@ -327,10 +503,16 @@ QUERIES: dict[str, Query] = {
     "orphan_municipality": orphan_municipality,
     "orphan_occupation": orphan_occupation,
     "dimension_key_check": dimension_key_check,
+    "births_total_by_view": births_total_by_view,
     "sink_append_twice": sink_append_twice,
     "sink_append_new_only": sink_append_new_only,
     "sink_overwrite": sink_overwrite,
+    "append_two_years": append_two_years,
+    "append_new_label": append_new_label,
     "warehouse_tables": warehouse_tables,
+    "warehouse_named_tables": warehouse_named_tables,
+    **{f"stored_{name}": _stored(name) for name in STAR},
+    "stored_registros": _stored(RECORDS),
     "warehouse_sampled": warehouse_sampled,
     "silver_roundtrip": silver_roundtrip,
     "land_if_absent": land_twice,
@@ -360,6 +542,15 @@ QUERIES: dict[str, Query] = {
     "report_newborn_race": _report(_fact, reports.births_by_newborn_race),
     "report_month_vs_average": _report(_fact, reports.births_by_month),
     "report_state_pareto": _report(_fact, reports.births_by_state_pareto, _city_labels),
-    "report_filtered": report_filtered,
+    "report_filtered": _report(_filtered(), reports.births_by_newborn_race),
+    "report_filtered_profile": _report(_filtered("dtnascmae"), reports.births_by_age_band),
+    "report_filtered_occupations": _report(
+        _filtered("id_codocupmae"), reports.births_by_occupation, _job_labels
+    ),
+    "report_filtered_health": _report(_filtered("raca_mae"), reports.deliveries_by_race),
+    "report_filtered_geography": _report(_filtered(), reports.births_by_month),
+    "report_filtered_places": _report(
+        _filtered(), reports.birth_place_by_region, _city_labels, **_REGIONS
+    ),
     "report_filters_reset": report_filters_reset,
 }

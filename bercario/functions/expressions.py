@@ -8,16 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def whole_number(value: Column, dtype: T.DataType) -> Column:
-    """``value`` as BIGINT, cut toward zero; NULL where it is no number.
 
-    Text goes through DOUBLE since ``7.0`` is a valid way to write code 7.
-    """
+def whole_number(value: Column, dtype: T.DataType) -> Column:
+    """``value`` as BIGINT, cut toward zero; NULL where it is no number."""
     if isinstance(dtype, T.IntegralType):
         return value.cast("bigint")
-    if isinstance(dtype, T.StringType):
-        value = value.try_cast("double")
-    return value.try_cast("bigint")
+    return number(value, dtype).try_cast("bigint")
+
+
+def number(value: Column, dtype: T.DataType) -> Column:
+    """``value`` as a number with its decimals; NULL where it is none.
+
+    Text becomes a decimal, since ``7.0`` is a valid way to write code 7 and a binary fraction
+    would change codes of more than 15 digits.
+    """
+    return value.try_cast("decimal(38,18)") if isinstance(dtype, T.StringType) else value
 
 
 def compact_date(code: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bercario.schemas import RECORD_KEY, STAR_KEYS
+from bercario.schemas import RECORD_KEY, STAR, STAR_KEYS
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -36,7 +36,7 @@ def key_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.count_if(F.col("rows") > 1).alias("chaves_repetidas"),
         ).select(F.lit(name).alias("tabela"), "linhas", "chaves", "chaves_repetidas")
 
-    return reduce(DataFrame.unionByName, [summary(name, df) for name, df in tables.items()])
+    return reduce(DataFrame.unionByName, [summary(name, df) for name, df in tables.items() if name in STAR])
 
 
 def orphans(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """From raw birth records to typed, plausible ones.
 
-The order matters and is kept: complete rows, then parsing, then the plausibility filters.
-Each step is a projection or filter, so cleaning never shuffles and runs inside the scan stage.
+The order matters and is kept: complete rows, then parsing, then the plausibility filters. Each
+step is a projection or filter, so cleaning never shuffles and runs inside the scan stage.
+
+A strict caller is told of unreadable values before it gets any row, by a look at all complete
+rows, so that neither a filter nor a column that is not read can hide one.
 """
 
 from __future__ import annotations
@@ -13,12 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bercario.functions.expressions import compact_date, date_in_range, whole_number
+from bercario.functions.expressions import compact_date, date_in_range, number, whole_number
 from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS
 
 # Mothers are born in [first, end), and have at most this many children.
 MOTHER_BORN_FROM, MOTHER_BORN_BEFORE = "1950-01-01", "2014-01-01"
 MOST_CHILDREN = 10
+CHILDREN = ["QTDFILVIVO", "QTDFILMORT"]
+
+# Added by ``assessed_births``.
+ACCEPTED, REASON = "aceito", "motivo"
+
+
+class UnreadableBirths(ValueError):
+    """Complete records hold values that cannot be read."""
 
 
 def complete_rows(raw: DataFrame) -> DataFrame:
@@ -29,9 +40,13 @@ def complete_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(reduce(and_, [F.col(name).isNotNull() for name in BIRTH_COLUMNS]))
 
 
+def _types(raw: DataFrame) -> dict[str, T.DataType]:
+    return {field.name: field.dataType for field in raw.schema}
+
+
 def _parsed(raw: DataFrame) -> dict[str, Column]:
     """Typed expression of every birth column; NULL where the text cannot be read."""
-    types = {field.name: field.dataType for field in raw.schema}
+    types = _types(raw)
     numbers = {name: whole_number(F.col(name), types[name]) for name in BIRTH_COLUMNS}
     return numbers | {name: compact_date(numbers[name]) for name in DATE_COLUMNS}
 
@@ -42,54 +57,105 @@ def _doubtful(raw: DataFrame) -> list[str]:
     return [name for name in BIRTH_COLUMNS if name in DATE_COLUMNS or name not in whole]
 
 
-def _or_fail(parsed: Column, name: str) -> Column:
-    """``parsed``, or an error that names column and value if the value was unreadable."""
-    value = F.col(name).cast("string")
-    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"unreadable {name}: "), value)))
+def _reason(unreadable: dict[str, Column]) -> Column:
+    return F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in unreadable.items()])
+
+
+def require_readable(raw: DataFrame) -> None:
+    """An error that names columns and values if complete rows hold unreadable ones.
+
+    Runs a job over the columns that may be unreadable, whatever the caller goes on to read.
+    """
+    bad = rejected_births(raw).limit(1).collect()
+    if bad:
+        names = bad[0][REASON].split(",")
+        raise UnreadableBirths("; ".join(f"unreadable {name}: {bad[0][name]}" for name in names))
 
 
 def parse_columns(df: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
-    """``df`` with the named columns as BIGINT or DATE.
+    """``df`` with the named columns as BIGINT or DATE, unreadable values as NULL.
 
-    When strict, rows must be complete, and an unreadable value ends the job under any ANSI
-    setting; otherwise it is NULL.
+    When strict, complete rows of the whole frame must be readable, see ``require_readable``.
     """
-    parsed = _parsed(df)
     if strict:
-        parsed |= {name: _or_fail(parsed[name], name) for name in _doubtful(df)}
+        require_readable(df)
+    parsed = _parsed(df)
     return df.withColumns({name: parsed[name] for name in columns})
 
 
+def _mother_plausible(born: Column) -> Column:
+    return date_in_range(born, MOTHER_BORN_FROM, MOTHER_BORN_BEFORE)
+
+
+def _few_children(df: DataFrame) -> Column:
+    """Counts are compared with their decimals, before they are cut: 10.5 is too many."""
+    types = _types(df)
+    return reduce(and_, [number(F.col(n), types[n]) <= MOST_CHILDREN for n in CHILDREN])
+
+
 def plausible_births(df: DataFrame) -> DataFrame:
-    """Rows whose mother's birth date and child counts are in range (on parsed columns)."""
-    return df.filter(
-        date_in_range(F.col("DTNASCMAE"), MOTHER_BORN_FROM, MOTHER_BORN_BEFORE)
-        & (F.col("QTDFILVIVO") <= MOST_CHILDREN)
-        & (F.col("QTDFILMORT") <= MOST_CHILDREN)
-    )
+    """Rows whose mother's birth date (parsed) and child counts (parsed or not) are in range."""
+    return df.filter(_mother_plausible(F.col("DTNASCMAE")) & _few_children(df))
 
 
 def clean_births(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Complete, parsed, plausible births.
 
-    When not strict, rows that cannot be read are left out here and returned by
-    ``rejected_births``.
+    When strict, an unreadable value in any complete row is an error here, before a row is
+    returned. Otherwise such rows are left out and returned by ``rejected_births``.
     """
     if strict:
-        parsed = parse_columns(complete_rows(raw), BIRTH_COLUMNS)
-    else:
-        # What is missing in the raw row is missing after parsing, so one test finds both.
-        parsed = complete_rows(parse_columns(raw, BIRTH_COLUMNS, strict=False))
-    return plausible_births(parsed.select(*BIRTH_COLUMNS))
+        require_readable(raw)
+    few = raw.filter(_few_children(raw))
+    # What is missing in the raw row is missing after parsing, so one test finds both.
+    parsed = complete_rows(parse_columns(few, BIRTH_COLUMNS, strict=False))
+    return parsed.filter(_mother_plausible(F.col("DTNASCMAE"))).select(*BIRTH_COLUMNS)
 
 
 def rejected_births(raw: DataFrame) -> DataFrame:
-    """Complete rows with an unreadable value, as they came, and the names of those columns."""
+    """Complete rows with an unreadable value, as they came, and the names of those columns.
+
+    Plausibility is not asked: a row that another filter would drop is listed as well.
+    """
     complete = complete_rows(raw)
     parsed = _parsed(complete)
     unreadable = {name: parsed[name].isNull() for name in _doubtful(complete)}
-    reasons = [F.when(bad, F.lit(name)) for name, bad in unreadable.items()]
-    return complete.filter(reduce(or_, unreadable.values())).select(
-        *BIRTH_COLUMNS, F.concat_ws(",", *reasons).alias("motivo")
-    )
+    bad = complete.filter(reduce(or_, unreadable.values()))
+    return bad.select(*BIRTH_COLUMNS, _reason(unreadable).alias(REASON))
 
+
+def assessed_births(raw: DataFrame) -> DataFrame:
+    """Every complete row, parsed, with what a strict run has to know, for storing.
+
+    ``aceito`` says that the row is readable and plausible. For an unreadable value the parsed
+    column is NULL and ``bruto_<column>`` has the text.
+    """
+    complete = complete_rows(raw)
+    parsed = _parsed(complete)
+    texts = {
+        f"bruto_{name}": F.when(parsed[name].isNull(), F.col(name).cast("string"))
+        for name in _doubtful(complete)
+    }
+    rows = complete.select(
+        *[parsed[name].alias(name) for name in BIRTH_COLUMNS],
+        *[text.alias(name) for name, text in texts.items()],
+        _few_children(complete).alias("_few"),
+    )
+    readable = reduce(and_, [F.col(name).isNotNull() for name in BIRTH_COLUMNS])
+    plausible = _mother_plausible(F.col("DTNASCMAE")) & F.col("_few")
+    accepted = F.coalesce(readable & plausible, F.lit(False))
+    return rows.withColumn(ACCEPTED, accepted).drop("_few")
+
+
+def unreadable_rows(assessed: DataFrame) -> DataFrame:
+    """The rows of ``assessed_births`` with an unreadable value, as text, and which columns."""
+    texts = [name for name in assessed.columns if name.startswith("bruto_")]
+    unreadable = {name.removeprefix("bruto_"): F.col(name).isNotNull() for name in texts}
+    columns = [
+        F.coalesce(F.col(name).cast("string"), F.col(f"bruto_{name}")).alias(name)
+        if name in unreadable
+        else F.col(name).cast("string").alias(name)
+        for name in BIRTH_COLUMNS
+    ]
+    bad = assessed.filter(reduce(or_, unreadable.values()))
+    return bad.select(*columns, _reason(unreadable).alias(REASON))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What a broadcast may hold. It is measured, never assumed.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 
-# Keys that are looked for, and the part of the rows they are looked for in.
-MOST_FREQUENT = 10_000
-_SHARE_INSPECTED = 64
+# A key is frequent if it is on more than this part of the rows, and on more than ``LEAST_HOT``.
+# There are fewer frequent keys than parts, whatever the input.
+HOT_PART, LEAST_HOT = 1_000, 1_000
 
 
 def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
@@ -20,31 +22,36 @@ def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
     return lookup.groupBy(key).agg(smallest).select(key, *[f"row.{name}" for name in rest])
 
 
+def _width(columns: list[str]) -> Column:
+    texts = [F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) + 8 for n in columns]
+    return reduce(Column.__add__, texts)
+
+
 def fits_broadcast(
-    df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES
+    df: DataFrame, most_rows: int | None = None, most_bytes: int | None = None
 ) -> bool:
     """True if ``df`` was counted and measured to be small.
 
-    Takes the width of ``most_rows`` + 1 rows at most, which of a large table reads a few
-    partitions only. It is meant for stored or read tables, not for the result of a shuffle.
+    Adds up ``most_rows`` + 1 rows at most, which of a large table reads a few partitions only.
+    It is meant for stored or read tables, not for the result of a shuffle.
     """
-    width = sum(F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) + 8 for n in df.columns)
-    widths = [row[0] for row in df.select(width).limit(most_rows + 1).collect()]
-    return len(widths) <= most_rows and sum(widths) <= most_bytes
+    most_rows = BROADCAST_ROWS if most_rows is None else most_rows
+    most_bytes = BROADCAST_BYTES if most_bytes is None else most_bytes
+    few = df.select(_width(df.columns).alias("width")).limit(most_rows + 1)
+    rows, total = few.agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
+    return rows <= most_rows and total <= most_bytes
 
 
-def frequent_keys(df: DataFrame, key: str, least: int = 1_000) -> DataFrame:
-    """Keys that are frequent in a fixed part of ``df``, the most frequent 10,000 at most.
+def frequent_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys on more than a thousandth of the rows and on more than ``LEAST_HOT``.
 
-    Which rows are inspected depends on a hash of the row, so it never changes. The answer only
-    decides how a join is carried out: a frequent key that is missed costs time, no rows. The
-    list is read out once, so that every use of it sees the same keys.
+    All rows are counted, with map-side sums, and the keys are fewer than a thousand. They are
+    read out once, so that every use of them sees the same keys.
     """
-    inspected = df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(_SHARE_INSPECTED)) == 0)
-    counts = inspected.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    often = counts.filter((F.col("rows") >= least) & F.col(key).isNotNull())
-    top = often.orderBy(F.desc("rows"), key).limit(MOST_FREQUENT).select(key)
-    return df.sparkSession.createDataFrame(top.collect(), top.schema)
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    limit = max(LEAST_HOT, df.count() // HOT_PART)
+    hot = counts.filter(F.col("rows") > limit).select(key)
+    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def attach(
@@ -58,13 +65,13 @@ def attach(
 
     Each row stays one row: a key counts once, see ``one_row_per_key``, which ``unique`` skips.
 
-    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the lookup
-    rows of the frequent keys (10,000 at most) are broadcast, and the rest is joined by key and
-    place: the hash of the key, but that of the whole row where the key is frequent or missing.
-    So those rows are spread over all tasks; ``df`` is read only once.
+    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise rows without
+    a key get no label and move nowhere, rows of frequent keys (fewer than a thousand) are
+    joined to those keys' labels where they are, equal rows or not, and the rest is joined by
+    shuffle. ``df`` is read three times then, so it is best a stored table. Should the labels of
+    the frequent keys themselves be too large to broadcast, all rows are joined by shuffle.
 
-    ``seen_in`` may give a frame that is cheaper to count frequent keys in than ``df``. Its rows
-    need a column besides the key that tells them apart.
+    ``seen_in`` may give a frame that is cheaper to count frequent keys in than ``df``.
     """
     labels = [name for name in lookup.columns if name != key]
     small = fits_broadcast(lookup)
@@ -72,12 +79,14 @@ def attach(
     if small:
         return df.join(F.broadcast(lookup), key, "left").select(*df.columns, *labels)
 
+    keyed = df.filter(F.col(key).isNotNull())
+    none = [F.lit(None).cast(lookup.schema[name].dataType).alias(name) for name in labels]
+    missing = df.filter(F.col(key).isNull()).select(*df.columns, *none)
     hot = frequent_keys(df if seen_in is None else seen_in, key)
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = hot.join(hot_lookup, key, "left").select(key, F.struct(*labels).alias("_hot"))
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    place = F.when(spread, F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
-    left = df.join(F.broadcast(hot_rows), key, "left").withColumn("_place", place)
-    right = lookup.select(key, F.xxhash64(key).alias("_place"), F.struct(*labels).alias("_label"))
-    found = [F.coalesce(F.col(f"_hot.{n}"), F.col(f"_label.{n}")).alias(n) for n in labels]
-    return left.join(right, [key, "_place"], "left").select(*df.columns, *found)
+    hot_rows = hot.join(lookup.join(F.broadcast(hot), key, "left_semi"), key, "left")
+    if not fits_broadcast(hot_rows):
+        joined = keyed.join(lookup, key, "left").select(*df.columns, *labels)
+        return joined.unionByName(missing)
+    frequent = keyed.join(F.broadcast(hot_rows), key).select(*df.columns, *labels)
+    others = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, "left")
+    return frequent.unionByName(others.select(*df.columns, *labels)).unionByName(missing)

@@ -88,7 +88,9 @@ def _part_of_tie(tied: DataFrame, n: int) -> DataFrame:
 
     Equal rows are counted, not ranked, and the last one is repeated as often as needed.
     """
-    row_hash = F.md5(F.to_json(F.struct(*tied.columns)))
+    # Of the values as they are: text forms may drop digits of a timestamp. As 32 hex digits.
+    parts = [F.xxhash64(F.lit(part), *tied.columns) for part in range(2)]
+    row_hash = F.concat(*[F.lower(F.lpad(F.hex(part), 16, "0")) for part in parts])
     value, _, missing = _cut(tied.select(row_hash.alias("hash")), n)
     last = tied.filter(row_hash == value).dropDuplicates()
     starts = F.sequence(F.lit(0).cast("bigint"), F.lit(missing - 1), F.lit(_COPIES_PER_ROW))

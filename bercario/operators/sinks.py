@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from bercario.sources.storage import path_exists
 
@@ -17,14 +20,18 @@ def write_table(
     *,
     table: str | None = None,
     mode: str = "append",
-    key: str | None = None,
+    key: str | Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
+    only_in: Column | None = None,
 ) -> None:
     """Write ``df`` to a Parquet folder or a catalog table, creating it if needed.
 
     ``append`` adds every row, so a repeated run stores everything twice. ``append_new_only``
-    adds the rows whose ``key`` is not stored yet, which makes a repeated run harmless (one
-    writer at a time). ``overwrite`` replaces the table.
+    adds the rows that are not stored yet, which makes a repeated run harmless (one writer at a
+    time). Rows are the same if they agree in ``key``, one or more columns, null being equal to
+    null; without a key, if they agree in all columns. ``only_in`` restricts the stored rows that
+    are looked at to where a row of ``df`` can be, such as its partitions. ``overwrite`` replaces
+    the table.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table name")
@@ -32,13 +39,15 @@ def write_table(
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
     spark = df.sparkSession
     if mode == "append_new_only":
-        if key is None:
-            raise ValueError("append_new_only needs a key")
         stored = spark.catalog.tableExists(table) if table else path_exists(spark, path)
         if stored:
             # The schema is given, as a failed first write leaves a folder without any file.
             old = spark.table(table) if table else spark.read.schema(df.schema).parquet(path)
-            df = df.join(old.select(key), key, "left_anti")
+            names = list(df.columns) if key is None else [key] if isinstance(key, str) else list(key)
+            old = old if only_in is None else old.filter(only_in)
+            old = old.select(*[F.col(name).alias(f"_old_{i}") for i, name in enumerate(names)])
+            same = [df[name].eqNullSafe(old[f"_old_{i}"]) for i, name in enumerate(names)]
+            df = df.join(old, reduce(and_, same), "left_anti")
     writer = df.write.mode("overwrite" if mode == "overwrite" else "append").partitionBy(*partition_by)
     if table:
         writer.format("parquet").saveAsTable(table)

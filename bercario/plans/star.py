@@ -1,9 +1,11 @@
 """The eight star tables, and the wide views that reports read.
 
-``births`` is always the output of ``clean_births`` (or a sample of it). Duplicates are removed
-on raw codes and labels are added afterwards, so text is never shuffled where a number will do.
-``unique`` says that ``records_unique`` found each record once: the large tables then need no
-distinct, and are built without any shuffle.
+``births`` is always the output of ``clean_births`` (or a sample of it), or the stored records. A
+birth is a record, distinct in all its columns: two rows are one birth only if they agree in
+everything, so all tables and views count the same births, whichever columns they show.
+``unique`` says that no record repeats, as in the stored records: the large tables then need no
+distinct, and are built without any shuffle. Labels are added after codes, so text is never
+shuffled where a number will do.
 """
 
 from __future__ import annotations
@@ -17,16 +19,7 @@ from bercario.functions import codes
 from bercario.functions.codes import decode
 from bercario.functions.expressions import joined_code, stripped_date_text
 from bercario.operators.lookups import attach
-from bercario.schemas import as_table
-
-_MOTHER = [
-    "CONTADOR", "ESCMAE", "CODOCUPMAE", "DTNASCMAE", "GESTACAO",
-    "RACACORMAE", "ESTCIVMAE", "QTDFILVIVO", "QTDFILMORT",
-]
-_FACT = [
-    "CONTADOR", "DTNASC", "CODMUNNASC", "PARTO", "SEXO", "CONSULTAS", "RACACOR", "LOCNASC",
-]
-
+from bercario.schemas import BIRTH_COLUMNS, RECORD_HASH, RECORDS, YEAR, as_table, table_schema
 
 # Rows of the reference files that occur in the births -------------------------------------
 
@@ -149,13 +142,28 @@ def _named(columns: Mapping[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def _with_education(columns: list[str], education_column: str) -> list[str]:
-    return [education_column if name == "ESCMAE" else name for name in columns]
+def records(births: DataFrame, unique: bool = False) -> DataFrame:
+    """Each record once, with what identifies it: the year of the birth and a hash of the record."""
+    rows = births.select(*BIRTH_COLUMNS)
+    return (rows if unique else rows.distinct()).withColumns(
+        {
+            RECORD_HASH: F.xxhash64(*BIRTH_COLUMNS),
+            YEAR: F.year("DTNASC"),
+        }
+    )
+
+
+def _rows(births: DataFrame, unique: bool) -> DataFrame:
+    return births if unique else births.select(*BIRTH_COLUMNS).distinct()
 
 
-def _rows(births: DataFrame, columns: list[str], unique: bool) -> DataFrame:
-    rows = births.select(*columns)
-    return rows if unique else rows.distinct()
+def _per_record(
+    rows: DataFrame, columns: Mapping[str, Column], table: str, compat: bool, identity: bool
+) -> DataFrame:
+    """A table with a row per record, and the identity of the record if asked."""
+    types = {field.name: field.dataType for field in table_schema(table, compat)}
+    cast = [column.cast(types[name]).alias(name) for name, column in columns.items()]
+    return rows.select(*cast, *([RECORD_HASH, YEAR] if identity else []))
 
 
 def dim_mae(
@@ -163,21 +171,25 @@ def dim_mae(
     education_column: str = "ESCMAE",
     compat: bool = False,
     unique: bool = False,
+    identity: bool = False,
 ) -> DataFrame:
     """The mother as described by one birth record; its key is the record's."""
-    rows = _rows(births, _with_education(_MOTHER, education_column), unique)
-    return as_table(rows.select(*_named(_mother_columns(education_column, compat))), "dim_mae", compat)
+    columns = _mother_columns(education_column, compat)
+    return _per_record(_rows(births, unique), columns, "dim_mae", compat, identity)
 
 
-def fact_births(births: DataFrame, compat: bool = False, unique: bool = False) -> DataFrame:
+def fact_births(
+    births: DataFrame, compat: bool = False, unique: bool = False, identity: bool = False
+) -> DataFrame:
     """One row per birth record.
 
     ``compat`` gives the output of the system this replaces, flaws included: race of the
     newborn from the visits code, place of birth from the race code, and dates as text that
     has lost trailing zeros.
     """
-    rows = _rows(births, _FACT, unique)
-    return as_table(rows.select(*_named(_fact_columns(compat))), "fatos_nascidos", compat)
+    return _per_record(
+        _rows(births, unique), _fact_columns(compat), "fatos_nascidos", compat, identity
+    )
 
 
 def star_tables(
@@ -187,17 +199,25 @@ def star_tables(
     education_column: str = "ESCMAE",
     compat: bool = False,
     unique: bool = False,
+    identity: bool = False,
 ) -> dict[str, DataFrame]:
-    """All eight tables by name."""
+    """All eight tables by name; ``identity`` adds to mother and fact which record they are of.
+
+    The four tables of codes are made from their combinations, a few thousand at most, so that the
+    births are read once for all of them.
+    """
+    combinations = births.select(
+        F.col(education_column), "CONSULTAS", "GESTACAO", "SEXO", "PARTO"
+    ).distinct()
     return {
         "dim_municipio": dim_municipio(births, municipalities),
         "dim_profissao": dim_profissao(births, occupations),
-        "dim_escolaridade": dim_escolaridade(births, education_column),
-        "dim_consultas": dim_consultas(births),
-        "dim_parto_sexo": dim_parto_sexo(births),
-        "dim_gestacao": dim_gestacao(births),
-        "dim_mae": dim_mae(births, education_column, compat, unique),
-        "fatos_nascidos": fact_births(births, compat, unique),
+        "dim_escolaridade": dim_escolaridade(combinations, education_column),
+        "dim_consultas": dim_consultas(combinations),
+        "dim_parto_sexo": dim_parto_sexo(combinations),
+        "dim_gestacao": dim_gestacao(combinations),
+        "dim_mae": dim_mae(births, education_column, compat, unique, identity),
+        "fatos_nascidos": fact_births(births, compat, unique, identity),
     }
 
 
@@ -212,9 +232,8 @@ def birth_profile(
 ) -> DataFrame:
     """Fact, mother and coded labels of each birth, straight from the births.
 
-    Both tables describe the same record, so nothing is joined: one distinct replaces the two
-    of the tables and the join of one large table to another. ``only`` names the columns wanted
-    besides those of the fact; the distinct then moves no others.
+    Both tables describe the same record, so nothing is joined. ``only`` names the columns wanted
+    besides those of the fact; of stored records no others are read.
     """
     mother = _mother_columns(education_column, compat=False)
     labels = {
@@ -226,11 +245,8 @@ def birth_profile(
     }
     beside_fact = mother | labels
     wanted = list(beside_fact) if only is None else list(only)
-    source = dict(zip(mother, _with_education(_MOTHER, education_column), strict=True))
-    source |= {"escolaridade": education_column, "descricao_semanas": "GESTACAO"}
-    used = dict.fromkeys(_FACT + [source[name] for name in wanted if name in source])
     columns = _fact_columns(compat=False) | {name: beside_fact[name] for name in wanted}
-    return _rows(births, list(used), unique).select(*_named(columns))
+    return _rows(births, unique).select(*_named(columns))
 
 
 def births_wide(
@@ -239,30 +255,33 @@ def births_wide(
     occupations: DataFrame,
     education_column: str = "ESCMAE",
     unique: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Each birth with the labels of all dimensions; NULL where a dimension has no row."""
+    """Each birth with the labels of all dimensions; NULL where a dimension has no row.
+
+    ``only`` names the columns wanted besides those of the fact and of the reference files.
+    """
     cities = municipality_labels(municipalities)
     cities = cities.withColumnRenamed("id_codmunicipionasc", "id_codmunnasc")
     jobs = occupation_labels(occupations).withColumnRenamed("id_ocupmae", "id_codocupmae")
-    # Frequent codes are looked for in the births, which need no shuffle to be read.
-    seen = births.select(
-        F.col("CONTADOR").alias("id_mae"),
-        F.col("CODMUNNASC").alias("id_codmunnasc"),
-        F.col("CODOCUPMAE").alias("id_codocupmae"),
-    )
-    wide = birth_profile(births, education_column, unique)
-    wide = attach(wide, cities, "id_codmunnasc", seen.select("id_mae", "id_codmunnasc"))
-    return attach(wide, jobs, "id_codocupmae", seen.select("id_mae", "id_codocupmae"))
+    wide = birth_profile(births, education_column, unique, only)
+    wide = attach(wide, cities, "id_codmunnasc", births.select(F.col("CODMUNNASC").alias("id_codmunnasc")))
+    if "id_codocupmae" not in wide.columns:
+        return wide
+    return attach(wide, jobs, "id_codocupmae", births.select(F.col("CODOCUPMAE").alias("id_codocupmae")))
 
 
-def births_wide_from_star(tables: Mapping[str, DataFrame], unique: bool = False) -> DataFrame:
-    """The same view from stored star tables, by left joins from the fact.
+def births_wide_from_star(
+    tables: Mapping[str, DataFrame], education_column: str = "ESCMAE"
+) -> DataFrame:
+    """The same view from the stored tables.
 
-    Every dimension counts once per key, so the result has the rows of the fact even if a
-    dimension was appended twice. ``unique`` says that ``dim_mae`` holds no key twice.
+    Fact and mother are read from the stored records, which both were made of: the two large
+    tables are not joined, and a birth keeps its own mother whatever numbers repeat. The labels
+    come from the stored dimensions. Every dimension counts once per key, so the result has the
+    rows of the records even if a dimension was appended twice.
     """
     renamed = {
-        "dim_mae": {},
         "dim_municipio": {"id_codmunicipionasc": "id_codmunnasc"},
         "dim_profissao": {"id_ocupmae": "id_codocupmae"},
         "dim_escolaridade": {},
@@ -270,15 +289,11 @@ def births_wide_from_star(tables: Mapping[str, DataFrame], unique: bool = False)
         "dim_consultas": {"id_consultas": "id_consulta", "descricao": "descricao_consultas"},
         "dim_parto_sexo": {},
     }
-    fact, mothers = tables["fatos_nascidos"], tables["dim_mae"]
-    wide = fact
+    columns = _fact_columns(compat=False) | _mother_columns(education_column, compat=False)
+    wide = tables[RECORDS].select(*_named(columns))
     for name, names in renamed.items():
         dimension = tables[name].withColumnsRenamed(names)
         key = dimension.columns[0]
-        if name == "dim_mae":
-            wide = attach(wide, dimension, key, unique=unique)
-        else:
-            coded = fact if key in fact.columns else mothers
-            wide = attach(wide, dimension, key, coded.select("id_mae", key))
+        coded = tables[RECORDS].select(columns[key].alias(key))
+        wide = attach(wide, dimension, key, coded)
     return wide
-

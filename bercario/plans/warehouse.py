@@ -1,37 +1,90 @@
-"""From the three inputs to the stored star schema."""
+"""From the three inputs to the stored star schema.
+
+What is stored: the assessed input of the last run (silver), the records of all runs, each once
+(``registros``), and the eight star tables, which can be made again from the records. Records,
+mothers and facts carry the identity of their record and are partitioned by the year of the birth.
+"""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bercario.operators.checks import records_unique
-from bercario.operators.cleaning import clean_births, rejected_births
+from bercario.operators.cleaning import (
+    ACCEPTED,
+    REASON,
+    UnreadableBirths,
+    assessed_births,
+    unreadable_rows,
+)
 from bercario.operators.sampling import sample_exact
 from bercario.operators.sinks import write_table
-from bercario.plans.star import star_tables
-from bercario.schemas import RECORD_KEY, STAR, STAR_KEYS, table_schema
+from bercario.plans.star import records, star_tables
+from bercario.schemas import BIRTH_COLUMNS, IDENTITY, RECORD_KEY, RECORDS, STAR, YEAR, stored_schema
+
+# Tables written at a time; each write is its own job and most are small.
+WRITERS = 4
 
 
 def silver_path(root: str) -> str:
     return f"{root}/silver/births"
 
 
+def rejected_path(root: str) -> str:
+    return f"{root}/silver/births_rejected"
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root}/dw/{table}"
 
 
+def read_silver(spark: SparkSession, root: str) -> DataFrame:
+    """The accepted births of the last run."""
+    stored = spark.read.parquet(silver_path(root))
+    return stored.filter(F.col(ACCEPTED)).select(*BIRTH_COLUMNS)
+
+
 def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
-    """Store the cleaned births and return them as stored.
+    """Store the assessed births and return the accepted ones as stored.
 
-    The text files are parsed once, and a value that cannot be read ends the run here, before
-    any table is written. Later steps read only the columns they need, and a lost executor
-    repeats a Parquet read, not the parsing. A previous run's births are replaced. When not
-    strict, the raw rows are read a second time for the reject table.
+    The text files are parsed once, with a verdict on every complete row. Rows that hold a value
+    that cannot be read are then listed under ``births_rejected``, implausible ones included; if
+    there are any, a strict run ends here, before any table is written. Later steps read only
+    the columns they need, and a lost executor repeats a Parquet read, not the parsing. A
+    previous run's births are replaced; their records stay in the warehouse.
     """
-    clean_births(raw, strict).write.mode("overwrite").parquet(silver_path(root))
-    if not strict:
-        rejected_births(raw).write.mode("overwrite").parquet(f"{root}/silver/births_rejected")
-    return raw.sparkSession.read.parquet(silver_path(root))
+    spark = raw.sparkSession
+    assessed_births(raw).write.mode("overwrite").parquet(silver_path(root))
+    bad = unreadable_rows(spark.read.parquet(silver_path(root)))
+    bad.write.mode("overwrite").parquet(rejected_path(root))
+    if strict:
+        bad = spark.read.schema(bad.schema).parquet(rejected_path(root))
+        first = bad.limit(1).collect()
+        if first:
+            names = first[0][REASON].split(",")
+            values = "; ".join(f"unreadable {name}: {first[0][name]}" for name in names)
+            raise UnreadableBirths(f"{bad.count()} rows, listed in {rejected_path(root)}: {values}")
+    return read_silver(spark, root)
+
+
+def write_records(births: DataFrame, root: str, sample: int | None = None, seed: int = 42) -> DataFrame:
+    """The records of a run, each once, as stored; a sample of them if asked.
+
+    If no number repeats (checked by shuffling it alone) no record does, and nothing is moved.
+    """
+    spark = births.sparkSession
+    found = records(births, records_unique(births))
+    path = f"{root}/silver/{RECORDS}"
+    found.write.mode("overwrite").parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    if sample is None:
+        return found
+    path = f"{root}/silver/{RECORDS}_sample"
+    sample_exact(found, sample, RECORD_KEY, seed).write.mode("overwrite").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def build_warehouse(
@@ -40,6 +93,7 @@ def build_warehouse(
     occupations: DataFrame,
     root: str,
     *,
+    database: str | None = None,
     mode: str = "append",
     sample: int | None = None,
     seed: int = 42,
@@ -47,22 +101,51 @@ def build_warehouse(
     education_column: str = "ESCMAE",
     compat: bool = False,
 ) -> None:
-    """Clean the births, optionally sample them, and write the eight star tables under ``root``.
+    """Clean the births, optionally sample them, and write the records and the eight star tables.
 
-    ``mode`` is that of ``write_table``; with ``append_new_only`` a failed run can be repeated.
+    The tables go to folders under ``root``, or to the named ``database`` of the catalog; silver is
+    always under ``root``.
+
+    ``mode`` is that of ``write_table``; with ``append_new_only`` a failed run can be repeated. New
+    is then a record that differs from every stored one of its year and number in any column,
+    and a dimension row that differs from every stored one: nothing is dropped for sharing a key.
     """
-    births = write_silver(raw_births, root, strict)
-    unique = records_unique(births)
-    if sample is not None:
-        births = sample_exact(births, sample, RECORD_KEY, seed)
-    tables = star_tables(births, municipalities, occupations, education_column, compat, unique)
-    for name, df in tables.items():
-        write_table(df, table_path(root, name), mode=mode, key=STAR_KEYS[name])
+    batch = write_records(write_silver(raw_births, root, strict), root, sample, seed)
+    only_in = None
+    if mode == "append_new_only":
+        # One row per year of birth.
+        years = [row[0] for row in batch.select(YEAR).distinct().collect()]
+        only_in = F.col(YEAR).isin(years)
+    tables = star_tables(
+        batch, municipalities, occupations, education_column, compat, unique=True, identity=True
+    )
+    tables[RECORDS] = batch
+
+    def write(name: str) -> None:
+        where = {"table": f"{database}.{name}"} if database else {"path": table_path(root, name)}
+        large = name in IDENTITY
+        write_table(
+            tables[name],
+            **where,
+            mode=mode,
+            key=IDENTITY.get(name),
+            partition_by=[YEAR] if large else [],
+            only_in=only_in if large else None,
+        )
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for written in [pool.submit(write, name) for name in tables]:
+            written.result()
 
 
-def read_warehouse(spark: SparkSession, root: str, compat: bool = False) -> dict[str, DataFrame]:
-    """The stored star tables by name."""
+def read_warehouse(
+    spark: SparkSession, root: str | None = None, compat: bool = False, database: str | None = None
+) -> dict[str, DataFrame]:
+    """The stored tables by name, from folders or from the catalog."""
+    names = [*STAR, RECORDS]
+    if database:
+        return {name: spark.table(f"{database}.{name}") for name in names}
     return {
-        name: spark.read.schema(table_schema(name, compat)).parquet(table_path(root, name))
-        for name in STAR
+        name: spark.read.schema(stored_schema(name, compat)).parquet(table_path(root, name))
+        for name in names
     }

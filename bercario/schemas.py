@@ -8,6 +8,11 @@ from pyspark.sql import types as T
 
 RECORD_KEY = "CONTADOR"
 
+# CONTADOR counts the records of one file, so it repeats from year to year. A record is known by
+# the year of the birth, its number, and a hash of all its columns.
+YEAR, RECORD_HASH = "ano", "registro"
+RECORDS = "registros"
+
 DATE_COLUMNS = ["DTNASC", "DTNASCMAE"]
 
 # The 17 births columns read from the registry file; a record needs all of them.
@@ -34,6 +39,13 @@ BIRTH_COLUMNS = [
 MUNICIPALITY_COLUMNS = ["Codigo_Municipio_Completo", "Nome_Municipio", "Nome_UF"]
 OCCUPATION_COLUMNS = ["CODIGO", "TITULO"]
 
+# What one record is in the stored tables that have a row per record.
+IDENTITY = {
+    RECORDS: [YEAR, RECORD_KEY, RECORD_HASH],
+    "dim_mae": [YEAR, "id_mae", RECORD_HASH],
+    "fatos_nascidos": [YEAR, "id_mae", RECORD_HASH],
+}
+
 STAR = {
     "dim_municipio": "id_codmunicipionasc BIGINT, cidade STRING, estado STRING",
     "dim_profissao": "id_ocupmae BIGINT, ocupacao STRING",
@@ -61,6 +73,20 @@ def table_schema(table: str, compat: bool = False) -> T.StructType:
     return T.StructType.fromDDL(ddl.replace(" DATE", " STRING") if compat else ddl)
 
 
+def stored_schema(table: str, compat: bool = False) -> T.StructType:
+    """Schema of a table as the warehouse stores it; tables with a row per record say which."""
+    if table == RECORDS:
+        fields = [
+            T.StructField(name, T.DateType() if name in DATE_COLUMNS else T.LongType())
+            for name in BIRTH_COLUMNS
+        ]
+    else:
+        fields = table_schema(table, compat).fields
+    if table in IDENTITY:
+        fields = [*fields, T.StructField(RECORD_HASH, T.LongType()), T.StructField(YEAR, T.IntegerType())]
+    return T.StructType(list(fields))
+
+
 def as_table(df: DataFrame, table: str, compat: bool = False) -> DataFrame:
     """``df`` with exactly the columns, order and types of a star table."""
     fields = table_schema(table, compat).fields

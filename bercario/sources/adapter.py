@@ -18,13 +18,13 @@ ADAPTER_REGIONS = {"AF": "AFRICA", "AM": "AMERICA", "AS": "ASIA", "EU": "EUROPE"
 
 _BIRTHS = {
     "CONTADOR": "o_orderkey + 1",
-    "CODMUNNASC": "110001 + c_nationkey",
+    "CODMUNNASC": "case when o_orderkey % 59 = 0 then 119999 else 110001 + c_nationkey end",
     "LOCNASC": "case when o_orderkey % 53 = 0 then 9 else 1 + o_orderkey % 5 end",
     "ESTCIVMAE": (
         "case when o_orderkey % 37 = 0 then 9 else cast(substr(o_orderpriority, 1, 1) as int) end"
     ),
     "ESCMAE": "o_orderkey % 14",
-    "CODOCUPMAE": "o_custkey",
+    "CODOCUPMAE": "case when o_orderkey % 61 = 0 then 9000000000000 else o_custkey end",
     "QTDFILVIVO": "o_orderkey % 13",
     "QTDFILMORT": "(o_orderkey * 7) % 12",
     "GESTACAO": "case when o_orderkey % 41 = 0 then 9 else 1 + o_orderkey % 6 end",
@@ -52,11 +52,17 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw_births(
-    spark: SparkSession, folder: str, malformed_dates: bool = False, pregnancy: bool = False
+    spark: SparkSession,
+    folder: str,
+    malformed_dates: bool = False,
+    pregnancy: bool = False,
+    years_later: bool = False,
 ) -> DataFrame:
     """The 17 birth columns as BIGINT.
 
-    ``malformed_dates`` spoils some birth dates; ``pregnancy`` adds the text code GRAVIDEZ.
+    Some births have a municipality or an occupation that the lookup tables do not know.
+    ``malformed_dates`` spoils some birth dates; ``pregnancy`` adds the text code GRAVIDEZ;
+    ``years_later`` gives other births with the same numbers: four years later, of other mothers.
     """
     records = _table(spark, folder, "orders").join(
         _table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
@@ -64,6 +70,11 @@ def raw_births(
     texts = dict(_BIRTHS)
     if malformed_dates:
         texts["DTNASC"] = f"case when o_orderkey % 97 = 0 then 32011990 else {texts['DTNASC']} end"
+    if years_later:
+        # A compact date ends with the year; four years on, the 29th of February exists again.
+        texts["DTNASC"] += " + 4"
+        texts["DTNASCMAE"] += " - 1"
+        texts["ESCMAE"] = "(o_orderkey + 1) % 14"
     columns = [F.expr(texts[name]).cast("bigint").alias(name) for name in BIRTH_COLUMNS]
     if pregnancy:
         columns.append(F.expr(_PREGNANCY).alias("GRAVIDEZ"))
@@ -71,14 +82,14 @@ def raw_births(
 
 
 def raw_municipalities(spark: SparkSession, folder: str) -> DataFrame:
-    """Seven-digit codes; one nation is left out so that some births have no municipality."""
+    """Every nation as a municipality with a seven-digit code."""
     nations = _table(spark, folder, "nation").join(
         _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     code = F.concat(
         (F.col("n_nationkey") + 110001).cast("string"), (F.col("n_nationkey") % 10).cast("string")
     )
-    return nations.filter(F.col("n_nationkey") != 24).select(
+    return nations.select(
         code.alias("Codigo_Municipio_Completo"),
         F.col("n_name").alias("Nome_Municipio"),
         F.col("r_name").alias("Nome_UF"),
@@ -86,9 +97,8 @@ def raw_municipalities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_occupations(spark: SparkSession, folder: str) -> DataFrame:
-    """Every tenth customer is left out so that some births have no occupation."""
-    customers = _table(spark, folder, "customer").filter(F.col("c_custkey") % 10 != 0)
-    return customers.select(F.col("c_custkey").alias("CODIGO"), F.col("c_name").alias("TITULO"))
+    """Every customer as an occupation."""
+    return _table(spark, folder, "customer").select(F.col("c_custkey").alias("CODIGO"), F.col("c_name").alias("TITULO"))
 
 
 def not_employed_codes(spark: SparkSession, folder: str) -> DataFrame:

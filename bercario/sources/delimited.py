@@ -6,15 +6,22 @@ matched by position, and the registry's column order differs between years.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bercario.functions.codes import STATES
 from bercario.functions.expressions import whole_number, without_check_digit
-from bercario.schemas import BIRTH_COLUMNS, MUNICIPALITY_COLUMNS, OCCUPATION_COLUMNS
+from bercario.schemas import (
+    BIRTH_COLUMNS,
+    MUNICIPALITY_COLUMNS,
+    OCCUPATION_COLUMNS,
+    RECORD_KEY,
+)
 
 # The texts, besides the empty one, that mean "missing" in the input files.
 MISSING = [
@@ -23,7 +30,17 @@ MISSING = [
 ]
 
 
-def read_delimited(
+# The line as it is, where it has more or fewer fields than the header; else NULL.
+BROKEN_LINE = "_linha"
+
+
+def _fields(line: Column, sep: str, quote: str) -> Column:
+    """The number of fields of a line; a separator inside quotes does not count."""
+    quoted = rf"{re.escape(quote)}[^{re.escape(quote)}]*+{re.escape(quote)}"
+    return F.size(F.split(F.regexp_replace(line, quoted, ""), re.escape(sep), -1))
+
+
+def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
@@ -34,7 +51,10 @@ def read_delimited(
     missing: Sequence[str] = MISSING,
     multiline: bool = False,
 ) -> DataFrame:
-    """The named columns as text, missing markers as NULL.
+    """The named columns as text, missing markers as NULL, and lines with too many fields.
+
+    ``BROKEN_LINE`` has the text of a line with more fields than the header, whose values may
+    belong to other columns. A short line lacks its last values, like any incomplete row.
 
     One path (a file, folder or glob) shares one header, and a file in it with another header
     is an error. Paths in a list may have different column orders: they are joined by name.
@@ -52,18 +72,46 @@ def read_delimited(
     }
 
     def read_one(path: str) -> DataFrame:
-        return spark.read.options(**options).csv(path).select(*columns)
+        header = spark.read.options(**options).csv(path).columns
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, BROKEN_LINE]])
+        # Fields are only counted where all of a line is parsed.
+        whole = {"columnNameOfCorruptRecord": BROKEN_LINE, "columnPruning": False}
+        reader = spark.read.options(**options, **whole).schema(schema)
+        long = _fields(F.col(BROKEN_LINE), sep, quote) > len(header)
+        line = F.when(long, F.col(BROKEN_LINE)).alias(BROKEN_LINE)
+        return reader.csv(path).select(*columns, line)
 
     listed = [paths] if isinstance(paths, str) else list(paths)
     texts = reduce(DataFrame.unionByName, [read_one(path) for path in listed])
     return texts.select(
-        *[F.when(~F.col(name).isin(*missing), F.col(name)).alias(name) for name in columns]
+        *[F.when(~F.col(name).isin(*missing), F.col(name)).alias(name) for name in columns],
+        BROKEN_LINE,
     )
 
 
+def read_delimited(
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], **options
+) -> DataFrame:
+    """The named columns of ``read_lines``; a line with too many fields is an error."""
+    lines = read_lines(spark, paths, columns, **options)
+    error = F.raise_error(F.concat(F.lit("too many fields: "), F.col(BROKEN_LINE)))
+    # Part of every column, so that no projection can leave the test out.
+    tested = F.when(F.col(BROKEN_LINE).isNotNull(), error)
+    return lines.select(*[F.coalesce(tested, F.col(name)).alias(name) for name in columns])
+
+
 def read_births(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
-    """The 17 birth columns, as text."""
-    return read_delimited(spark, paths, BIRTH_COLUMNS, **{"encoding": "ISO-8859-1"} | options)
+    """The 17 birth columns, as text, without the lines of ``rejected_lines``."""
+    lines = read_lines(spark, paths, BIRTH_COLUMNS, **{"encoding": "ISO-8859-1"} | options)
+    return lines.filter(F.col(BROKEN_LINE).isNull()).select(*BIRTH_COLUMNS)
+
+
+def rejected_lines(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
+    """Lines of a births file with too many fields: CONTADOR as read, ``linha`` and ``motivo``."""
+    lines = read_lines(spark, paths, BIRTH_COLUMNS, **{"encoding": "ISO-8859-1"} | options)
+    broken = lines.filter(F.col(BROKEN_LINE).isNotNull())
+    reason = F.lit("campos demais").alias("motivo")
+    return broken.select(RECORD_KEY, F.col(BROKEN_LINE).alias("linha"), reason)
 
 
 def read_municipalities(

@@ -7,10 +7,22 @@ import pytest
 from pyspark.errors import PySparkException
 
 from bercario.functions.codes import STATES
-from bercario.operators.cleaning import clean_births, rejected_births
+from bercario.operators.cleaning import (
+    UnreadableBirths,
+    assessed_births,
+    clean_births,
+    rejected_births,
+    unreadable_rows,
+)
 from bercario.operators.sinks import write_table
 from bercario.schemas import BIRTH_COLUMNS
-from bercario.sources.delimited import MISSING, read_births, read_municipalities, read_occupations
+from bercario.sources.delimited import (
+    MISSING,
+    read_births,
+    read_municipalities,
+    read_occupations,
+    rejected_lines,
+)
 from bercario.sources.landing import land_if_absent
 from bercario.sources.storage import is_complete, scratch_path
 
@@ -97,7 +109,7 @@ def test_range_of_the_mother_and_her_children(births):
     kept = [{"DTNASCMAE": "1011950"}, {"DTNASCMAE": "31122013"}, {"QTDFILVIVO": "10", "QTDFILMORT": "10"}]
     dropped = [
         {"DTNASCMAE": "31121949"}, {"DTNASCMAE": "1012014"},
-        {"QTDFILVIVO": "11"}, {"QTDFILMORT": "11"}, {"QTDFILVIVO": "100"},
+        {"QTDFILVIVO": "11"}, {"QTDFILMORT": "11"}, {"QTDFILVIVO": "100"}, {"QTDFILMORT": "10.5"},
     ]
     rows = [change | {"CONTADOR": str(i)} for i, change in enumerate(kept + dropped)]
     assert counters(clean_births(births(*rows))) == [0, 1, 2]
@@ -116,14 +128,49 @@ def test_unreadable_values(spark, births, column, value, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        with pytest.raises(PySparkException, match=f"unreadable {column}: {value}"):
-            clean_births(raw).collect()
+        with pytest.raises(UnreadableBirths, match=f"unreadable {column}: {value}"):
+            clean_births(raw)
         assert counters(clean_births(raw, strict=False)) == [1]
         rejected = rejected_births(raw).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     # The third row is incomplete, so it is dropped and not rejected (unless it lost the bad value).
     assert [(r["CONTADOR"], r[column], r["motivo"]) for r in rejected] == [("2", value, column)]
+    assert unreadable_rows(assessed_births(raw)).select(column, "motivo").collect() == [(value, column)]
+
+
+def test_a_strict_run_ends_whatever_else_is_wrong_with_the_row(births):
+    raw = births({}, {"CONTADOR": "2", "DTNASC": "32011990", "DTNASCMAE": "1011900", "QTDFILVIVO": "99"})
+    with pytest.raises(UnreadableBirths, match="unreadable DTNASC: 32011990"):
+        clean_births(raw)
+    assert counters(clean_births(raw, strict=False)) == [1]
+
+
+def test_long_codes_keep_their_digits(births):
+    rows = births({"CONTADOR": "9007199254740992"}, {"CONTADOR": "9007199254740993"})
+    assert counters(clean_births(rows)) == [9007199254740992, 9007199254740993]
+
+
+def test_lines_with_too_many_or_too_few_fields(spark, tmp_path):
+    path = tmp_path / "broken.csv"
+    good = ";".join(RECORD[name] for name in BIRTH_COLUMNS)
+    long = good.replace("350950", "350;950", 1)
+    quoted = good.replace("350950", '"350;950"', 1)
+    short = good.rsplit(";", 2)[0]
+    path.write_text("\n".join([";".join(BIRTH_COLUMNS), good, long, short, quoted]) + "\n")
+    assert counters(clean_births(read_births(spark, str(path)), strict=False)) == [1]
+    lines = [tuple(r) for r in rejected_lines(spark, str(path)).collect()]
+    assert lines == [("1", long, "campos demais")]
+
+
+def test_a_lookup_line_with_too_many_fields_is_an_error(spark, tmp_path):
+    cities, jobs = tmp_path / "cities.csv", tmp_path / "jobs.csv"
+    cities.write_text("Codigo_Municipio_Completo;Nome_Municipio;Nome_UF\n3509502;Camp;inas;São Paulo\n")
+    jobs.write_text("CODIGO;TITULO\n1;a;b\n")
+    for df in (read_municipalities(spark, str(cities)), read_occupations(spark, str(jobs))):
+        for columns in (df.columns, df.columns[:1], df.columns[1:]):
+            with pytest.raises(PySparkException, match="too many fields"):
+                df.select(*columns).collect()
 
 
 def test_municipalities(spark, tmp_path):
@@ -209,6 +256,17 @@ def test_write_modes(spark, target):
         assert rows_of(read(where)) == rows
 
 
+def test_new_only_by_whole_row_keeps_another_label(spark):
+    path = scratch_path(spark, "rows")
+    first = spark.createDataFrame([(1, "a"), (2, None)], "id BIGINT, label STRING")
+    second = spark.createDataFrame([(1, "other"), (2, None), (1, "a")], "id BIGINT, label STRING")
+    for df in (first, second, second):
+        write_table(df, path, mode="append_new_only")
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == [
+        (1, "a"), (1, "other"), (2, None),
+    ]
+
+
 def test_new_rows_after_a_failed_first_write(spark, tmp_path):
     folder = tmp_path / "table"
     folder.mkdir()
@@ -228,7 +286,5 @@ def test_write_arguments_are_checked(spark):
     df = spark.range(1)
     with pytest.raises(ValueError, match="path or a table"):
         write_table(df)
-    with pytest.raises(ValueError, match="needs a key"):
-        write_table(df, "x", mode="append_new_only")
     with pytest.raises(ValueError, match="unknown mode"):
         write_table(df, "x", mode="merge")

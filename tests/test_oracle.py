@@ -11,7 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from bercario.catalog.oracle import ORACLE
 from bercario.catalog.queries import QUERIES
 
-TABLES = ["region", "nation", "customer", "orders"]
+TABLES = ["region", "nation", "customer", "orders", "events"]
 
 
 @pytest.fixture(scope="module")

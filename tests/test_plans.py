@@ -18,7 +18,7 @@ from bercario.sources.delimited import read_births
 # The JVM only interprets, and never compiles, a method with more bytes of code than this.
 JIT_LIMIT = 8_000
 
-STORING = ("sink_", "warehouse_", "silver_", "land_", "dimension_key_check")
+STORING = ("sink_", "warehouse_", "silver_", "land_", "dimension_key_check", "births_total_by_view")
 
 
 def explained(df, mode="simple"):
@@ -69,10 +69,20 @@ def test_large_tables_shuffle_once_or_never(spark, folder):
         assert shuffles(build(births, unique=True)) == []
 
 
-def test_a_narrow_profile_moves_few_columns(spark, folder):
-    plan = explained(star.birth_profile(q._births(spark, folder), only=["escolaridade"]))
-    shuffled = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", plan).group(1)
-    assert {c.split("#")[0] for c in shuffled.split(", ")} == {*star._FACT, "ESCMAE"}
+def test_reports_read_few_columns_of_stored_records_and_move_only_counts(spark, folder):
+    plan = explained(q.QUERIES["report_education"](spark, folder))
+    assert "ReadSchema: struct<ESCMAE:bigint>" in plan
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan) == ["escolaridade"]
+    for name in (n for n in q.QUERIES if n.startswith("report_") and "filtered" not in n):
+        plan = explained(q.QUERIES[name](spark, folder))
+        assert "CONTADOR" not in "".join(re.findall(r"Exchange hashpartitioning\(.*", plan))
+        assert "orders.parquet" not in plan
+
+
+def test_a_wide_view_does_not_join_its_large_tables(spark, folder):
+    plan = explained(q.births_wide_from_star(spark, folder))
+    assert "SortMergeJoin" not in plan and "dim_mae" not in plan
+    assert not re.search(r"SortAggregate.*dtnascmae", plan)
 
 
 def test_scans_are_pruned_and_filtered(spark, folder):
@@ -99,9 +109,10 @@ def test_a_measured_lookup_is_broadcast_and_a_large_one_spread(spark, monkeypatc
     df = spark.range(100).select("id", (F.col("id") % 5).alias("key"))
     lookup = spark.range(5).select(F.col("id").alias("key"), F.lit("x").alias("label"))
     assert shuffles(attach(df, lookup, "key", unique=True)) == []
-    monkeypatch.setattr(lookups, "fits_broadcast", lambda _: False)
-    spread = explained(attach(df, lookup, "key"), "extended")
-    assert re.search(r"Join LeftOuter, .*_place", spread)
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 4)
+    monkeypatch.setattr(lookups, "LEAST_HOT", 10)
+    spread = explained(attach(df, lookup, "key"))
+    assert "BroadcastHashJoin" in spread and "Union" in spread
 
 
 def test_unused_labels_are_not_joined(spark, folder):

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from bercario.catalog import queries as q
 from bercario.operators import lookups
+from bercario.operators.cleaning import UnreadableBirths
 from bercario.plans import reports, star
 from bercario.plans.warehouse import build_warehouse, read_warehouse
-from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS, STAR, STAR_KEYS, table_schema
+from bercario.schemas import BIRTH_COLUMNS, DATE_COLUMNS, RECORDS, STAR, STAR_KEYS, table_schema
 from bercario.sources import adapter
-from bercario.sources.storage import scratch_path
+from bercario.sources.storage import path_exists, scratch_path
 
 DAY = datetime.date
 BIRTH = {
@@ -73,12 +74,26 @@ def test_unknown_codes_have_no_label(spark):
     assert rows(star.fact_births(odd))[0][5:] == (None, None)
 
 
-def test_fact_rows_are_distinct_by_their_raw_fields(spark):
+def test_births_are_distinct_records(spark):
     again = births(spark, {}, {}, {"ESCMAE": 5}, {"LOCNASC": 3})
-    assert star.fact_births(again).count() == 2
-    # In compatible mode the place that tells two rows apart is not in the output.
-    assert star.fact_births(again, compat=True).count() == 2
-    assert star.fact_births(again, compat=True).distinct().count() == 1
+    for compat in (False, True):
+        assert star.fact_births(again, compat=compat).count() == 3
+        assert star.dim_mae(again, compat=compat).count() == 3
+    assert star.birth_profile(again, only=[]).count() == 3
+
+
+def test_every_view_counts_the_same_births(spark):
+    """Records that share a number are different births, each with its own mother."""
+    later = {"DTNASC": DAY(2023, 1, 30), "DTNASCMAE": DAY(1970, 1, 1)}
+    rows_ = star.records(births(spark, {}, {}, later, {"ESCMAE": 5}))
+    tables = star.star_tables(rows_, municipalities(spark), occupations(spark), unique=True)
+    wide = star.births_wide_from_star(tables | {RECORDS: rows_})
+    assert wide.count() == tables["fatos_nascidos"].count() == tables["dim_mae"].count() == 3
+    mothers = {(r["id_calendario"], r["id_escmae"]): r["dtnascmae"] for r in wide.collect()}
+    assert mothers == {
+        (DAY(2022, 1, 30), 4): DAY(1990, 10, 20), (DAY(2022, 1, 30), 5): DAY(1990, 10, 20),
+        (DAY(2023, 1, 30), 4): DAY(1970, 1, 1),
+    }
 
 
 def test_reference_dimensions_keep_what_occurs(spark):
@@ -114,7 +129,7 @@ def test_wide_views_agree(spark, folder, unique):
     cities, jobs = q._municipalities(spark, folder), q._occupations(spark, folder)
     direct = star.births_wide(clean, cities, jobs, unique=unique)
     tables = star.star_tables(clean, cities, jobs, unique=unique)
-    joined = star.births_wide_from_star(tables, unique)
+    joined = star.births_wide_from_star(tables | {RECORDS: star.records(clean, unique)})
     assert set(joined.columns) == set(direct.columns)
     assert rows(joined.select(*direct.columns)) == rows(direct)
 
@@ -128,12 +143,11 @@ def test_a_profile_of_some_columns(spark, folder):
         assert rows(star.birth_profile(clean, only=[name])) == rows(full.select(*fact, name))
 
 
-def test_wide_view_without_broadcast(spark, folder, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, 20])
+def test_wide_view_without_broadcast(spark, folder, monkeypatch, broadcast):
     expected = rows(q.births_wide(spark, folder))
-    monkeypatch.setattr(lookups, "fits_broadcast", lambda *_: False)
-    original = lookups.frequent_keys
-    monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
-    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, 10))
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(lookups, "LEAST_HOT", 40)
     assert rows(q.births_wide(spark, folder)) == expected
 
 
@@ -186,7 +200,7 @@ def test_a_repeated_build(spark, mode):
         counts.append({name: df.count() for name, df in read_warehouse(spark, root).items()})
     expected = {
         "dim_municipio": 1, "dim_profissao": 2, "dim_escolaridade": 2, "dim_consultas": 1,
-        "dim_parto_sexo": 1, "dim_gestacao": 1, "dim_mae": 3, "fatos_nascidos": 2,
+        "dim_parto_sexo": 1, "dim_gestacao": 1, "dim_mae": 3, "fatos_nascidos": 3, "registros": 3,
     }
     assert counts[0] == expected
     factor = 2 if mode == "append" else 1
@@ -198,11 +212,12 @@ def test_lenient_build_stores_the_rejects(spark):
     spoiled = F.when(F.col("CONTADOR") == 2, 32011990).otherwise(1011990).cast("bigint")
     raw = raw.withColumns({"DTNASC": spoiled, "DTNASCMAE": F.lit(1011990).cast("bigint")})
     root = scratch_path(spark, "lenient")
-    with pytest.raises(Exception, match="unreadable DTNASC: 32011990"):
+    with pytest.raises(UnreadableBirths, match="1 rows.*unreadable DTNASC: 32011990"):
         build_warehouse(raw, municipalities(spark), occupations(spark), root)
+    assert not path_exists(spark, f"{root}/dw")
     build_warehouse(raw, municipalities(spark), occupations(spark), root, strict=False)
     rejected = spark.read.parquet(f"{root}/silver/births_rejected").collect()
-    assert [(r["CONTADOR"], r["motivo"]) for r in rejected] == [(2, "DTNASC")]
+    assert [(r["CONTADOR"], r["DTNASC"], r["motivo"]) for r in rejected] == [("2", "32011990", "DTNASC")]
     assert read_warehouse(spark, root)["fatos_nascidos"].count() == 1
 
 
@@ -231,10 +246,8 @@ def test_a_record_key_on_many_births_is_spread(spark, monkeypatch):
     shared = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
     fact = spark.range(3000).select(shared.alias("id_mae"), days.alias("id_calendario"))
     mothers = fact.select("id_mae", F.lit("Parda").alias("raca_mae")).distinct()
-    monkeypatch.setattr(lookups, "fits_broadcast", lambda *_: False)
-    monkeypatch.setattr(lookups, "_SHARE_INSPECTED", 2)
-    original = lookups.frequent_keys
-    monkeypatch.setattr(lookups, "frequent_keys", lambda df, key: original(df, key, 100))
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(lookups, "LEAST_HOT", 100)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         joined = lookups.attach(fact, mothers, "id_mae", unique=True)
