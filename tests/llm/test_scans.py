@@ -1,0 +1,264 @@
+"""Licences, personal data, secrets and benchmark passages against plain versions."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from bercario.llm import decontaminate, license_scan, pii, secrets
+from bercario.llm.license_scan import BASE_PHRASES
+
+from .conftest import ODD, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def by_row(rows):
+    return sorted(rows, key=repr)
+
+
+# Licences ---------------------------------------------------------------------------------
+
+
+def base_licence(text):
+    own = words(text)
+    places, labels = [], set()
+    for phrase, label in BASE_PHRASES.items():
+        parts = phrase.split()
+        for i in range(len(own) - len(parts) + 1):
+            if own[i : i + len(parts)] == parts:
+                places.append(i)
+                labels.add(label)
+    return len(own), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+LICENCES = [
+    "The MIT License (MIT)\nPermission is hereby granted, free of charge, to any person obtaining "
+    "a copy of this software",
+    "licensed under CC BY-NC 4.0. cc by cc by",
+    "GNU General Public License, Apache-License; GNU general public licence",
+    "apache license apache",
+    "license apache",
+    "ücc by",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "general public license gnu gnu general public license",
+]
+
+
+def test_licences(frame):
+    pairs = ODD + list(enumerate(LICENCES, 100)) + [(200 + i, prose(i, 50) + " MIT license " + prose(i, 9)) for i in range(20)]
+    rows = license_scan.scan(frame(pairs)).collect()
+    base = [(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in rows]
+    assert by_row(base) == by_row([(i, *base_licence(text)) for i, text in pairs])
+    labels = {r["doc_id"]: r["labels"] for r in rows}
+    assert labels[100] == "mit" and labels[106] == "bsd" and labels[101] == "cc-by,cc-by-nc"
+    for row in rows:
+        assert set(row["base_labels"].split(",")) - {""} <= set(row["labels"].split(","))
+        assert 0 <= row["score"] <= 1 and (row["score"] > 0) == (row["labels"] != "")
+
+
+def test_licences_empty(empty):
+    assert license_scan.scan(empty).count() == 0
+
+
+# Personal data ----------------------------------------------------------------------------
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+".replace(r"[\x20-]", r"[\x20\-]"),
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def confirmed(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in match.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    found = []
+    for rank, (kind, expression) in enumerate(PLAIN.items()):
+        for m in re.finditer(expression, text or ""):
+            if confirmed(kind, m[0]):
+                found.append((m.start(), rank, m.end(), kind))
+    return ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found))
+
+
+PIECES = [
+    "a.b@c.d", "x@y", "@", "_q@r.s-t.u", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "0255.0.0.01",
+    "4785 3805 9239 1135", "4785380592391135", "4785-3805-9239-1136", "42424242424242", "+1 (555) 010-9999",
+    "+49.30.1234567", "+1", "++12 345 678 901", "é", "😀", " ", "\n", "-", "7", ".", "+", "word",
+    "jane@mail.example.com", "1 2 3", "0000000000000000",
+]
+
+
+def test_personal_data_against_plain_expressions(frame):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(1, 12))) for _ in range(1500)]
+    pairs = list(enumerate(texts))
+    rows = pii.digest(pii.personal_data(frame(pairs))).collect()
+    for row in rows:
+        text = texts[row["doc_id"]]
+        expected = plain_spans(text)
+        base = ",".join(s for s in row["spans"].split(",") if not s.startswith("iban"))
+        assert base == expected, text
+        assert row["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest()
+
+
+def test_personal_data_iban_and_score(frame):
+    pairs = [
+        (1, "Bank: DE89 3704 0044 0532 0130 00."),
+        (2, "DE89 3704 0044 0532 0130 01."),
+        (3, "xGB82WEST12345698765432"),
+        (4, "GB82WEST12345698765432"),
+    ]
+    rows = {r["doc_id"]: r for r in pii.digest(pii.personal_data(frame(pairs))).collect()}
+    assert rows[1]["spans"] == "iban:6:33" and rows[1]["n_iban"] == 1
+    assert rows[2]["n_iban"] == rows[3]["n_iban"] == 0
+    assert rows[4]["spans"] == "iban:0:22" and rows[4]["score"] < rows[1]["score"]
+
+
+def test_personal_data_odd_rows(odd):
+    rows = pii.digest(pii.personal_data(odd)).collect()
+    got = [(r["doc_id"], ",".join(s for s in r["spans"].split(",") if not s.startswith("iban"))) for r in rows]
+    assert by_row(got) == by_row([(i, plain_spans(text)) for i, text in ODD])
+
+
+def test_personal_data_empty(empty):
+    assert pii.digest(pii.personal_data(empty)).count() == 0
+
+
+# Secrets ----------------------------------------------------------------------------------
+
+
+def plain_candidates(text):
+    return [
+        (m.start(), m.end(), m[0])
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text or "")
+        if re.search(r"[0-9]|[a-z][A-Z]", m[0])
+    ]
+
+
+def secret_texts():
+    rng = random.Random(4)
+    texts = []
+    for i in range(120):
+        key = "".join(rng.choices("0123456789abcdef", k=40))
+        other = "".join(rng.choices("0123456789", k=16))
+        texts.append(f"{prose(i, 8)} token = \"{key}\" {prose(i, 5)} order {other} é {prose(i, 3)}")
+    return texts
+
+
+def test_secrets(frame):
+    pairs = list(enumerate(secret_texts())) + ODD
+    rows = secrets.secret_findings(frame(pairs)).collect()
+    expected = [(i, *c) for i, text in pairs for c in plain_candidates(text)]
+    assert by_row((r["doc_id"], r["start"], r["end"], r["value"]) for r in rows) == by_row(expected)
+    for row in rows:
+        assert row["is_secret"] == (len(row["value"]) == 40)
+
+
+def test_secrets_learned_from_given_labels(frame):
+    from pyspark.sql import functions as F
+
+    found = secrets.with_features(secrets.candidates(frame(list(enumerate(secret_texts())))))
+    labelled = found.withColumn("label", (F.length("value") == 40).cast("double"))
+    learned, held = labelled.filter("doc_id % 2 = 0"), labelled.filter("doc_id % 2 = 1")
+    rows = secrets.scored(held, secrets.train(learned, "label")).collect()
+    assert sum((r["score"] >= 0.5) == (r["label"] == 1) for r in rows) >= 0.98 * len(rows)
+
+
+def test_secrets_one_label_and_empty(frame, empty):
+    rows = secrets.secret_findings(frame([(1, "order 1234567890123456789 and")])).collect()
+    assert [(r["score"], r["is_secret"]) for r in rows] == [(0.0, False)]
+    assert secrets.secret_findings(empty).count() == 0
+
+
+# Benchmark passages -------------------------------------------------------------------------
+
+
+def contamination(pairs, items):
+    windows = {}
+    for name, text in items:
+        own = words(text)
+        size = min(13, len(own))
+        for i in range(len(own) - size + 1 if own else 0):
+            windows.setdefault(tuple(own[i : i + size]), set()).add("" if name is None else str(name))
+    sizes = {len(w) for w in windows}
+    result = []
+    for i, text in pairs:
+        own, hit, names = words(text), set(), set()
+        for size in sizes:
+            for at in range(len(own) - size + 1):
+                found = windows.get(tuple(own[at : at + size]))
+                if found:
+                    hit |= set(range(at, at + size))
+                    names |= found
+        digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        dirty = len(hit) > 0 and 20 * len(hit) >= len(own)
+        result.append((i, len(own), len(hit), len(names), digest, dirty))
+    return by_row(result)
+
+
+def benchmark_items():
+    shared = prose(900, 15)
+    items = [(i, prose(300 + i, 30)) for i in range(8)]
+    items += [(20, "short item of six words here"), (21, "Two, words"), (22, "one"), (23, ""), (24, None)]
+    items += [(25, prose(301, 30)), (26, shared + " " + prose(7, 4)), (27, prose(8, 4) + " " + shared), (None, prose(77, 13))]
+    return items + [(0, prose(300, 30))]
+
+
+def benchmark_documents():
+    rng = random.Random(2)
+    pairs = list(ODD)
+    for i in range(120):
+        parts = [prose(5000 + i, rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 2)):
+            item = words(rng.choice(benchmark_items())[1] or "x")
+            begin = rng.randint(0, max(0, len(item) - 13))
+            size = rng.choice([4, 12, 13, 14, 30])
+            parts.append(rng.choice([" ", "-", "\n"]).join(item[begin : begin + size]).upper())
+            parts.append(prose(9000 + i, rng.randint(0, 40)))
+        pairs.append((100 + i, " ".join(parts)))
+    return pairs
+
+
+@pytest.mark.parametrize("index_bytes", [decontaminate.INDEX_BYTES, 700])
+def test_contamination(spark, frame, index_bytes):
+    items, pairs = benchmark_items(), benchmark_documents()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontaminate.benchmark_hits(frame(pairs), benchmark, index_bytes=index_bytes)
+    rows = decontaminate.digest(hits).collect()
+    assert by_row(map(tuple, rows)) == contamination(pairs, items)
+    for row in hits.collect():
+        assert row["n_hit"] == sum(s["end"] - s["start"] for s in row["spans"])
+
+
+def test_documents_without_contamination_stay(spark, frame):
+    items, pairs = benchmark_items(), benchmark_documents()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.without_contaminated(frame(pairs), benchmark)
+    expected = [row[0] for row in contamination(pairs, items) if not row[5]]
+    assert by_row(r["doc_id"] for r in kept.collect()) == by_row(expected)
+    assert kept.columns == frame([]).columns
+
+
+def test_contamination_empty(spark, empty, odd):
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.benchmark_hits(empty, benchmark).count() == 0
+    assert not any(r["contaminated"] for r in decontaminate.benchmark_hits(odd, benchmark).collect())
