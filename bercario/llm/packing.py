@@ -19,9 +19,11 @@ table gives no sequences.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bercario.llm.tables import stored
+from bercario.llm.words import NOT_SPACE, Words, chunks
 
 LENGTH = 2048
 END_ID = 1
 SALTS = 256
-# Words whose ids a worker remembers at a time.
-REMEMBERED = 300_000
+# Words, and pieces of words, whose ids a worker remembers at a time, at some 130 bytes each.
+REMEMBERED = 2_000_000
 
 PIECES = "doc_id {id}, piece_key long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -47,33 +50,102 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds:
-    """Ids of texts by a tokenizer whose words end at white space, as little-endian bytes.
+    """Ids of texts by a tokenizer that lower-cases and never joins across white space.
 
-    Words are encoded once and remembered. The rule holds for tokenizers that drop white space
-    and never join across it; ``tests`` compare with encoding whole texts.
+    Words are encoded once and remembered, and so are the pieces that the tokenizer cuts them
+    into: letters, single digits, other signs. The pieces of new words are encoded together, and
+    the ids are told apart by the mark that ends a piece. Words with other letters than those of
+    Latin-1 are left to the tokenizer whole, and so are texts that may hold a special token.
+    ``tests`` compare with encoding whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        words = text.translate(_BLANKS).split(" ")
-        missing = set(words) - self.known.keys()
-        if missing:
-            if len(self.known) + len(missing) > REMEMBERED:
+        self.last = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {" ": _NEXT}
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of each text, as little-endian bytes, of texts as UTF-8 and their offsets."""
+        raw = data.tobytes()
+        if b"<|" in raw:
+            bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+            return self._encode_each([raw[a:b].decode() for a, b in bounds])
+        words = Words(data, offsets, NOT_SPACE)
+        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        lower = words.lower.tobytes()
+        starts, ends = words.start[first].tolist(), words.end[first].tolist()
+        found = self._look_up([lower[a:b] for a, b in zip(starts, ends, strict=True)])
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        begin = np.cumsum(sizes) - sizes
+        # From the ids of each different word to those of all words in order.
+        counts = sizes[which]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        at = np.arange(total[-1]) + np.repeat(begin[which] - total[:-1], counts)
+        ids = ids[at].tobytes()
+        bounds = zip((4 * total[words.first]).tolist(), (4 * total[words.last]).tolist(), strict=True)
+        return [ids[a:b] for a, b in bounds]
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        found = [self.known.get(word) for word in words]
+        places = [at for at, ids in enumerate(found) if ids is None]
+        if places:
+            missing = [words[at].decode() for at in places]
+            learned = self._learn(missing)
+            if len(self.known) + len(learned) > REMEMBERED:
                 self.known.clear()
-                missing = set(words)
-            missing = list(missing)
-            encoded = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            for word, one in zip(missing, encoded, strict=True):
-                self.known[word] = np.array(one.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
-
-
-_BLANKS = str.maketrans("\t\n\x0b\x0c\r", " " * 5)
+            for at, word in zip(places, missing, strict=True):
+                found[at] = self.known[words[at]] = learned[word]
+        return found
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        learned = {}
+        together = " ".join(words)
+        if not _PLAIN.fullmatch(together):
+            plain = [_PLAIN.fullmatch(word) for word in words]
+            others = [word for word, is_plain in zip(words, plain, strict=True) if not is_plain]
+            learned.update(zip(others, self._encode_each(others), strict=True))
+            words = [word for word, is_plain in zip(words, plain, strict=True) if is_plain]
+            together = " ".join(words)
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {" ": _NEXT}
+        parts, pieces = _PIECE.findall(together.lower()), self.pieces
+        new = list({part for part in parts if part not in pieces})
+        pieces.update(zip(new, self._encode_pieces(new), strict=True))
+        found = b"".join(map(pieces.__getitem__, parts)).split(_NEXT) if words else []
+        learned.update(zip(words, found, strict=True))
+        return learned
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        ids = []
+        groups = [" ".join(pieces[at : at + 64]) for at in range(0, len(pieces), 64)]
+        for one in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+            ids += one.ids
+        ends = [at for at, i in enumerate(ids, 1) if i in self.last]
+        if len(ends) != len(pieces):
+            return self._encode_each(pieces)
+        data = np.array(ids, "<u4").tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _encode_each(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in encoded]
+
+
+# Words whose lower case and composition need no tables, and their pieces or the blank between.
+_PLAIN = re.compile(r"[\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 ]+| ")
+# Between the ids of two words; no id has these bytes, and four-byte ids keep it aligned.
+_NEXT = b"\xff\xff\xff\xff"
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One per process: a worker that is used again still knows the words of its last task."""
+    return WordIds(path)
 
 
 def cut(tokens: int, length: int) -> list[tuple[int, int]]:
@@ -104,11 +176,12 @@ def pieces(
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        ids = WordIds(tokenizer())
+        ids = word_ids(tokenizer())
         for batch in batches:
             at, found = [], []
-            for row, text in enumerate(batch.column(2)):
-                data = ids.encode(text.as_py()) + end
+            texts = (ids.encode(data, offsets) for _, _, data, offsets in chunks(batch, 2))
+            for row, data in enumerate(chain.from_iterable(texts)):
+                data += end
                 tokens = len(data) // 4
                 for start, size in cut(tokens, length):
                     crc = zlib.crc32(data[4 * start : 4 * (start + size)])

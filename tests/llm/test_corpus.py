@@ -55,15 +55,22 @@ def whole_ids(text):
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
 
 
-TOKENS = ["it's", "we'll", "İstanbul", "<|endoftext|>", "a<|startoftext|>b", " ", " x", "é", "ß", "ΣΑΣ", "\x1c", "12.5", "日本語", "😀!"]
+TOKENS = ["it's", "we'll", "The", "ÀÉ", "<|ENDOFTEXT|>", "!!'s", "İstanbul", "<|endoftext|>", "a<|startoftext|>b", " ", " x", "é", "ß", "ΣΑΣ", "\x1c", "12.5", "日本語", "😀!"]
 
 
 def test_word_by_word_ids_are_those_of_the_text():
     rng = random.Random(3)
     ids = packing.WordIds(packing.tokenizer_file())
-    for _ in range(300):
-        text = "".join(rng.choice(TOKENS) + rng.choice([" ", "\n", "", "\t", "  "]) for _ in range(12))
-        assert ids.encode(text) == whole_ids(text)[:-1].tobytes(), text
+    for plain in (True, False):
+        chosen = [token for token in TOKENS if not plain or "<|" not in token]
+        texts = [
+            "".join(rng.choice(chosen) + rng.choice([" ", "\n", "", "\t", "  "]) for _ in range(12))
+            for _ in range(300)
+        ]
+        data = [text.encode() for text in texts]
+        offsets = np.cumsum([0, *map(len, data)])
+        found = ids.encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+        assert found == [whole_ids(text)[:-1].tobytes() for text in texts]
 
 
 def check_packing(rows, pairs, length):
