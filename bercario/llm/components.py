@@ -1,8 +1,8 @@
 """Connected components of links, by passing on the least label.
 
-Every step gives each node the least label among its own and its neighbours', and then the label of
-that label, so a star takes two steps and a chain a number that grows with its logarithm. Each
-step is written to the shared folder, which cuts the lineage.
+Every step gives each node the least label among its neighbours' and its label's own, so a star
+takes two steps and a chain a number that grows with its logarithm. Each step is one join and one
+aggregation, and is written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -16,30 +16,24 @@ from bercario.llm.tables import stored
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label``, the least node reachable, for every node of links (a, b)."""
     both = stored(
-        links.select("a", "b")
-        .unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .filter("a != b")
-        .distinct(),
+        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
         "links",
     )
-    labels = both.groupBy("a").agg(F.min("b").alias("least"))
+    first = both.groupBy("a").agg(F.min("b").alias("least"))
     labels = stored(
-        labels.select(F.col("a").alias("node"), F.least("a", "least").alias("label")), "labels"
+        first.select(F.col("a").alias("node"), F.least("a", "least").alias("label")), "labels"
     )
     while True:
-        of_neighbours = both.join(labels, both["b"] == labels["node"]).groupBy("a")
-        least = of_neighbours.agg(F.min("label").alias("near"))
-        lower = labels.join(least, labels["node"] == least["a"]).select(
-            "node", "label", F.least("label", "near").alias("next")
+        # A node asks its neighbours, and the node that is its label, for their labels.
+        asked = both.withColumn("own", F.lit(None).cast("long")).unionByName(
+            labels.select(F.col("node").alias("a"), F.col("label").alias("b"), F.col("label").alias("own"))
         )
-        # The label is a node, and has a label in turn.
-        targets = labels.select(F.col("node").alias("target"), F.col("label").alias("further"))
-        step = lower.join(targets, lower["next"] == targets["target"]).select(
-            "node",
-            F.least("next", "further").alias("label"),
-            (F.least("next", "further") != F.col("label")).alias("changed"),
+        heard = asked.join(labels, asked["b"] == labels["node"]).groupBy("a")
+        step = heard.agg(F.min("label").alias("label"), F.max("own").alias("own"))
+        step = stored(
+            step.select(F.col("a").alias("node"), "label", (F.col("label") != F.col("own")).alias("changed")),
+            "labels",
         )
-        step = stored(step, "labels")
         labels = step.select("node", "label")
         if step.filter("changed").isEmpty():
             return labels

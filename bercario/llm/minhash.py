@@ -8,8 +8,8 @@
    postings of either (the prefix); the other, more frequent ones are skipped. A class with
    fewer than 32 postings in company is out.
 3. Classes that meet are compared: the signatures up to the threshold, then the whole sets. What
-   is sought are the components, so pairs inside one are not compared: two rounds compare every
-   class with one leader of each list, which joins most of a group of copies at a cost in
+   is sought are the components, so pairs inside one are not compared: first every class is
+   compared with two leaders of each list, which joins most of a group of copies at a cost in
    proportion to its size, and then the classes that still differ are compared. Short lists give
    pairs; long ones are cut into blocks, and each pair of blocks yields a spanning forest of its
    links, not the links.
@@ -42,7 +42,7 @@ COORDINATES = 64
 LEAST_MATCHES = 32
 # Link if 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
-LEADER_ROUNDS = 2
+LEADERS = 2
 # Lists of more classes are compared in blocks of this many.
 LONG_LIST = 64
 BLOCK = 256
@@ -118,7 +118,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
-    """cid, n and the sorted shingle hashes as bytes, of rows of cid, n and body."""
+    """cid, signature and the sorted shingle hashes as bytes, of rows of cid, signature and body."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,9 +128,9 @@ def full_sets(rows: DataFrame) -> DataFrame:
                 sets = [value[e - n : e].tobytes() for e, n in zip(ends, size, strict=True)]
                 part = batch.slice(begin, end - begin)
                 columns = [part.column(0), part.column(1), pa.array(sets, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "members"])
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "signature", "members"])
 
-    return rows.mapInArrow(work, "cid long, n long, members binary")
+    return rows.mapInArrow(work, "cid long, signature array<int>, members binary")
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
@@ -164,27 +164,32 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
     return 100 * common >= SIMILARITY * (len(left) + len(right) - common)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that match in enough coordinates and then on their full sets."""
-    pairs = stored(pairs, "minhash-pairs")
     for side in ("a", "b"):
-        signature = classes.select(
-            F.col("cid").alias(f"{side}_cid"), F.col("signature").alias(f"{side}_signature")
+        own = sets.select(
+            F.col("cid").alias("own"),
+            F.struct("signature", "members").alias(f"{side}_set"),
         )
-        pairs = pairs.join(signature, F.col(side) == F.col(f"{side}_cid")).drop(f"{side}_cid")
-    equal = F.zip_with("a_signature", "b_signature", lambda x, y: (x == y).cast("int"))
-    matches = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
-    pairs = stored(pairs.filter(matches >= LEAST_MATCHES).select("a", "b"), "minhash-candidates")
-    for side in ("a", "b"):
-        own = sets.select(F.col("cid").alias(f"{side}_cid"), F.col("members").alias(f"{side}_set"))
-        pairs = pairs.join(own, F.col(side) == F.col(f"{side}_cid")).drop(f"{side}_cid")
+        pairs = pairs.join(own, F.col(side) == F.col("own")).drop("own")
+
+    def column(batch: pa.RecordBatch, side: str, name: str) -> pa.Array:
+        return batch.column(f"{side}_set").field(name)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i) for i in (2, 3))
+            signatures = [
+                column(batch, side, "signature").flatten().to_numpy().reshape(-1, COORDINATES)
+                for side in ("a", "b")
+            ]
+            matches = (signatures[0] == signatures[1]).sum(axis=1)
+            sets = zip(column(batch, "a", "members"), column(batch, "b", "members"), strict=True)
             keep = [
-                similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                for x, y in zip(left, right, strict=True)
+                bool(match >= LEAST_MATCHES)
+                and similar(
+                    np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                )
+                for match, (x, y) in zip(matches, sets, strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -244,7 +249,7 @@ def _long_list_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("most.label").alias("main"),
         F.ceil(F.col("n_all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("n_all") - F.col("most.n_label")) / BLOCK).cast("int").alias("minor_blocks"),
-    )
+    ).filter("minor_blocks > 0")
     rows = lists.join(largest, F.col("token") == F.col("of_token")).select(
         "token", "cid", "label", "main", "blocks", "minor_blocks"
     )
@@ -286,28 +291,12 @@ def _long_list_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.groupBy("token", "s", "t").applyInArrow(compare, "a long, b long")
 
 
-def _labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The lists with the component of each class, without lists of one component."""
-    if links is None:
-        return lists.withColumn("label", F.col("cid"))
-    labels = components(links)
-    found = lists.join(labels, lists["cid"] == labels["node"], "left").select(
-        "token", "cid", "n", "company", F.coalesce("label", "cid").alias("label")
-    )
-    found = stored(found, "minhash-labelled")
-    mixed = found.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.filter("low != high").select(F.col("token").alias("of_token"))
-    return found.join(mixed, F.col("token") == F.col("of_token"), "left_semi")
-
-
 def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b) of classes that have the components of all links."""
     lists = inverted_lists(classes)
     met = lists.select(F.col("cid").alias("met")).distinct()
     wanted = stored(
-        classes.join(met, F.col("cid") == F.col("met")).select(
-            "cid", F.col("n").alias("n_class"), "rep"
-        ),
+        classes.join(met, F.col("cid") == F.col("met")).select("cid", "signature", "rep"),
         "minhash-met",
     )
     keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
@@ -315,27 +304,25 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         keys,
         rows["doc_id"].eqNullSafe(F.col("rep.doc_id")) & (rows["text_key"] == F.col("rep.text_key")),
     )
-    texts = texts.select("cid", "n_class", "body").dropDuplicates(["cid"])
+    texts = texts.select("cid", "signature", "body").dropDuplicates(["cid"])
     sets = stored(full_sets(texts), "minhash-sets")
-    links = None
-    for turn in range(LEADER_ROUNDS):
-        labelled = _labelled(lists, links)
-        order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "label", "n")
-        leaders = labelled.groupBy("token").agg(F.min(order).alias("lead"))
-        leaders = leaders.select(
-            F.col("token").alias("of_token"),
-            F.col("lead.cid").alias("lead"),
-            F.col("lead.label").alias("lead_label"),
-            F.col("lead.n").alias("lead_n"),
-        )
-        pairs = (
-            labelled.join(leaders, F.col("token") == F.col("of_token"))
-            .filter((F.col("label") != F.col("lead_label")) & _sizes_allow("n", "lead_n"))
-            .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b"))
-        )
-        found = stored(confirmed(pairs.distinct(), classes, sets), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-    labelled = stored(_labelled(lists, links), "minhash-rest")
+    chosen = [F.min(F.struct(F.xxhash64("cid", F.lit(i)), "cid", "n")) for i in range(LEADERS)]
+    leaders = lists.groupBy("token").agg(F.array(*chosen).alias("leads"))
+    leaders = leaders.select(F.col("token").alias("of_token"), F.explode("leads").alias("lead"))
+    leaders = leaders.select(
+        "of_token", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n")
+    )
+    pairs = (
+        lists.join(leaders, F.col("token") == F.col("of_token"))
+        .filter((F.col("cid") != F.col("lead")) & _sizes_allow("n", "lead_n"))
+        .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b"))
+    )
+    links = stored(confirmed(pairs.distinct(), sets), "minhash-links")
+    labels = components(links)
+    labelled = lists.join(labels, lists["cid"] == labels["node"], "left").select(
+        "token", "cid", "n", "company", F.coalesce("label", "cid").alias("label")
+    )
+    labelled = stored(labelled, "minhash-labelled")
     short = labelled.filter(F.col("company") <= LONG_LIST)
     other = short.select(
         F.col("token").alias("of_token"),
@@ -350,7 +337,7 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         & (F.col("label") != F.col("other_label"))
         & _sizes_allow("n", "other_n"),
     ).select(F.col("cid").alias("a"), F.col("other").alias("b"))
-    links = links.unionByName(confirmed(pairs.distinct(), classes, sets))
+    links = links.unionByName(confirmed(pairs.distinct(), sets))
     long = labelled.filter(F.col("company") > LONG_LIST)
     if not long.isEmpty():
         links = links.unionByName(_long_list_links(long, sets))
@@ -378,13 +365,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "minhash-classes",
     )
     labels = components(class_links(classes, rows))
-    members = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
-        F.col("digest").alias("of_digest"), "least_id", F.coalesce("label", "cid").alias("label")
+    linked = classes.join(labels, F.col("cid") == F.col("node")).select("cid", "least_id", "label")
+    least = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    linked = linked.select(F.col("cid").alias("of_cid"), F.col("label").alias("of_label"))
+    linked = linked.join(least, F.col("of_label") == F.col("label")).select("of_cid", "component_id")
+    least = classes.join(linked, F.col("cid") == F.col("of_cid"), "left").select(
+        F.col("digest").alias("of_digest"),
+        # A component without any id has none; its classes have none either.
+        F.coalesce("component_id", "least_id").alias("component_id"),
     )
-    members = stored(members, "minhash-members")
-    least = members.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    least = members.join(least.withColumnRenamed("label", "of_label"), F.col("label") == F.col("of_label"))
-    least = stored(least.select("of_digest", "component_id"), "minhash-components")
+    least = stored(least, "minhash-components")
     found = sketched.join(least, F.col("digest") == F.col("of_digest"), "left")
     alone = F.col("n") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))

@@ -189,7 +189,7 @@ def test_near_against_all_pairs(frame):
 
 
 def test_near_in_blocks_alone(frame, monkeypatch):
-    monkeypatch.setattr(minhash, "LEADER_ROUNDS", 1)
+    monkeypatch.setattr(minhash, "LEADERS", 1)
     monkeypatch.setattr(minhash, "LONG_LIST", 2)
     monkeypatch.setattr(minhash, "BLOCK", 16)
     monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
