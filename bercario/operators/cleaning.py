@@ -32,6 +32,16 @@ class UnreadableBirths(ValueError):
     """Complete records hold values that cannot be read."""
 
 
+def _computed_once(df: DataFrame) -> DataFrame:
+    """``df``, whose expressions filters above it will not compute a second time.
+
+    Spark moves a filter below a projection and repeats the expressions there, but not below one
+    with a value that is new for each row. Without that, parsing twice makes one method so large
+    that the JVM never compiles it.
+    """
+    return df.withColumn("_row", F.monotonically_increasing_id()).filter("_row >= 0").drop("_row")
+
+
 def complete_rows(raw: DataFrame) -> DataFrame:
     """Rows with a value in all 17 columns, the unused education group included.
 
@@ -106,10 +116,12 @@ def clean_births(raw: DataFrame, strict: bool = True) -> DataFrame:
     """
     if strict:
         require_readable(raw)
-    few = raw.filter(_few_children(raw))
-    # What is missing in the raw row is missing after parsing, so one test finds both.
-    parsed = complete_rows(parse_columns(few, BIRTH_COLUMNS, strict=False))
-    return parsed.filter(_mother_plausible(F.col("DTNASCMAE"))).select(*BIRTH_COLUMNS)
+    complete = complete_rows(raw)
+    parsed = _parsed(complete)
+    columns = [parsed[name].alias(name) for name in BIRTH_COLUMNS]
+    once = _computed_once(complete.select(*columns, _few_children(complete).alias("_few")))
+    plausible = _mother_plausible(F.col("DTNASCMAE")) & F.col("_few")
+    return complete_rows(once).filter(plausible).select(*BIRTH_COLUMNS)
 
 
 def rejected_births(raw: DataFrame) -> DataFrame:
@@ -119,8 +131,10 @@ def rejected_births(raw: DataFrame) -> DataFrame:
     """
     complete = complete_rows(raw)
     parsed = _parsed(complete)
-    unreadable = {name: parsed[name].isNull() for name in _doubtful(complete)}
-    bad = complete.filter(reduce(or_, unreadable.values()))
+    flags = [parsed[name].isNull().alias(f"_bad_{name}") for name in _doubtful(complete)]
+    once = _computed_once(complete.select(*BIRTH_COLUMNS, *flags))
+    unreadable = {name: F.col(f"_bad_{name}") for name in _doubtful(complete)}
+    bad = once.filter(reduce(or_, unreadable.values()))
     return bad.select(*BIRTH_COLUMNS, _reason(unreadable).alias(REASON))
 
 
