@@ -47,7 +47,7 @@ LEADERS = 2
 LONG_LIST = 64
 BLOCK = 256
 # Classes whose keys may be sent to all tasks, at some 100 bytes each.
-BROADCAST_ROWS = 300_000
+BROADCAST_ROWS = 200_000
 # Columns of a block's shingle table handled at a time.
 _COLUMNS = 4096
 
@@ -75,9 +75,8 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.bincount(owner[new], minlength=words.texts)
 
 
-def _sketch_chunk(data: np.ndarray, offsets: np.ndarray):
-    """Set sizes, digests and signatures of the texts of a chunk."""
-    value, size = shingles(Words(data, offsets, NOT_SPACE))
+def _signatures(value: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The least value of each random function over each text's shingles; zeros without any."""
     begin = np.cumsum(size) - size
     some = np.flatnonzero(size)
     signature = np.zeros((len(size), COORDINATES), np.int32)
@@ -85,6 +84,14 @@ def _sketch_chunk(data: np.ndarray, offsets: np.ndarray):
         for i in range(COORDINATES):
             least = np.minimum.reduceat((value ^ _MASK[i]) * _FACTOR[i], begin[some])
             signature[some, i] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return signature
+
+
+def _sketch_chunk(data: np.ndarray, offsets: np.ndarray):
+    """Set sizes, digests and signatures of the texts of a chunk."""
+    value, size = shingles(Words(data, offsets, NOT_SPACE))
+    begin = np.cumsum(size) - size
+    signature = _signatures(value, size)
     digest = [
         hashlib.blake2b(value[b : b + n].tobytes(), digest_size=16).digest() if n else b""
         for b, n in zip(begin.tolist(), size.tolist(), strict=True)
@@ -118,16 +125,16 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
-    """cid, signature and the sorted shingle hashes as bytes, of rows of cid, signature and body."""
+    """cid, signature and the sorted shingle hashes as bytes, of rows of cid and body."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, data, offsets in chunks(batch, 2):
+            for begin, end, data, offsets in chunks(batch, 1):
                 value, size = shingles(Words(data, offsets, NOT_SPACE))
                 ends = np.cumsum(size)
                 sets = [value[e - n : e].tobytes() for e, n in zip(ends, size, strict=True)]
-                part = batch.slice(begin, end - begin)
-                columns = [part.column(0), part.column(1), pa.array(sets, pa.binary())]
+                columns = [batch.column(0).slice(begin, end - begin)]
+                columns += [_lists(_signatures(value, size), pa.int32()), pa.array(sets, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["cid", "signature", "members"])
 
     return rows.mapInArrow(work, "cid long, signature array<int>, members binary")
@@ -250,6 +257,7 @@ def _long_list_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.col("n_all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("n_all") - F.col("most.n_label")) / BLOCK).cast("int").alias("minor_blocks"),
     ).filter("minor_blocks > 0")
+    largest = stored(largest, "minhash-long")
     rows = lists.join(largest, F.col("token") == F.col("of_token")).select(
         "token", "cid", "label", "main", "blocks", "minor_blocks"
     )
@@ -296,7 +304,7 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     lists = inverted_lists(classes)
     met = lists.select(F.col("cid").alias("met")).distinct()
     wanted = stored(
-        classes.join(met, F.col("cid") == F.col("met")).select("cid", "signature", "rep"),
+        classes.join(met, F.col("cid") == F.col("met")).select("cid", "rep"),
         "minhash-met",
     )
     keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
@@ -304,7 +312,7 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         keys,
         rows["doc_id"].eqNullSafe(F.col("rep.doc_id")) & (rows["text_key"] == F.col("rep.text_key")),
     )
-    texts = texts.select("cid", "signature", "body").dropDuplicates(["cid"])
+    texts = texts.select("cid", "body").dropDuplicates(["cid"])
     sets = stored(full_sets(texts), "minhash-sets")
     chosen = [F.min(F.struct(F.xxhash64("cid", F.lit(i)), "cid", "n")) for i in range(LEADERS)]
     leaders = lists.groupBy("token").agg(F.array(*chosen).alias("leads"))
@@ -312,6 +320,8 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     leaders = leaders.select(
         "of_token", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n")
     )
+    # Stored, so that the join is between plain exchanges and Spark can split a long list's rows.
+    leaders = stored(leaders, "minhash-leaders")
     pairs = (
         lists.join(leaders, F.col("token") == F.col("of_token"))
         .filter((F.col("cid") != F.col("lead")) & _sizes_allow("n", "lead_n"))
