@@ -37,8 +37,8 @@ from bercario.llm.words import NOT_SPACE, Words, chunks
 LENGTH = 2048
 END_ID = 1
 SALTS = 256
-# Words, and pieces of words, whose ids a worker remembers at a time, at some 130 bytes each.
-REMEMBERED = 2_000_000
+# Words, and pieces of words, whose ids a worker remembers at a time, at some 200 bytes each.
+KNOWN_WORDS, KNOWN_PIECES = 600_000, 800_000
 
 PIECES = "doc_id {id}, piece_key long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -95,7 +95,7 @@ class WordIds:
         if places:
             missing = [words[at].decode() for at in places]
             learned = self._learn(missing)
-            if len(self.known) + len(learned) > REMEMBERED:
+            if len(self.known) + len(learned) > KNOWN_WORDS:
                 self.known.clear()
             for at, word in zip(places, missing, strict=True):
                 found[at] = self.known[words[at]] = learned[word]
@@ -110,7 +110,7 @@ class WordIds:
             learned.update(zip(others, self._encode_each(others), strict=True))
             words = [word for word, is_plain in zip(words, plain, strict=True) if is_plain]
             together = " ".join(words)
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > KNOWN_PIECES:
             self.pieces = {" ": _NEXT}
         parts, pieces = _PIECE.findall(together.lower()), self.pieces
         new = list({part for part in parts if part not in pieces})
