@@ -77,6 +77,8 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'<])*?)>",
     re.S,
 )
+# Names that say what a whole page has, not what an element is.
+_WITH = re.compile(r"\b(?:no|has|with|without|hide|show)-[\w-]+", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
@@ -147,7 +149,7 @@ class _Reader:
 
 
 def _named_bad(name: str, rest: str) -> bool:
-    if not rest or name in ("html", "body", "article", "main"):
+    if not rest or name in ("html", "body", "main"):
         return False
     for attribute, *values in _ATTRIBUTE.findall(rest):
         value = "".join(values)
@@ -156,7 +158,7 @@ def _named_bad(name: str, rest: str) -> bool:
             return True
         if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
             return True
-        if attribute in ("class", "id") and _BAD_NAMES.search(value):
+        if attribute in ("class", "id") and _BAD_NAMES.search(_WITH.sub("", value)):
             return True
     return False
 

@@ -176,3 +176,29 @@ ORACLE["op7_decontamination"] = r"""
            coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= coalesce(len(w), 0) AS contaminated
     FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+ORACLE["op2_minhash_dedup"] = r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, unnest(
+            CASE WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+        FROM words
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    met AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * met.n >= 75 * (x.n + y.n - met.n)
+    ), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached(doc_id, node) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT reached.doc_id, both_ways.b FROM reached JOIN both_ways ON both_ways.a = reached.node
+    ), least AS (SELECT doc_id, min(node) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM least LEFT JOIN sizes USING (doc_id)
+"""

@@ -171,15 +171,15 @@ def test_statistics():
 
 # Pages ---------------------------------------------------------------------------------------
 
-PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="sidebar"><div class="page no-sidebar">
 <header>Site name</header><nav><ul><li><a href="/a">Home</a></li></ul></nav>
 <div class="cookie-notice">We use cookies on this site and the rest of it.</div><!-- <p>not this</p> -->
 <main><article><h1>A title &amp; more</h1><p>The first of the paragraphs is here,\n with   a <a href="x>y">link</a> in it
 and enough words for the rules to decide.<p>Short.<br>Next&nbsp;line<script>var t = "</p>";</script></p>
 <div class="ad">Buy this now</div><blockquote>Quoted &lt;b&gt; words &copy; &#233;</blockquote></article>
-<section id="comments"><p>The reader says that this is the best of all the articles in the world.</p></section></main>
+<section id="comments"><article class="comment"><p>So say we all, and the rest of us too.</p></article><p>The reader says that this is the best of all the articles in the world.</p></section></main>
 <aside>Related: <a href="/b">Other</a></aside><form><label>Mail</label><input></form>
-<footer>&copy; 2020</footer></body></html>"""
+<footer>&copy; 2020</footer></div></body></html>"""
 
 
 def test_page():
