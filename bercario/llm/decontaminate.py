@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bercario.llm.tables import stored
-from bercario.llm.words import _PLACE, ALPHANUMERIC, Words, chunks, mixed
+from bercario.llm.words import ALPHANUMERIC, PLACE, Words, chunks, mixed
 
 SPAN = 13
 GRAM = 5
@@ -48,9 +48,9 @@ def fingerprints(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     many = words.count - SPAN + 1
     if many < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams = words.hash[: words.count - GRAM + 1] * _PLACE[0]
+    grams = words.hash[: words.count - GRAM + 1] * PLACE[0]
     for place in range(1, GRAM):
-        grams += words.hash[place : place + len(grams)] * _PLACE[place]
+        grams += words.hash[place : place + len(grams)] * PLACE[place]
     grams = mixed(grams)
     least = grams[:many].copy()
     at = np.zeros(many, np.int8)
@@ -67,7 +67,7 @@ def run_hash(words: Words, start: np.ndarray, length: int) -> np.ndarray:
     """Hash of the ``length`` words from each start."""
     total = np.zeros(len(start), np.uint64)
     for place in range(length):
-        total += words.hash[start + place] * _PLACE[place]
+        total += words.hash[start + place] * PLACE[place]
     return mixed(total + np.uint64(length))
 
 

@@ -118,11 +118,15 @@ def _seen_before(words: Words) -> np.ndarray:
     return result
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns but the text, and ``STATISTICS``. Names starting with ``llm_`` are reserved."""
+def with_statistics(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """All columns, the text last or left out, and ``STATISTICS``.
+
+    Names starting with ``llm_`` are reserved.
+    """
     others = [name for name in docs.columns if name != text_col]
-    rows = docs.select(*others, F.col(text_col).alias("llm_body"))
-    schema = StructType(list(docs.select(*others).schema))
+    rows = docs.select(*others, text_col)
+    kept = [*others, text_col] if keep_text else others
+    schema = StructType(list(docs.select(*kept).schema))
     for name in STATISTICS:
         schema = schema.add(f"llm_{name}", "double")
 
@@ -133,8 +137,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
             found = [_statistics(data, offsets, stops) for _, _, data, offsets in chunks(batch, at)]
             values = np.concatenate(found) if found else np.zeros((0, len(STATISTICS)))
             columns = [pa.array(values[:, i]) for i in range(len(STATISTICS))]
-            names = [*others, *(f"llm_{name}" for name in STATISTICS)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], names)
+            names = [*kept, *(f"llm_{name}" for name in STATISTICS)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], names)
 
     return rows.mapInArrow(work, schema)
 
@@ -252,5 +256,5 @@ def accepted(
     docs: DataFrame, ensemble: RuleEnsemble, text_col: str = "text", threshold: float = 0.5
 ) -> DataFrame:
     """The rows that score at least ``threshold``, with all their columns."""
-    marked = with_statistics(docs.withColumn("llm_copy", F.col(text_col)), "llm_copy")
+    marked = with_statistics(docs, text_col, keep_text=True)
     return marked.filter(ensemble.score() >= threshold).select(*docs.columns)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes handled at a time; one longer text is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -27,7 +27,7 @@ ALPHANUMERIC[48:58] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 # A random odd base and one random number per byte and per place in a word sequence.
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
-_PLACE = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+PLACE = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -93,9 +93,9 @@ class Words:
         if self.count < length:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         many = self.count - length + 1
-        total = self.hash[:many] * _PLACE[0]
+        total = self.hash[:many] * PLACE[0]
         for place in range(1, length):
-            total += self.hash[place : place + many] * _PLACE[place % 64]
+            total += self.hash[place : place + many] * PLACE[place % 64]
         whole = self.text[:many] == self.text[length - 1 :]
         return np.flatnonzero(whole), mixed(total[whole] + np.uint64(length))
 
