@@ -24,9 +24,10 @@ from bercario.operators.sampling import sample_exact
 from bercario.operators.sinks import write_table
 from bercario.plans.star import records, star_tables
 from bercario.schemas import BIRTH_COLUMNS, IDENTITY, RECORD_KEY, RECORDS, STAR, YEAR, stored_schema
+from bercario.sources.storage import path_exists
 
 # Tables written at a time; each write is its own job and most are small.
-WRITERS = 4
+WRITERS = 8
 
 
 def silver_path(root: str) -> str:
@@ -43,8 +44,11 @@ def table_path(root: str, table: str) -> str:
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     """The accepted births of the last run."""
-    stored = spark.read.parquet(silver_path(root))
-    return stored.filter(F.col(ACCEPTED)).select(*BIRTH_COLUMNS)
+    return _accepted(spark.read.parquet(silver_path(root)))
+
+
+def _accepted(assessed: DataFrame) -> DataFrame:
+    return assessed.filter(F.col(ACCEPTED)).select(*BIRTH_COLUMNS)
 
 
 def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
@@ -57,17 +61,19 @@ def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
     previous run's births are replaced; their records stay in the warehouse.
     """
     spark = raw.sparkSession
-    assessed_births(raw).write.mode("overwrite").parquet(silver_path(root))
-    bad = unreadable_rows(spark.read.parquet(silver_path(root)))
-    bad.write.mode("overwrite").parquet(rejected_path(root))
-    if strict:
-        bad = spark.read.schema(bad.schema).parquet(rejected_path(root))
-        first = bad.limit(1).collect()
-        if first:
-            names = first[0][REASON].split(",")
-            values = "; ".join(f"unreadable {name}: {first[0][name]}" for name in names)
-            raise UnreadableBirths(f"{bad.count()} rows, listed in {rejected_path(root)}: {values}")
-    return read_silver(spark, root)
+    assessed = assessed_births(raw)
+    assessed.write.mode("overwrite").parquet(silver_path(root))
+    stored = spark.read.schema(assessed.schema).parquet(silver_path(root))
+    bad = unreadable_rows(stored)
+    first = bad.limit(1).collect()
+    # Without any, only the list of an earlier run has to be emptied.
+    if first or path_exists(spark, rejected_path(root)):
+        bad.write.mode("overwrite").parquet(rejected_path(root))
+    if first and strict:
+        names = first[0][REASON].split(",")
+        values = "; ".join(f"unreadable {name}: {first[0][name]}" for name in names)
+        raise UnreadableBirths(f"{bad.count()} rows, listed in {rejected_path(root)}: {values}")
+    return _accepted(stored)
 
 
 def write_records(births: DataFrame, root: str, sample: int | None = None, seed: int = 42) -> DataFrame:
