@@ -8,8 +8,12 @@ First pass, each block for itself: many links make it bad; much text with many s
 good; little text, or few stop words, leaves it undecided, or bad if it is long without any. Second
 pass: an undecided block takes the label of its nearest decided neighbours, the good one if they
 differ at equal distance; without any decided neighbour it is kept if the page marks it as article
-or has no such mark. Inside a marked article a block without links is never bad, as text without
-stop words may be in any language.
+or has no such mark.
+
+Inside a marked article no block is bad: headings and reference lists may be all links, and text
+without stop words may be in any language. On other pages the stop words, which are of four
+languages, count only if blocks with many of them hold at least as much text as blocks without;
+otherwise the page is taken to be in another language, and length and links alone decide.
 
 Character references are decoded, white space inside a block is one space, blocks are joined by an
 empty line.
@@ -190,21 +194,32 @@ def blocks_of(page: str) -> list[Block]:
     return reader.blocks
 
 
+def _stop_share(text: str) -> float:
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    return sum(word in STOP_WORDS for word in words) / max(len(words), 1)
+
+
 def decide(blocks: list[Block]) -> None:
     """Both passes: every block's label becomes good or bad."""
-    for block in blocks:
+    marked = any(block.in_article for block in blocks)
+    stops = [_stop_share(block.text) for block in blocks]
+    with_stops = without = 0
+    for block, stop in zip(blocks, stops, strict=True):
+        size = len(block.text)
+        if size >= SHORT_CHARS and block.link_chars <= LINK_SHARE * size:
+            with_stops += size * (stop >= STOP_HIGH)
+            without += size * (stop < STOP_HIGH)
+    other_language = not marked and with_stops < without
+    for block, stop in zip(blocks, stops, strict=True):
         size = len(block.text)
-        words = re.findall(r"[^\W\d_]+", block.text.lower())
-        stop = sum(word in STOP_WORDS for word in words) / max(len(words), 1)
         if block.link_chars > LINK_SHARE * size:
-            block.label = "bad"
-        elif size >= SHORT_CHARS and stop >= STOP_HIGH:
+            block.label = "" if block.in_article else "bad"
+        elif size >= SHORT_CHARS and (stop >= STOP_HIGH or other_language):
             block.label = "good"
-        elif size >= LONG_CHARS and stop < STOP_LOW:
-            block.label = "good" if block.in_article else "bad"
         elif size >= LONG_CHARS and block.in_article:
             block.label = "good"
-    marked = any(block.in_article for block in blocks)
+        elif size >= LONG_CHARS and stop < STOP_LOW:
+            block.label = "bad"
     distance = len(blocks) + 1
     before: list[tuple[int, str]] = []
     last = (distance, "")

@@ -200,6 +200,43 @@ def test_page_without_marks():
     assert html_extract.main_text(page) == f"Heading\n\n{long.strip()}\n\nShort one"
 
 
+OTHER_LANGUAGES = [
+    "Сегодня мы расскажем о том, почему птицы улетают на юг и возвращаются весной домой. ",
+    "今天我们来谈谈为什么候鸟每年秋天都要飞到南方过冬，到了春天又会飞回自己的家乡繁殖后代。",
+    "Dzisiaj opowiemy o tym, dlaczego ptaki odlatują jesienią i wracają wiosną do domu. ",
+    "Bugün kuşların neden sonbaharda güneye uçtuğunu ve ilkbaharda döndüğünü anlatacağız. ",
+]
+
+
+@pytest.mark.parametrize("sentence", OTHER_LANGUAGES)
+def test_pages_in_other_languages(sentence):
+    long, short = (sentence * 6).strip(), sentence.strip()
+    menu = "<div><a href=1>One</a> <a href=2>Two</a></div>"
+    notice = "<div>This is a note of the editor and it is in English for the rest of us.</div>"
+    for extra in ("", notice):
+        page = f"{menu}<h1>{short[:20]}</h1><div>{long}</div>{menu}<div>{long}!</div>{menu}{extra}"
+        text = html_extract.main_text(page)
+        assert long in text and f"{long}!" in text and "One" not in text
+
+
+def test_words_without_stop_words_go_from_an_english_page():
+    long = "This is the text of the page and it is as long as it has to be for the rules. " * 6
+    keywords = "cheap shoes boots sandals " * 10
+    assert html_extract.main_text(f"<div>{long}</div><div>{keywords}</div>") == long.strip()
+
+
+def test_links_inside_a_marked_article_stay():
+    long = "This is the text of the page and it is as long as it has to be for the rules. " * 3
+    items = [f"Reference number {i} of the text" for i in range(4)]
+    links = "".join(f"<li><a href=/{i}>{item}</a></li>" for i, item in enumerate(items))
+    page = (
+        f"<div><a href=1>Home</a></div><article><h1><a href=/t>The title</a></h1><p>{long}</p>"
+        f"<p>See <a href=/x>the other page</a></p><ul>{links}</ul></article><div><a href=3>More</a></div>"
+    )
+    expected = ["The title", long.strip(), "See the other page", *items]
+    assert html_extract.main_text(page) == "\n\n".join(expected)
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "a < b", "<p title=\"", "</p></div>"])
 def test_broken_pages(page):
     text = html_extract.main_text(page)
