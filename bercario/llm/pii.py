@@ -1,13 +1,15 @@
 """Personal data: regular expressions propose, checksums confirm, context words weigh.
 
 Five kinds of span. Each expression is searched from left to right without overlap, and a match
-that its validator refuses is dropped and not tried again in another way:
+that its validator refuses is dropped and not tried again in another way (but see iban):
 
 * email, phone: the shape and, for phones, 10 to 15 digits
 * ip: four numbers of at most 255
 * card: 14 to 19 digits that pass Luhn
-* iban: two capitals, two digits, 11 to 30 more characters, which pass mod 97; not inside a
-  longer run of letters and digits
+* iban: two capitals, two digits and more characters, 15 to 34 in all, which pass mod 97; not
+  inside a longer run of letters and digits. It ends at the length of its country, whatever
+  follows after a blank; without a known length, at the end of the run. Every place where one may
+  start is tried, so a refused match hides none behind it
 
 A span's score is the prior of its kind, raised if one of the kind's context words stands in the
 40 characters before it. Scores do not decide which spans are reported.
@@ -24,6 +26,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Characters of an account number by country, of the registry of ISO 13616 and of
+# countries that use the format without being in it.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE BI",
+    18: "DK FK FI FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BF BJ CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM SN TD TG",
+    28: "AL AZ BY CI CY DO GT HN HU LB MA ML NE NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban() -> str:
+    """The first letter of each account number that may start here; group 1 is all of it."""
+    known = "|".join(
+        f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{length - 4}}}"
+        for length, names in IBAN_LENGTHS.items()
+    )
+    whole = rf"(?:{known})(?![A-Za-z0-9])"
+    # A run of an unknown length does not reach into a number of a known one.
+    run = rf"[A-Z]{{2}}[0-9]{{2}}(?:(?! {whole}) ?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])"
+    return rf"(?<![A-Za-z0-9])(?=({whole}|{run}))[A-Z]"
+
+
 # Kind: expression, cheap test that every match passes, prior, context words. Order matters.
 # The look-behind or \G (the end of the match before) allows a start only where a run begins;
 # a start further inside could only find the same end.
@@ -53,7 +91,7 @@ KINDS = {
         ("phone", "call", "tel", "mobile", "fax"),
     ),
     "iban": (
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        _iban(),
         lambda text: text.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]"),
         0.6,
         ("iban", "bank", "account", "transfer"),
@@ -124,11 +162,18 @@ def spans_of(kind: str, text: Column) -> Column:
             start = done["end"] + F.length(F.get(found["between"], index))
             match = F.get(found["matches"], index)
             end = start + F.length(match)
+            valid = _valid(kind, match)
+            next_search = end
+            if kind == "iban":
+                # Only the first letter is consumed, so matches may overlap; the first valid stays.
+                next_search = start + 1
+                last = F.get(done["spans"], F.size(done["spans"]) - 1)["end"]
+                valid = valid & (F.coalesce(last, F.lit(0)) <= start)
             spans = F.when(
-                _valid(kind, match),
+                valid,
                 F.concat(done["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))),
             ).otherwise(done["spans"])
-            return F.struct(spans.alias("spans"), end.alias("end"))
+            return F.struct(spans.alias("spans"), next_search.alias("end"))
 
         nothing = F.struct(
             F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
@@ -154,7 +199,7 @@ def spans_of(kind: str, text: Column) -> Column:
 
     found = F.struct(
         F.split(text, expression, -1).alias("between"),
-        F.regexp_extract_all(text, F.lit(expression), F.lit(0)).alias("matches"),
+        F.regexp_extract_all(text, F.lit(expression), F.lit(int(kind == "iban"))).alias("matches"),
     )
     spans = F.transform(_bound(found, located), scored)
     return F.coalesce(F.when(may_match(text), spans), F.array()).cast(_SPANS)

@@ -133,6 +133,32 @@ def test_personal_data_iban_and_score(frame):
     assert rows[4]["spans"] == "iban:0:22" and rows[4]["score"] < rows[1]["score"]
 
 
+IBANS = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"]
+
+
+@pytest.mark.parametrize("before", ["", "IBAN ", "Ref AB12 ", "BE12 ", "No 4711, "])
+def test_personal_data_iban_among_capitals_and_numbers(frame, before):
+    after = ["", " BIC COBADEFFXXX", " Please pay", " and more", " 2 times", " 1234 5678", " GB82WEST12345698765432"]
+    texts = [before + number + end for number in IBANS for end in after]
+    rows = pii.digest(pii.personal_data(frame(list(enumerate(texts))))).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        number, end = IBANS[row["doc_id"] // len(after)], after[row["doc_id"] % len(after)]
+        start = len(before)
+        expected = [f"iban:{start}:{start + len(number)}"]
+        if "GB82" in end:
+            start += len(number) + 1
+            expected.append(f"iban:{start}:{start + 22}")
+        assert [s for s in row["spans"].split(",") if s.startswith("iban")] == expected, texts[row["doc_id"]]
+
+
+def test_personal_data_iban_without_known_length(frame):
+    pairs = [(1, "XX57 1234 5678 9012 345."), (2, "XX00 1234 5678 9012 345."), (3, "DE893704004405320130001")]
+    rows = {r["doc_id"]: r["spans"] for r in pii.digest(pii.personal_data(frame(pairs))).collect()}
+    found = {i: [s for s in spans.split(",") if s.startswith("iban")] for i, spans in rows.items()}
+    assert found == {1: ["iban:0:23"], 2: [], 3: []}
+
+
 def test_personal_data_odd_rows(odd):
     rows = pii.digest(pii.personal_data(odd)).collect()
     got = [(r["doc_id"], ",".join(s for s in r["spans"].split(",") if not s.startswith("iban"))) for r in rows]
