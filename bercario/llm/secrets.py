@@ -8,17 +8,21 @@ with at least one digit or a change between capital and small letters. The fores
 * dictionary coverage: share of letters in frequent words or word pieces of prose
 * path: whether the path or source is one where credentials are kept
 * neighbouring words: whether a credential word stands before it, an assignment sign, quotes
+* provider: whether it has a published format
 
 It is trained from labelled findings. Where there are none by hand, ``silver_labels`` gives them:
 published formats of providers, and values assigned to a credential word in quotes, are true;
-everything else is false. The training rows are a bounded sample, ``TRAINING_ROWS`` at most, by
-hash; every candidate is scored.
+everything else is false. The training rows are a bounded sample, ``TRAINING_ROWS`` at most: by
+hash within each label, half of the bound for either and what one leaves free for the other, so
+that rare secrets are learned from however many candidates there are. A row weighs as many
+candidates of its label as it stands for, so a score is a share of all candidates. Every candidate
+is scored; those of a published format are secrets whatever the forest says.
 
 All steps are column expressions and Spark's own forest. Offsets count code points.
 
 Defined results: a null or empty text has no candidates, and a row without candidates gives no
-row. Rows that repeat an id or have none give their findings all the same. If the training rows
-have one label only, every score is that label. Columns besides id, path and text are not read.
+row. Rows that repeat an id or have none give their findings all the same. If all candidates have
+the same label, every score is that label. Columns besides id, path and text are not read.
 """
 
 from __future__ import annotations
@@ -61,7 +65,7 @@ _MIXED = r"[0-9]|[a-z][A-Z]"
 
 FEATURES = [
     "length", "digits", "capitals", "distinct", "transitions", "dictionary", "path_hint",
-    "word_before", "assigned", "quoted",
+    "word_before", "assigned", "quoted", "provider",
 ]
 
 
@@ -145,6 +149,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "word_before": F.lower("before").rlike("(?:" + "|".join(CREDENTIAL_WORDS) + r")\W*+$"),
         "assigned": F.col("before").rlike(r"[=:]\s*+[\"'`]?$"),
         "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").isin('"', "'", "`"),
+        "provider": value.rlike(PROVIDER),
     }
     return found.withColumns({name: column.cast("double") for name, column in columns.items()})
 
@@ -152,23 +157,31 @@ def with_features(found: DataFrame) -> DataFrame:
 def silver_labels() -> Column:
     """1.0 for a published format or a quoted value assigned to a credential word, else 0.0."""
     assigned = (F.col("word_before") + F.col("assigned") + F.col("quoted")) == 3
-    return (F.col("value").rlike(PROVIDER) | assigned).cast("double")
+    return ((F.col("provider") == 1) | assigned).cast("double")
 
 
 def train(labelled: DataFrame, label_col: str, rows: int = TRAINING_ROWS, seed: int = 1):
-    """A forest from labelled findings, or None if they have fewer than two labels."""
+    """A forest from findings labelled 0.0 or 1.0, or None if they have fewer than two labels."""
     order = F.xxhash64("doc_id", "start", "value")
-    sample = stored(
-        labelled.select(*FEATURES, F.col(label_col).alias("label"), order.alias("order"))
-        .orderBy("order", *FEATURES, "label")
-        .limit(rows),
-        "secrets-training",
-    )
-    if sample.select("label").distinct().count() < 2:
+    findings = labelled.select(*FEATURES, F.col(label_col).alias("label"), order.alias("order"))
+    counts = dict(findings.groupBy("label").agg(F.count(F.lit(1))).collect())
+    if len(counts) < 2:
         return None
+    rarer, other = sorted(counts, key=lambda label: (counts[label], label))
+    taken = {rarer: min(counts[rarer], rows // 2)}
+    taken[other] = min(counts[other], rows - taken[rarer])
+    parts = [
+        findings.filter(F.col("label") == label)
+        .orderBy("order", *FEATURES)
+        .limit(many)
+        .withColumn("weight", F.lit(counts[label] / many))
+        for label, many in taken.items()
+    ]
+    sample = parts[0].unionByName(parts[1]).coalesce(1)
+    sample = stored(sample.sortWithinPartitions("order", *FEATURES, "label"), "secrets-training")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
     forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt"
+        numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt", weightCol="weight"
     )
     return forest.fit(vectors)
 
@@ -201,8 +214,10 @@ def secret_findings(
         "secrets-candidates",
     )
     model = train(found, "label")
-    only = 0.0 if model is not None else (found.agg(F.max("label")).first()[0] or 0.0)
-    return scored(found, model, only).select(
+    # Without a model all labels are the same.
+    known = F.when(F.col("provider") == 1, 1.0) if model is not None else F.col("label")
+    result = scored(found, model).withColumn("score", F.coalesce(known, F.col("score")))
+    return result.select(
         "doc_id",
         F.col("start").cast("bigint").alias("start"),
         F.col("end").cast("bigint").alias("end"),
