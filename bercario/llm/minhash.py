@@ -355,7 +355,11 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, text_key, n_shingles, component_id, kept."""
+    """One row per row: doc_id, text_key, n_shingles, component, component_id, kept.
+
+    ``component`` is a number of the component, null without shingles; ``component_id`` is its
+    least id, which several components may share if ids repeat or are null.
+    """
     body = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(body).alias("text_key"), body.alias("body")
@@ -378,9 +382,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = classes.join(labels, F.col("cid") == F.col("node")).select("cid", "least_id", "label")
     least = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
     linked = linked.select(F.col("cid").alias("of_cid"), F.col("label").alias("of_label"))
-    linked = linked.join(least, F.col("of_label") == F.col("label")).select("of_cid", "component_id")
+    linked = linked.join(least, F.col("of_label") == F.col("label"))
+    linked = linked.select("of_cid", "of_label", "component_id")
     least = classes.join(linked, F.col("cid") == F.col("of_cid"), "left").select(
         F.col("digest").alias("of_digest"),
+        F.coalesce("of_label", "cid").alias("component"),
         # A component without any id has none; its classes have none either.
         F.coalesce("component_id", "least_id").alias("component_id"),
     )
@@ -392,6 +398,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),
+        "component",
         component.alias("component_id"),
         (alone | F.col("doc_id").eqNullSafe(component)).alias("kept"),
     )

@@ -39,7 +39,7 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, folder)).drop("text_key")
+    return minhash.near_duplicates(documents(spark, folder)).drop("text_key", "component")
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

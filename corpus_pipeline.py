@@ -38,11 +38,12 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of least id."""
-    found = minhash.near_duplicates(docs).filter("kept").select("doc_id", "text_key")
-    # Of documents that share an id in one group, the one of least text hash.
-    found = found.groupBy(F.col("doc_id").alias("llm_id"), F.col("text_key").alias("llm_key")).agg(
-        F.lit(1).alias("llm_one")
+    """One document of each group of near duplicates, the one of least id, then text hash."""
+    found = minhash.near_duplicates(docs).filter("kept")
+    # The kept rows of a group share the least id. Texts without shingles are groups by themselves.
+    own = F.when(F.col("component").isNull(), F.col("text_key")).alias("llm_own")
+    found = found.groupBy("component", F.col("doc_id").alias("llm_id"), own).agg(
+        F.min("text_key").alias("llm_key")
     )
     body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     kept = docs.withColumn("llm_text", body).join(

@@ -299,6 +299,19 @@ def test_stages_keep_columns_and_odd_rows(spark, odd, folder):
             assert ids[5] == 0 and ids[4] == 1 and ids[8] == 2
 
 
+def test_one_of_near_copies_with_repeated_or_null_ids(spark, frame, folder):
+    import corpus_pipeline
+
+    base, other, last = prose(70, 80), prose(71, 80), prose(72, 80)
+    pairs = [(1, base), (1, base + " end"), (1, base + " the end"), (2, base + " more"), (1, last)]
+    pairs += [(None, other), (None, other + " end"), (None, other + " end"), (None, prose(73, 80))]
+    pairs += [(None, last + " end"), (None, ""), (None, " "), (3, ""), (3, "")]
+    rows = corpus_pipeline.drop_near_duplicates(spark, frame(pairs), folder).collect()
+    got = Counter((r["doc_id"], r["text"][:40]) for r in rows)
+    expected = [(1, base), (None, other), (1, last), (None, prose(73, 80)), (None, ""), (None, " "), (3, "")]
+    assert got == Counter((i, text[:40]) for i, text in expected)
+
+
 def test_stages_of_an_empty_table(spark, empty, folder):
     import corpus_pipeline
 
