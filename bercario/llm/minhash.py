@@ -3,12 +3,11 @@
 1. A signature has 64 coordinates, each the least value of one random function over the shingles of
    a text. Texts of equal shingle sets are one class from here on, so exact copies cost nothing.
 2. Every class is posted under each coordinate and value. Classes of similarity 0.75 agree in 48
-   coordinates on average, and in fewer than 32 with a probability of about one in a million, so
-   32 is the match threshold. Two classes with 32 agreements must meet among the 33 rarest
-   postings of either (the prefix); the other, more frequent ones are skipped. A class with
-   fewer than 32 postings in company is out.
-3. Classes that meet are compared: the signatures up to the threshold, then the whole sets. What
-   is sought are the components, so pairs inside one are not compared: first every class is
+   coordinates on average, and in fewer than 32 with a probability of 4.6 in a million. Two
+   classes with 32 agreements must meet among the 33 rarest postings of either (the prefix); the
+   other, more frequent ones are skipped. A class with fewer than 32 postings in company is out.
+3. Classes that meet are compared by their whole sets, however many coordinates agree. What is
+   sought are the components, so pairs inside one are not compared: first every class is
    compared with two leaders of each list, which joins most of a group of copies at a cost in
    proportion to its size, and then the classes that still differ are compared. Short lists give
    pairs; long ones are cut into blocks, and each pair of blocks yields a spanning forest of its
@@ -125,7 +124,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
-    """cid, signature and the sorted shingle hashes as bytes, of rows of cid and body."""
+    """cid and the sorted shingle hashes as bytes, of rows of cid and body."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,11 +132,10 @@ def full_sets(rows: DataFrame) -> DataFrame:
                 value, size = shingles(Words(data, offsets, NOT_SPACE))
                 ends = np.cumsum(size)
                 sets = [value[e - n : e].tobytes() for e, n in zip(ends, size, strict=True)]
-                columns = [batch.column(0).slice(begin, end - begin)]
-                columns += [_lists(_signatures(value, size), pa.int32()), pa.array(sets, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "signature", "members"])
+                columns = [batch.column(0).slice(begin, end - begin), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "members"])
 
-    return rows.mapInArrow(work, "cid long, signature array<int>, members binary")
+    return rows.mapInArrow(work, "cid long, members binary")
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
@@ -172,31 +170,18 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that match in enough coordinates and then on their full sets."""
+    """The pairs (a, b) whose full sets are similar."""
     for side in ("a", "b"):
-        own = sets.select(
-            F.col("cid").alias("own"),
-            F.struct("signature", "members").alias(f"{side}_set"),
-        )
+        own = sets.select(F.col("cid").alias("own"), F.col("members").alias(f"{side}_set"))
         pairs = pairs.join(own, F.col(side) == F.col("own")).drop("own")
 
-    def column(batch: pa.RecordBatch, side: str, name: str) -> pa.Array:
-        return batch.column(f"{side}_set").field(name)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signatures = [
-                column(batch, side, "signature").flatten().to_numpy().reshape(-1, COORDINATES)
-                for side in ("a", "b")
-            ]
-            matches = (signatures[0] == signatures[1]).sum(axis=1)
-            sets = zip(column(batch, "a", "members"), column(batch, "b", "members"), strict=True)
             keep = [
-                bool(match >= LEAST_MATCHES)
-                and similar(
+                similar(
                     np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 )
-                for match, (x, y) in zip(matches, sets, strict=True)
+                for x, y in zip(batch.column("a_set"), batch.column("b_set"), strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 

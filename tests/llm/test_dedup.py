@@ -199,6 +199,18 @@ def test_near_in_blocks_alone(frame, monkeypatch):
     assert got == near(pairs)
 
 
+def test_classes_that_meet_are_decided_by_their_sets(spark):
+    import numpy as np
+
+    # Similar sets of few equal coordinates: such pairs are too rare to be found among texts.
+    common = np.arange(75, dtype=np.uint64)
+    rows = [(1, common, 1), (2, np.append(common, np.arange(100, 125, dtype=np.uint64)), 2), (3, common[:50], 3)]
+    rows = [(cid, [seed] * minhash.COORDINATES, bytearray(members.tobytes())) for cid, members, seed in rows]
+    sets = spark.createDataFrame(rows, "cid long, signature array<int>, members binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in minhash.confirmed(pairs, sets).collect()] == [(1, 2)]
+
+
 def test_near_odd_rows(odd):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
