@@ -120,6 +120,8 @@ class WordIds:
         return learned
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        if not pieces:
+            return []
         ids = []
         groups = [" ".join(pieces[at : at + 64]) for at in range(0, len(pieces), 64)]
         for one in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):

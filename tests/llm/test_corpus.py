@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -48,11 +49,15 @@ def test_packing_fills_sequences():
     assert sum(s * n for s, n in counts.items()) / 2048 / sum(t for _, t in patterns) > 0.98
 
 
-def whole_ids(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(packing.tokenizer_file())
-    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+    return Tokenizer.from_file(packing.tokenizer_file())
+
+
+def whole_ids(text):
+    return np.array([*tokenizer().encode(text or "", add_special_tokens=False).ids, 1], "<u4")
 
 
 TOKENS = ["it's", "we'll", "The", "ÀÉ", "<|ENDOFTEXT|>", "!!'s", "İstanbul", "<|endoftext|>", "a<|startoftext|>b", " ", " x", "é", "ß", "ΣΑΣ", "\x1c", "12.5", "日本語", "😀!"]
@@ -73,6 +78,41 @@ def test_word_by_word_ids_are_those_of_the_text():
         assert found == [whole_ids(text)[:-1].tobytes() for text in texts]
 
 
+def encoded(ids, texts):
+    data = [text.encode() for text in texts]
+    return ids.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+
+
+ALONE = ["Привет мир", "日本語", "😀 🎉", "1 2", "the 's", "", "word"]
+
+
+@pytest.mark.parametrize("text", ["Привет, мир", "日本語のテキスト", "😀😀 🎉", "21", "the's", "2 1 12"])
+def test_ids_of_chunks_without_new_pieces(text):
+    expected = [whole_ids(text)[:-1].tobytes()]
+    fresh = packing.WordIds(packing.tokenizer_file())
+    assert encoded(fresh, [text]) == expected
+    used = packing.WordIds(packing.tokenizer_file())
+    for known in ALONE:
+        assert encoded(used, [known]) == [whole_ids(known)[:-1].tobytes()]
+    assert encoded(used, [text]) == expected
+    assert encoded(used, [text]) == expected
+
+
+USED = packing.WordIds(packing.tokenizer_file())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.sampled_from([*ALONE, *TOKENS]), min_size=1, max_size=4))
+def test_ids_of_any_texts_one_chunk_after_another(texts):
+    texts = [text.encode("utf-8", "ignore").decode() for text in texts]
+    assert encoded(USED, texts) == [whole_ids(text)[:-1].tobytes() for text in texts]
+
+
+def test_packing_one_text_without_latin_letters(frame):
+    for text in ("Привет мир", "日本語", "😀"):
+        check_packing(packing.pack(frame([(1, text)])).collect(), [(1, text)], 2048)
+
+
 def check_packing(rows, pairs, length):
     sequences = defaultdict(list)
     for row in rows:
