@@ -20,6 +20,7 @@ from bercario.llm import (
     pii,
     quality,
     secrets,
+    vector_codes,
 )
 from bercario.llm.tables import documents
 
@@ -88,6 +89,11 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_findings(documents(spark, folder))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return vector_codes.digest(*vector_codes.compress(vectors))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -101,6 +107,7 @@ QUERIES = {
         op8_quality,
         op9_html_extraction,
         op10_secrets,
+        op11_vector_codes,
     )
 }
 
@@ -202,3 +209,53 @@ ORACLE["op2_minhash_dedup"] = r"""
     SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
     FROM least LEFT JOIN sizes USING (doc_id)
 """
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Each round: every part with every entry, the least distance, then the means."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+    met{n} AS MATERIALIZED (
+        SELECT id, part, min(distance * 256 + entry) AS best
+        FROM (
+            SELECT id, long.part, entry, sum((x - c) * (x - c)) AS distance
+            FROM long JOIN book{n} USING (part, place) GROUP BY id, long.part, entry
+        ) GROUP BY id, part
+    )""")
+        if n < rounds:
+            steps.append(f"""
+    book{n + 1} AS MATERIALIZED (
+        SELECT part, entry, place, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c) AS c
+        FROM book{n} LEFT JOIN (
+            SELECT part, (best % 256)::BIGINT AS entry, place, sum(x) AS s, count(*) AS n
+            FROM met{n} JOIN long USING (id, part) GROUP BY ALL
+        ) USING (part, entry, place)
+    )""")
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
+               [floor({scale} * x::DOUBLE)::BIGINT for x in embedding] AS v
+        FROM embeddings
+        WHERE len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)
+    ), long AS MATERIALIZED (
+        SELECT id, spot // size AS part, spot % size AS place, x FROM (
+            SELECT id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS spot, len(v) // {parts} AS size
+            FROM kept
+        )
+    ), book0 AS MATERIALIZED (
+        SELECT part, id - 1 AS entry, place, x AS c FROM long WHERE id <= {entries}
+    ), {",".join(steps)},
+    coded AS (
+        SELECT id, string_agg(printf('%02x', (best % 256)::INTEGER), '' ORDER BY part) AS code,
+               sum(best // 256)::BIGINT AS error
+        FROM met{rounds} GROUP BY id
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds})
+               AS codebooks_sha256
+    FROM kept JOIN coded USING (id)
+    """
+
+
+ORACLE["op11_vector_codes"] = _vector_codes_sql()

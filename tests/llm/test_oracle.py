@@ -10,7 +10,7 @@ from bercario.llm.queries import ORACLE, QUERIES
 def test_query_equals_sql(spark, folder, name):
     rows = QUERIES[name](spark, folder)
     with duckdb.connect() as database:
-        for table in ("documents", "benchmark", "labels", "pages"):
+        for table in ("documents", "benchmark", "labels", "pages", "embeddings"):
             database.execute(f"CREATE VIEW {table} AS FROM '{folder}/{table}.parquet'")
         expected = database.execute(ORACLE[name])
         names = [column[0] for column in expected.description]
