@@ -16,6 +16,7 @@ from bercario.llm import (
     license_scan,
     line_dedup,
     minhash,
+    neighbours,
     packing,
     pii,
     quality,
@@ -94,6 +95,12 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.digest(*vector_codes.compress(vectors))
 
 
+def op13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row whose id is divisible by 100, against all other rows."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -108,6 +115,7 @@ QUERIES = {
         op9_html_extraction,
         op10_secrets,
         op11_vector_codes,
+        op13_neighbours,
     )
 }
 

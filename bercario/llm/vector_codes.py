@@ -15,8 +15,7 @@ component; what reaches the driver is as large as the codebooks, whatever the in
 is on whole numbers: 64-bit ones where squares fit, Python's otherwise.
 
 Defined results: rows whose vector is null, or holds null, infinite or undefined components, take no
-part; nor do those of another length than the first, which is the row of least id whose length can
-be cut. Equal ids are ordered by vector, null ids come last; every such row is coded. Fewer rows
+part; nor do those of another length than most of those that can be cut. Equal ids are ordered by vector, null ids come last; every such row is coded. Fewer rows
 than entries give fewer entries. Equal labels share their ``label_error``, null ones too; an error
 beyond 64 bits is given as the largest long. An empty table gives no rows.
 """
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bercario.llm.tables import stored
-from bercario.llm.vectors import finite, matrix
+from bercario.llm.vectors import finite, matrix, of_common_length
 from bercario.operators.lookups import attach
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
@@ -134,10 +133,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, par
     )
     length = F.size("vector")
     rows = rows.filter(finite(F.col("vector")) & (length > 0) & (length % parts == 0))
-    first = rows.orderBy(F.col("vec_id").asc_nulls_last(), "vector").select(length.alias("n")).first()
-    if first is not None:
-        rows = rows.filter(length == first["n"])
-    return stored(rows, "vector-codes-rows")
+    return stored(of_common_length(rows, "vector")[0], "vector-codes-rows")
 
 
 def _digits(number: int) -> Iterator[int]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as the rows of a matrix of doubles."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
+
+
+def of_common_length(rows: DataFrame, vector: str) -> tuple[DataFrame, int]:
+    """The rows whose vectors have the length that most have, the smaller one if two are as common."""
+    length = F.size(vector)
+    counts = rows.groupBy(length.alias("length")).agg(F.count(F.lit(1)).alias("rows"))
+    most = counts.orderBy(F.desc("rows"), "length").first()
+    return (rows, 0) if most is None else (rows.filter(length == most["length"]), most["length"])
