@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bercario.llm import (
     decontaminate,
     exact_dedup,
+    filter_audit,
     html_extract,
     license_scan,
     line_dedup,
@@ -95,6 +96,11 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.digest(*vector_codes.compress(vectors))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    failures = filter_audit.document_failures(documents(spark, folder))
+    return filter_audit.audit(failures, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Every row whose id is divisible by 100, against all other rows."""
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
@@ -115,6 +121,7 @@ QUERIES = {
         op9_html_extraction,
         op10_secrets,
         op11_vector_codes,
+        op12_filter_audit,
         op13_neighbours,
     )
 }
@@ -267,3 +274,45 @@ def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale:
 
 
 ORACLE["op11_vector_codes"] = _vector_codes_sql()
+
+_STEPS = ", ".join(str(step) for step in filter_audit.steps_of_all_orders())
+
+ORACLE["op12_filter_audit"] = rf"""
+    WITH steps(filter_order, step, before, own) AS (VALUES {_STEPS}),
+    counted AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), masked AS (
+        SELECT doc_id, part,
+               (len(w) < 50)::INTEGER
+               + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INTEGER
+               + 4 * (100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g')))
+                      > 5 * length(body))::INTEGER
+               + 8 * regexp_matches(body, '[#$%&*|]')::INTEGER
+               + 16 * (min(doc_id) OVER (PARTITION BY body) < doc_id)::INTEGER AS mask
+        FROM counted
+    ), said AS (
+        SELECT doc_id, bool_or(coalesce(quality, 0) = 1) AS good, bool_or(coalesce(toxic, 0) = 1) AS toxic
+        FROM labels GROUP BY doc_id
+    ), masks AS (
+        SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+               count(*) FILTER (WHERE toxic) AS toxic
+        FROM masked LEFT JOIN said USING (doc_id) GROUP BY part, mask
+    ), results AS (
+        SELECT part, filter_order, step, own,
+               sum(n) FILTER (WHERE mask & (before | own) = 0) AS kept,
+               sum(n) FILTER (WHERE mask & own <> 0 AND mask & before = 0) AS removed,
+               sum(n) FILTER (WHERE mask & own <> 0 AND mask & before <> 0) AS redundant,
+               sum(n) FILTER (WHERE mask = own) AS unique_fails,
+               sum(good) FILTER (WHERE mask & own <> 0 AND mask & before = 0) AS good_lost,
+               sum(toxic) FILTER (WHERE mask & own <> 0 AND mask & before = 0) AS toxic_lost
+        FROM masks, steps GROUP BY part, filter_order, step, own
+    )
+    SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept,
+           coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+           coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+           coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+           coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+    FROM results
+"""
