@@ -513,3 +513,84 @@ FROM {_CHOSEN} GROUP BY 1, 2""",
 }
 
 ORACLE["warehouse_named_tables"] = ORACLE["warehouse_tables"]
+
+# A report from the stored counts is the report.
+ORACLE |= {f"cube_{name.removeprefix('report_')}": sql for name, sql in ORACLE.items() if name.startswith("report_")}
+
+# Births of 1996 with a number divisible by 7 moved to 2000, if they are still plausible there.
+_CORRECTED = _LATER + f""",
+first AS (SELECT * FROM ({_select(_births("raw"), "SELECT * FROM clean")})),
+second AS (SELECT * FROM ({_select(_births("later"), "SELECT * FROM clean")})),
+moved AS (SELECT * FROM second WHERE "CONTADOR" % 7 = 0 AND year("DTNASC") = 2000),
+left_alone AS (SELECT * FROM first WHERE "CONTADOR" NOT IN (SELECT "CONTADOR" FROM moved)),
+touched AS (
+  SELECT year("DTNASC") AS ano FROM moved
+  UNION SELECT year("DTNASC") FROM first WHERE "CONTADOR" IN (SELECT "CONTADOR" FROM moved)
+),
+loaded_second AS (
+  SELECT DISTINCT year("DTNASC") AS ano FROM second
+),
+after AS (
+  SELECT * FROM left_alone UNION ALL SELECT * FROM moved UNION ALL SELECT * FROM second
+)"""
+
+_LOADED = """
+SELECT "CONTADOR" AS id_mae, year("DTNASC") AS ano, "DTNASC" AS id_calendario,
+       "DTNASCMAE" AS dtnascmae, "ESCMAE" AS id_escmae, """
+
+ORACLE["append_corrections"] = _select(
+    _CORRECTED,
+    _LOADED
+    + """CAST(CASE WHEN year("DTNASC") IN (SELECT ano FROM touched) THEN 3
+            WHEN year("DTNASC") IN (SELECT ano FROM loaded_second) THEN 2 ELSE 1 END AS BIGINT) AS carga
+FROM after""",
+)
+ORACLE["cube_after_corrections"] = _select(
+    _CORRECTED, 'SELECT year("DTNASC") AS ano, count(*) AS nascimentos FROM after GROUP BY 1'
+)
+ORACLE["append_withdrawals"] = _select(
+    _CLEAN + """,
+gone AS (SELECT * FROM clean WHERE year("DTNASC") IN (1997, 1998) AND "CONTADOR" % 3 = 0)""",
+    _LOADED
+    + """CAST(CASE WHEN year("DTNASC") IN (SELECT year("DTNASC") FROM gone) THEN 2 ELSE 1 END AS BIGINT) AS carga
+FROM clean WHERE "CONTADOR" NOT IN (SELECT "CONTADOR" FROM gone)""",
+)
+
+_FAILED = [("antes", 1), ("depois da falha", 1), ("depois da repetição", 2)]
+ORACLE["warehouse_failed_run"] = _select(
+    f"""{_LATER},
+first AS (SELECT * FROM ({_select(_births("raw"), "SELECT * FROM clean")})),
+second AS (SELECT * FROM ({_select(_births("later"), "SELECT * FROM clean")})),
+loads AS (SELECT 1 AS load, * FROM first UNION ALL SELECT 2, * FROM second),
+titles AS (
+  SELECT DISTINCT load, "CODOCUPMAE" AS code FROM loads
+  WHERE "CODOCUPMAE" IN (SELECT c_custkey FROM customer)
+)""",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{moment}' AS momento, '{table}' AS tabela, count(*) AS linhas,
+       {f'CAST(sum({key}) AS BIGINT)' if key else 'NULL::BIGINT'} AS soma_chaves
+FROM {source} WHERE load <= {last}"""
+        for moment, last in _FAILED
+        for table, key, source in (
+            ("fatos_nascidos", '"CONTADOR"', "loads"),
+            ("dim_mae", '"CONTADOR"', "loads"),
+            ("dim_profissao", "code", "titles"),
+            ("cubo", None, "loads"),
+        )
+    ),
+)
+
+_RENAMED = """CASE WHEN o.code % 4 = 0 THEN o.title || ' *' ELSE o.title END"""
+ORACLE["label_as_of"] = _select(
+    f"{_CLEAN},{_REFERENCE}",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{view}' AS visao, {label} AS ocupacao, count(*) AS nascimentos
+FROM clean b LEFT JOIN occupation o ON o.code = b."CODOCUPMAE" GROUP BY 2"""
+        for view, label in (
+            ("nascimento", f"""CASE WHEN b."DTNASC" < DATE '1998-07-01' THEN o.title ELSE {_RENAMED} END"""),
+            ("antes", "o.title"),
+            ("depois", _RENAMED),
+            ("atual", _RENAMED),
+        )
+    ),
+)

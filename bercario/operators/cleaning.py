@@ -161,15 +161,24 @@ def assessed_births(raw: DataFrame) -> DataFrame:
     return rows.withColumn(ACCEPTED, accepted).drop("_few")
 
 
+def _flags(assessed: DataFrame) -> dict[str, Column]:
+    texts = [name for name in assessed.columns if name.startswith("bruto_")]
+    return {name.removeprefix("bruto_"): F.col(name).isNotNull() for name in texts}
+
+
+def unreadable(assessed: DataFrame) -> Column:
+    """True for the rows of ``assessed_births`` that hold an unreadable value."""
+    return reduce(or_, _flags(assessed).values())
+
+
 def unreadable_rows(assessed: DataFrame) -> DataFrame:
     """The rows of ``assessed_births`` with an unreadable value, as text, and which columns."""
-    texts = [name for name in assessed.columns if name.startswith("bruto_")]
-    unreadable = {name.removeprefix("bruto_"): F.col(name).isNotNull() for name in texts}
+    flags = _flags(assessed)
     columns = [
         F.coalesce(F.col(name).cast("string"), F.col(f"bruto_{name}")).alias(name)
-        if name in unreadable
+        if name in flags
         else F.col(name).cast("string").alias(name)
         for name in BIRTH_COLUMNS
     ]
-    bad = assessed.filter(reduce(or_, unreadable.values()))
-    return bad.select(*columns, _reason(unreadable).alias(REASON))
+    bad = assessed.filter(unreadable(assessed))
+    return bad.select(*columns, _reason(flags).alias(REASON))

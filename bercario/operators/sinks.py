@@ -14,6 +14,22 @@ from bercario.sources.storage import path_exists
 MODES = ("append", "append_new_only", "overwrite")
 
 
+def rows_not_in(
+    df: DataFrame, old: DataFrame, key: str | Sequence[str] | None = None, only_in: Column | None = None
+) -> DataFrame:
+    """The rows of ``df`` that ``old`` does not have.
+
+    Rows are the same if they agree in ``key``, one or more columns, null being equal to null;
+    without a key, if they agree in all columns of ``df``. ``only_in`` restricts the rows of ``old``
+    that are looked at to where a row of ``df`` can be, such as its partitions.
+    """
+    names = list(df.columns) if key is None else [key] if isinstance(key, str) else list(key)
+    old = old if only_in is None else old.filter(only_in)
+    old = old.select(*[F.col(name).alias(f"_old_{i}") for i, name in enumerate(names)])
+    same = [df[name].eqNullSafe(old[f"_old_{i}"]) for i, name in enumerate(names)]
+    return df.join(old, reduce(and_, same), "left_anti")
+
+
 def write_table(
     df: DataFrame,
     path: str | None = None,
@@ -27,11 +43,8 @@ def write_table(
     """Write ``df`` to a Parquet folder or a catalog table, creating it if needed.
 
     ``append`` adds every row, so a repeated run stores everything twice. ``append_new_only``
-    adds the rows that are not stored yet, which makes a repeated run harmless (one writer at a
-    time). Rows are the same if they agree in ``key``, one or more columns, null being equal to
-    null; without a key, if they agree in all columns. ``only_in`` restricts the stored rows that
-    are looked at to where a row of ``df`` can be, such as its partitions. ``overwrite`` replaces
-    the table.
+    adds the rows that are not stored yet, see ``rows_not_in``, which makes a repeated run harmless
+    (one writer at a time). ``overwrite`` replaces the table.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table name")
@@ -43,11 +56,7 @@ def write_table(
         if stored:
             # The schema is given, as a failed first write leaves a folder without any file.
             old = spark.table(table) if table else spark.read.schema(df.schema).parquet(path)
-            names = list(df.columns) if key is None else [key] if isinstance(key, str) else list(key)
-            old = old if only_in is None else old.filter(only_in)
-            old = old.select(*[F.col(name).alias(f"_old_{i}") for i, name in enumerate(names)])
-            same = [df[name].eqNullSafe(old[f"_old_{i}"]) for i, name in enumerate(names)]
-            df = df.join(old, reduce(and_, same), "left_anti")
+            df = rows_not_in(df, old, key, only_in)
     writer = df.write.mode("overwrite" if mode == "overwrite" else "append").partitionBy(*partition_by)
     if table:
         writer.format("parquet").saveAsTable(table)

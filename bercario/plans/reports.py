@@ -1,7 +1,8 @@
 """The reports on births.
 
 Each takes ``births`` with the columns it names: the fact table where that is enough, otherwise
-``birth_profile`` or either wide view. A label that is not in those (city, state, occupation) is
+``birth_profile`` or either wide view; or ``cube.cells``, whose rows stand for as many births as
+``nascimentos`` says. A label that is not in those (city, state, occupation) is
 joined after counting per code, when the largest code is one row: no report moves single births,
 so a code that a third of them share costs no more than any other. Windows without partition
 only see such counts, one row per month, state or label.
@@ -21,17 +22,29 @@ from bercario.operators.lookups import one_row_per_key
 _COUNT = "nascimentos"
 
 
-def mother_age() -> Column:
+def mother_age(births: DataFrame | None = None) -> Column:
     """Completed years of the mother at the birth."""
+    if births is not None and "idade" in births.columns:
+        return F.col("idade")
     return completed_years(F.col("dtnascmae"), F.col("id_calendario"))
 
 
-def _births() -> Column:
-    return F.count(F.lit(1)).alias(_COUNT)
+def _are_counts(births: DataFrame) -> bool:
+    return _COUNT in births.columns
+
+
+def _number(births: DataFrame) -> Column:
+    if _are_counts(births):
+        return F.coalesce(F.sum(_COUNT), F.lit(0)).cast("bigint")
+    return F.count(F.lit(1))
+
+
+def _births(births: DataFrame) -> Column:
+    return _number(births).alias(_COUNT)
 
 
 def _per_label(births: DataFrame, label: str) -> DataFrame:
-    counted = births.groupBy(label).agg(_births())
+    counted = births.groupBy(label).agg(_births(births))
     return counted.withColumn(label, label_or_unknown(F.col(label)))
 
 
@@ -39,7 +52,7 @@ def _per_lookup(
     births: DataFrame, code: str, lookup: DataFrame, lookup_key: str, *also: str
 ) -> DataFrame:
     """Births per code, and per ``also``, with the lookup's columns."""
-    counted = births.groupBy(code, *also).agg(_births())
+    counted = births.groupBy(code, *also).agg(_births(births))
     labels = one_row_per_key(lookup, lookup_key).withColumnRenamed(lookup_key, code)
     return counted.join(labels, code, "left")
 
@@ -70,12 +83,12 @@ def apply_filters(df: DataFrame, filters: Mapping[str, Sequence]) -> DataFrame:
 
 
 def births_total(births: DataFrame) -> DataFrame:
-    return births.agg(_births())
+    return births.agg(_births(births))
 
 
 def births_by_age_band(births: DataFrame, youngest: int = 15, oldest: int = 45, width: int = 5) -> DataFrame:
-    band = age_band(mother_age(), youngest, oldest, width)
-    return births.groupBy(band.alias("faixa_etaria")).agg(_births())
+    band = age_band(mother_age(births), youngest, oldest, width)
+    return births.groupBy(band.alias("faixa_etaria")).agg(_births(births))
 
 
 def births_by_education(births: DataFrame) -> DataFrame:
@@ -83,13 +96,22 @@ def births_by_education(births: DataFrame) -> DataFrame:
 
 
 def mean_mother_age(births: DataFrame) -> DataFrame:
-    return births.agg(F.avg(mother_age()).alias("idade_media"))
+    age = mother_age(births)
+    mean = F.sum(age * F.col(_COUNT)) / F.sum(_COUNT) if _are_counts(births) else F.avg(age)
+    return births.agg(mean.alias("idade_media"))
 
 
 def children_by_age(births: DataFrame) -> DataFrame:
     """Living and dead children of mothers of each age: sums and means."""
-    return births.groupBy(mother_age().alias("idade")).agg(
-        _births(),
+    by_age = births.groupBy(mother_age(births).alias("idade"))
+    if _are_counts(births):
+        sums = [F.sum(name).cast("bigint").alias(name) for name in ("filhos_vivos", "filhos_mortos")]
+        means = [
+            (F.sum(name) / F.sum(_COUNT)).alias(f"media_{name}") for name in ("filhos_vivos", "filhos_mortos")
+        ]
+        return by_age.agg(_births(births), *sums, *means)
+    return by_age.agg(
+        _births(births),
         F.sum("qtd_filhovivo").alias("filhos_vivos"),
         F.sum("qtd_filhomorto").alias("filhos_mortos"),
         F.avg("qtd_filhovivo").alias("media_filhos_vivos"),
@@ -116,7 +138,7 @@ def births_by_employment(births: DataFrame, not_employed: DataFrame | Sequence[i
     if not isinstance(not_employed, DataFrame):
         not_employed = births.sparkSession.createDataFrame([(c,) for c in not_employed], "code BIGINT")
     listed = not_employed.select(F.col(not_employed.columns[0]).alias("id_codocupmae")).distinct()
-    counted = births.groupBy("id_codocupmae").agg(_births())
+    counted = births.groupBy("id_codocupmae").agg(_births(births))
     flagged = counted.join(listed.withColumn("listed", F.lit(True)), "id_codocupmae", "left")
     return _total(flagged.select(F.col("listed").isNull().alias("empregada"), _COUNT), "empregada")
 
@@ -147,7 +169,7 @@ def birth_place_by_region(
 
 def deliveries_by_race(births: DataFrame) -> DataFrame:
     """Births per race of the mother and type of delivery."""
-    counted = births.groupBy("raca_mae", "parto").agg(_births())
+    counted = births.groupBy("raca_mae", "parto").agg(_births(births))
     return counted.withColumns({c: label_or_unknown(F.col(c)) for c in ("raca_mae", "parto")})
 
 
@@ -159,16 +181,20 @@ def deliveries_by_race_table(births: DataFrame) -> DataFrame:
 
 
 def delivery_totals(births: DataFrame) -> DataFrame:
+    def of(code: int) -> Column:
+        chosen = F.col("parto") == DELIVERY[code]
+        if _are_counts(births):
+            return F.coalesce(F.sum(F.when(chosen, F.col(_COUNT))), F.lit(0)).cast("bigint")
+        return F.count_if(chosen)
+
     return births.agg(
-        F.count(F.lit(1)).alias("partos"),
-        F.count_if(F.col("parto") == DELIVERY[1]).alias("vaginais"),
-        F.count_if(F.col("parto") == DELIVERY[2]).alias("cesarios"),
+        _number(births).alias("partos"), of(1).alias("vaginais"), of(2).alias("cesarios")
     )
 
 
 def births_by_visits(births: DataFrame) -> DataFrame:
     """Births per number of prenatal visits. The fact's code is enough."""
-    counted = births.groupBy("id_consulta").agg(_births())
+    counted = births.groupBy("id_consulta").agg(_births(births))
     label = label_or_unknown(decode(F.col("id_consulta"), VISITS))
     return _total(counted.withColumn("descricao", label), "descricao")
 
@@ -188,7 +214,7 @@ def births_by_newborn_race(births: DataFrame) -> DataFrame:
 def births_by_month(births: DataFrame) -> DataFrame:
     """Births per month, and whether they are above, below or at the monthly mean."""
     month = F.trunc("id_calendario", "MM").alias("mes")
-    counted = births.groupBy(month).agg(_births())
+    counted = births.groupBy(month).agg(_births(births))
     counted = counted.withColumn("media", F.avg(_COUNT).over(Window.partitionBy()))
     position = (
         F.when(F.col(_COUNT) > F.col("media"), "acima")

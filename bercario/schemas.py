@@ -13,6 +13,13 @@ RECORD_KEY = "CONTADOR"
 YEAR, RECORD_HASH = "ano", "registro"
 RECORDS = "registros"
 
+# Which series of files a record comes from, and which load wrote a stored row.
+SOURCE, BATCH = "fonte", "lote"
+
+# Counts by code, and the dated labels of the reference files.
+CUBE = "cubo"
+LABEL_TABLES = {"dim_municipio": "rotulos_municipio", "dim_profissao": "rotulos_profissao"}
+
 DATE_COLUMNS = ["DTNASC", "DTNASCMAE"]
 
 # The 17 births columns read from the registry file; a record needs all of them.
@@ -74,7 +81,10 @@ def table_schema(table: str, compat: bool = False) -> T.StructType:
 
 
 def stored_schema(table: str, compat: bool = False) -> T.StructType:
-    """Schema of a table as the warehouse stores it; tables with a row per record say which."""
+    """Schema of a table as the warehouse stores it; tables with a row per record say which.
+
+    Every row says which load wrote it.
+    """
     if table == RECORDS:
         fields = [
             T.StructField(name, T.DateType() if name in DATE_COLUMNS else T.LongType())
@@ -83,8 +93,9 @@ def stored_schema(table: str, compat: bool = False) -> T.StructType:
     else:
         fields = table_schema(table, compat).fields
     if table in IDENTITY:
-        fields = [*fields, T.StructField(RECORD_HASH, T.LongType()), T.StructField(YEAR, T.IntegerType())]
-    return T.StructType(list(fields))
+        source = [T.StructField(SOURCE, T.StringType())] if table == RECORDS else []
+        fields = [*fields, T.StructField(RECORD_HASH, T.LongType()), *source, T.StructField(YEAR, T.IntegerType())]
+    return T.StructType([*fields, T.StructField(BATCH, T.StringType())])
 
 
 def as_table(df: DataFrame, table: str, compat: bool = False) -> DataFrame:

@@ -25,6 +25,29 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def folders_below(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """The folders that match a pattern below each folder of ``path``."""
+    files, target = _locate(spark, f"{path}/*/{pattern}")
+    found = files.globStatus(target) or []
+    return [str(one.getPath().toString()) for one in found if one.isDirectory()]
+
+
+def written_files(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, time and size of each file of a table: equal as long as nobody writes it anew."""
+    files, target = _locate(spark, path)
+    found = files.listFiles(target, True)
+    listed = []
+    while found.hasNext():
+        one = found.next()
+        listed.append((str(one.getPath().getName()), one.getModificationTime(), one.getLen()))
+    return tuple(sorted(listed))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, target = _locate(spark, path)
+    files.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path in the folder all executors share.
 
