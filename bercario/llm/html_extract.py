@@ -1,17 +1,23 @@
 """Main text of web pages, by block rules in two passes.
 
 Markup is read into blocks: text between tags that break lines, with how much of it stands in
-links. Blocks in parts that are never the article (menus, headers, footers, sidebars, forms,
-scripts, adverts, notices, reader comments, by tag name, role, class or id) are dropped at once.
+links and in which parts of the page it lies. Parts that are never the article go first: menus,
+headers, footers, sidebars and the like by tag or role, hidden ones, adverts, notices, reader comments
+by whole names in class or id, forms. Four things overrule that, as tags and names are often wrong:
+
+* an element that its own end tag does not end is no part of the page but a slip;
+* a form, or a part with such a name, that holds more prose than all the rest is the article. Text
+  marked as article is not beaten by parts outside it, and a form around it is only a wrapping;
+* an article is never dropped for its name, unless it is one of reader comments beside another;
+* a header inside an article is the article's.
+
+If an article is marked (``article``, else ``main``), its blocks are the text and nothing else is; a mark
+without any prose on a page with prose counts for nothing. On other pages the rules decide.
 
 First pass, each block for itself: many links make it bad; much text with many stop words makes it
 good; little text, or few stop words, leaves it undecided, or bad if it is long without any. Second
 pass: an undecided block takes the label of its nearest decided neighbours, the good one if they
-differ at equal distance; without any decided neighbour it is kept if the page marks it as article
-or has no such mark.
-
-Inside a marked article no block is bad: headings and reference lists may be all links, and text
-without stop words may be in any language. On other pages the stop words, which are of four
+differ at equal distance; without any decided neighbour it is kept. The stop words, which are of four
 languages, count only if blocks with many of them hold at least as much text as blocks without;
 otherwise the page is taken to be in another language, and length and links alone decide.
 
@@ -19,14 +25,16 @@ Character references are decoded, white space inside a block is one space, block
 empty line.
 
 Defined results: a null, empty or text-free page gives an empty text. Broken markup is read as far
-as it goes: an unclosed element ends with its parent, an unclosed script or comment with the page.
-Every row gives one row, ids repeated, null or not. Other columns are not read.
+as it goes: an unclosed element ends with its parent, an unclosed script or comment with the page, a
+head with the first element of a body. Every row gives one row, ids repeated, null or not. Other
+columns are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,24 +51,34 @@ BLOCK = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = frozenset("script style textarea title noscript iframe template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe template svg object".split())
 NEVER = frozenset(
-    "head nav header footer aside form button select option menu dialog canvas audio video"
+    "head nav header footer aside button select option menu dialog canvas audio video"
     " label fieldset".split()
 )
-# Elements whose start ends an open paragraph.
-ARTICLE = frozenset(["article", "main"])
+IN_HEAD = frozenset("html head title base link meta style script noscript template".split())
+ARTICLE = "article"
 NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 )
-# Names that pages give to parts that are not the article.
-_BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumb\w*"
-    r"|sidebar\w*|side-?bar|footer|foot|header|masthead|comments?|commentlist|disqus\w*|respond|replies"
-    r"|cookies?|consent|gdpr|notice|notices|newsletter|subscribe|signup|popup|modal|overlay|share|sharing"
-    r"|social|related|recommend\w*|widget|toolbar|pagination|pager|login|search|skip)(?:$|[\s_-])",
-    re.I,
+# Words that pages give to parts that are not the article, the words that go with them
+# in a name, and those of reader comments.
+_BAD_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors"
+    " promo promos promotion banner banners nav navbar navigation menu menus submenu breadcrumb"
+    " breadcrumbs sidebar footer foot header masthead cookie cookies consent gdpr notice notices"
+    " newsletter subscribe subscription signup popup modal overlay share sharing shares social related"
+    " recommend recommended recommendation recommendations widget widgets toolbar pagination pager"
+    " login search skip".split()
+)
+_COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+_WITH_WORDS = frozenset(
+    "site page global top bottom left right upper lower first last main primary secondary side bar box"
+    " block slot unit area zone section container wrapper wrap holder inner outer content list items item"
+    " links link buttons button icons icon form text thread unit group row col column panel posts post"
+    " by to us on in the a e".split()
 )
+
 # Frequent words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it with as was on be by this are from at or an which but not"
@@ -75,37 +93,69 @@ LONG_CHARS = 200
 STOP_LOW = 0.05
 STOP_HIGH = 0.12
 
-# A comment, a declaration, or a tag. What cannot be closed is text or runs to the end.
+# A comment, a declaration, or a tag of no more than 999 pieces. What cannot be closed is text or runs
+# to the end.
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|\Z)|<[!?][^>]*+>?"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'<])*?)>",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'<]){0,999}?)>",
     re.S,
 )
-# Names that say what a whole page has, not what an element is.
-_WITH = re.compile(r"\b(?:no|has|with|without|hide|show)-[\w-]+", re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# A name and a value, from the front: what stands in quotes is never taken for a name.
+_ATTRIBUTE = re.compile(r"[\s/]*+([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s]*+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_WORDS = re.compile(r"[a-z]+|[0-9]+")
+_SAYS = re.compile("class|id|role|hidden|style", re.I)
+
+BY_TAG, BY_NAME, FORM, COMMENT = "tag", "name", "form", "comment"
+
+
+@dataclass(eq=False)
+class Part:
+    """A part of the page that may not belong to the article, and whether it ended as it should.
+
+    An inline part has no blocks of its own but a place in one: ``begin`` is where.
+    """
+
+    kind: str
+    is_article: bool = False
+    in_article: bool = False
+    in_main: bool = False
+    begin: tuple[int, int, int] | None = None
+    outer: Part | None = None
+    closed: bool = False
 
 
 @dataclass
 class Block:
     text: str
     link_chars: int
-    in_article: bool
+    in_article: bool = False
+    in_main: bool = False
+    part: Part | None = None
     label: str = ""
 
+    @property
+    def prose(self) -> int:
+        size = len(self.text)
+        return size if size >= SHORT_CHARS and self.link_chars <= LINK_SHARE * size else 0
+
 
 @dataclass
 class _Reader:
     blocks: list[Block] = field(default_factory=list)
-    open: list[tuple[str, bool]] = field(default_factory=list)
+    open: list[tuple[str, Part | None]] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     links: int = 0
     articles: int = 0
+    mains: int = 0
     link_parts: list[str] = field(default_factory=list)
-    skipping: int = 0
+    # Parts of the page: all, outer ones first, and the innermost one that is open.
+    found: list[Part] = field(default_factory=list)
+    inner: Part | None = None
+    names: Counter = field(default_factory=Counter)
 
     def text(self, raw: str) -> None:
-        if raw and not self.skipping:
+        if raw:
             decoded = html.unescape(raw)
             self.parts.append(decoded)
             if self.links:
@@ -116,10 +166,20 @@ class _Reader:
             text = " ".join("".join(self.parts).split())
             if text:
                 linked = len(" ".join("".join(self.link_parts).split()))
-                self.blocks.append(Block(text, linked, self.articles > 0))
+                self.blocks.append(Block(text, linked, self.articles > 0, self.mains > 0, self.inner))
             self.parts, self.link_parts = [], []
 
+    def take_back(self, part: Part) -> None:
+        """What an inline part has added to the block that goes on behind it."""
+        blocks, parts, links = part.begin
+        if len(self.blocks) > blocks:
+            self.end_block()
+        else:
+            del self.parts[parts:], self.link_parts[links:]
+
     def start(self, name: str, rest: str) -> None:
+        if name not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self.close("head")
         if name in BLOCK:
             self.end_block()
             if self.open and self.open[-1][0] == "p":
@@ -128,47 +188,92 @@ class _Reader:
             self.text(" ")
         if name in VOID or rest.endswith("/"):
             return
-        never = name in NEVER or _named_bad(name, rest)
-        self.open.append((name, never))
-        self.skipping += never
+        kind = part_kind(name, rest, self.articles > 0)
+        part = None
+        if kind:
+            begin = None if name in BLOCK else (len(self.blocks), len(self.parts), len(self.link_parts))
+            part = Part(kind, name == ARTICLE, self.articles > 0, self.mains > 0, begin, self.inner)
+            self.found.append(part)
+            self.inner = part
+        self.open.append((name, part))
+        self.names[name] += 1
         self.links += name == "a"
-        self.articles += name in ARTICLE
+        self.articles += name == ARTICLE
+        self.mains += name == "main"
 
     def close(self, name: str) -> None:
         if name in BLOCK:
             self.end_block()
+        if not self.names[name]:
+            return
         at = len(self.open) - 1
         while at >= 0 and self.open[at][0] != name:
             # An inline element is not closed across the block that holds it.
             if name not in BLOCK and self.open[at][0] in BLOCK:
                 return
             at -= 1
-        if at < 0:
-            return
-        for opened, never in self.open[at:]:
-            self.skipping -= never
+        ended = self.open[at][1]
+        if ended:
+            ended.closed = True
+            if ended.begin:
+                self.take_back(ended)
+        outermost = next((part for _, part in self.open[at:] if part), None)
+        if outermost:
+            self.inner = outermost.outer
+        for opened, _ in self.open[at:]:
+            self.names[opened] -= 1
             self.links -= opened == "a"
-            self.articles -= opened in ARTICLE
+            self.articles -= opened == ARTICLE
+            self.mains -= opened == "main"
         del self.open[at:]
 
 
-def _named_bad(name: str, rest: str) -> bool:
-    if not rest or name in ("html", "body", "main"):
-        return False
-    for attribute, *values in _ATTRIBUTE.findall(rest):
-        value = "".join(values)
-        attribute = attribute.lower()
-        if attribute == "role" and value.lower() in NEVER_ROLES:
-            return True
-        if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
-            return True
-        if attribute in ("class", "id") and _BAD_NAMES.search(_WITH.sub("", value)):
-            return True
-    return False
-
-
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page that may belong to the article, in order."""
+def attributes(rest: str) -> dict[str, str]:
+    """Names and values inside a tag; of a name that repeats, the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), html.unescape("".join(values)))
+    return found
+
+
+def name_kind(value: str) -> str:
+    """What a class or id says: every word of one whole name is of parts that are not the article."""
+    for name in value.lower().split():
+        words = _WORDS.findall(name)
+        bad = [word for word in words if word in _BAD_WORDS]
+        comments = [word for word in words if word in _COMMENT_WORDS]
+        others = len(words) - len(bad) - len(comments)
+        with_them = sum(word in _WITH_WORDS or word.isdigit() for word in words)
+        if (bad or comments) and others == with_them:
+            return COMMENT if comments else BY_NAME
+    return ""
+
+
+def part_kind(name: str, rest: str, in_article: bool) -> str:
+    """The kind of part that an element begins, empty if it may well be the article's."""
+    if name in ("html", "body", "main"):
+        return ""
+    heading = name == "header" and in_article
+    if name in NEVER and not heading:
+        return BY_TAG
+    if not _SAYS.search(rest):
+        return FORM if name == "form" else ""
+    has = attributes(rest)
+    hidden = "hidden" in has and has["hidden"].lower() != "until-found"
+    if hidden or has.get("aria-hidden", "").lower() == "true" or _NOT_SHOWN.search(has.get("style", "")):
+        return BY_TAG
+    if has.get("role", "").lower() in NEVER_ROLES and name not in (ARTICLE, "form"):
+        return BY_TAG
+    named = {name_kind(has[where]) for where in ("class", "id") if where in has}
+    if COMMENT in named:
+        return COMMENT
+    if name == "form":
+        return FORM
+    return BY_NAME if BY_NAME in named and name != ARTICLE and not heading else ""
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[Part]]:
+    """All blocks of a page in order, and its parts, outer ones first."""
     reader = _Reader()
     at = 0
     while True:
@@ -191,7 +296,7 @@ def blocks_of(page: str) -> list[Block]:
             reader.start(name, token["rest"])
     reader.text(page[at:])
     reader.end_block()
-    return reader.blocks
+    return reader.blocks, reader.found
 
 
 def _stop_share(text: str) -> float:
@@ -199,25 +304,78 @@ def _stop_share(text: str) -> float:
     return sum(word in STOP_WORDS for word in words) / max(len(words), 1)
 
 
+def without_parts(blocks: list[Block], parts: list[Part]) -> list[Block]:
+    """The blocks that no part speaks against, or only one that is overruled."""
+    comments: dict[Part | None, bool] = {None: False}
+    for part in parts:
+        comments[part] = comments[part.outer] or (part.closed and part.kind == COMMENT)
+    article = any(block.in_article and not comments[block.part] for block in blocks)
+    # An article of comments is the article if there is no other.
+    against = [p for p in parts if p.closed and (article or not (p.is_article and p.kind == COMMENT))]
+    wrapping = _wrappings(blocks, parts, set(against))
+    against = set(against) - wrapping
+    # How many parts speak against what lies in a part (up to two), and the only one.
+    count: dict[Part | None, int] = {None: 0}
+    only: dict[Part | None, Part | None] = {None: None}
+    for part in parts:
+        count[part] = min(2, count[part.outer] + (part in against))
+        only[part] = part if part in against else only[part.outer]
+    free = [block for block in blocks if not count[block.part]]
+    rest, marked = sum(block.prose for block in free), any(b.in_article or b.in_main for b in free)
+    held: dict[Part, int] = {}
+    for block in blocks:
+        part = only[block.part]
+        if count[block.part] == 1 and part.kind in (BY_NAME, FORM) and (not marked or block.in_article or block.in_main):
+            held[part] = held.get(part, 0) + block.prose
+    overruled = {part for part, prose in held.items() if prose >= LONG_CHARS and prose > rest}
+    return [b for b in blocks if not count[b.part] or (count[b.part] == 1 and only[b.part] in overruled)]
+
+
+def _wrappings(blocks: list[Block], parts: list[Part], against: set[Part]) -> set[Part]:
+    """Forms around a marked article that nothing else speaks against."""
+    other: dict[Part | None, bool] = {None: False}
+    for part in parts:
+        other[part] = other[part.outer] or (part in against and part.kind != FORM)
+    found, seen = set(), set()
+    for block in blocks:
+        part = block.part
+        while part and not other[block.part] and (part, block.in_article, block.in_main) not in seen:
+            seen.add((part, block.in_article, block.in_main))
+            if part.kind == FORM and (block.in_article > part.in_article or block.in_main > part.in_main):
+                found.add(part)
+            part = part.outer
+    return found
+
+
+def _marked(blocks: list[Block]) -> list[bool]:
+    """Which blocks are marked as the article; none, if the mark is on no prose and others have some."""
+    for flags in ([b.in_article for b in blocks], [b.in_main for b in blocks]):
+        inside = [b for b, flag in zip(blocks, flags, strict=True) if flag]
+        outside = sum(b.prose for b, flag in zip(blocks, flags, strict=True) if not flag)
+        if inside and (any(b.prose for b in inside) or outside < LONG_CHARS):
+            return flags
+    return [False] * len(blocks)
+
+
 def decide(blocks: list[Block]) -> None:
-    """Both passes: every block's label becomes good or bad."""
-    marked = any(block.in_article for block in blocks)
+    """The label of every block: good or bad."""
+    flags = _marked(blocks)
+    if any(flags):
+        for block, flag in zip(blocks, flags, strict=True):
+            block.label = "good" if flag else "bad"
+        return
     stops = [_stop_share(block.text) for block in blocks]
     with_stops = without = 0
     for block, stop in zip(blocks, stops, strict=True):
-        size = len(block.text)
-        if size >= SHORT_CHARS and block.link_chars <= LINK_SHARE * size:
-            with_stops += size * (stop >= STOP_HIGH)
-            without += size * (stop < STOP_HIGH)
-    other_language = not marked and with_stops < without
+        with_stops += block.prose * (stop >= STOP_HIGH)
+        without += block.prose * (stop < STOP_HIGH)
+    other_language = with_stops < without
     for block, stop in zip(blocks, stops, strict=True):
         size = len(block.text)
         if block.link_chars > LINK_SHARE * size:
-            block.label = "" if block.in_article else "bad"
+            block.label = "bad"
         elif size >= SHORT_CHARS and (stop >= STOP_HIGH or other_language):
             block.label = "good"
-        elif size >= LONG_CHARS and block.in_article:
-            block.label = "good"
         elif size >= LONG_CHARS and stop < STOP_LOW:
             block.label = "bad"
     distance = len(blocks) + 1
@@ -234,15 +392,12 @@ def decide(blocks: list[Block]) -> None:
             near = [x for x in (before[i], last) if x[1]]
             nearest = min((x[0] for x in near), default=0)
             votes = {x[1] for x in near if x[0] == nearest}
-            if blocks[i].in_article or not votes:
-                blocks[i].label = "good" if blocks[i].in_article or not marked else "bad"
-            else:
-                blocks[i].label = "good" if "good" in votes else "bad"
+            blocks[i].label = "good" if "good" in votes or not votes else "bad"
 
 
 def main_text(page: str | None) -> str:
     """The text of the article."""
-    blocks = blocks_of(page or "")
+    blocks = without_parts(*blocks_of(page or ""))
     decide(blocks)
     return "\n\n".join(block.text for block in blocks if block.label == "good")
 

@@ -277,6 +277,112 @@ def test_links_inside_a_marked_article_stay():
     assert html_extract.main_text(page) == "\n\n".join(expected)
 
 
+PROSE = "This is the text of the page and it is as long as it has to be for the rules. " * 4
+BODY = f"<p>{PROSE}</p><p>It is the last of the lines and that is it.</p>"
+EXPECTED = f"{PROSE.strip()}\n\nIt is the last of the lines and that is it."
+MENU = "<nav><a href=1>Home</a> <a href=2>News</a></nav>"
+WRAPPED = [
+    '<div style="overflow:hidden">{}</div>',
+    '<article style="overflow: hidden">{}</article>',
+    '<div title="hidden gem">{}</div>',
+    '<div title=\'a "hidden" gem\' data-hidden="false">{}</div>',
+    '<div data-id="menu-12">{}</div>',
+    '<div data-role="navigation">{}</div>',
+    '<div data-note="class=menu hidden">{}</div>',
+    '<form action="/x">{}</form>',
+    '<form id="aspnetForm"><article>{}</article></form>',
+    '<main><form><article>{}</article></form></main>',
+    '<div class="job-search">{}</div>',
+    '<article id="promo-2024">{}</article>',
+    '<article class="social">{}</article>',
+    '<article class="comment">{}</article>',
+    '<div class="share-price">{}</div>',
+    '<div class="widget">{}</div>',
+    '<div class="no-sidebar has-menu">{}</div>',
+    '<section class="search-results-for-the-term">{}</section>',
+    '<article>{}</article>',
+    '<main>{}</main>',
+]
+
+
+@pytest.mark.parametrize("wrapping", WRAPPED)
+def test_prose_is_never_lost_for_a_name(wrapping):
+    page = f"<html><head><title>T</title></head><body>{MENU}{wrapping.format(BODY)}<footer>2020</footer></body></html>"
+    assert html_extract.main_text(page) == EXPECTED
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="{}">Some words of a part that is not the article.</div>'.format(name)
+    for name in ("ad", "cookie-notice", "site-footer", "share-buttons", "sidebar left", "newsletter-signup", "comment-list")
+] + [
+    '<p hidden>Some words that are not shown.</p>', '<div style="display: none">Not shown at all here.</div>',
+    '<div aria-hidden="true">Not for readers of any kind.</div>', '<div role=banner>Name of the site</div>',
+    f'<section class="comments"><p>{PROSE}{PROSE}</p></section>',
+    '<form><p>Write to us about this page.</p><label>Mail</label></form>', '<aside>Aside of all</aside>',
+])
+def test_parts_that_are_not_the_article_go(part):
+    for page in (f"<article>{BODY}{part}</article>", f"{part}<article>{BODY}</article>", f"<div>{BODY}</div>{part}"):
+        assert html_extract.main_text(page) == EXPECTED
+
+
+def test_nothing_outside_a_marked_article_stays():
+    notice = "<p>This site is going to be closed for the night and it is all we can say to you about it.</p>"
+    opinion = f"<div><p>Reader: {PROSE}</p></div>"
+    assert html_extract.main_text(f"<div>{notice}</div><article>{BODY}</article>{opinion}") == EXPECTED
+    assert html_extract.main_text(f"<div>{notice}</div><main>{BODY}</main>{opinion}") == EXPECTED
+    # A mark on a teaser, the body elsewhere.
+    assert html_extract.main_text(f"<article><h2>Teaser</h2></article><div>{BODY}</div>") .endswith(EXPECTED)
+
+
+def test_slips_in_the_markup():
+    for slip in ("<nav>", "<aside>", '<div class="ad">', "<header>", "<form>"):
+        assert html_extract.main_text(f"<body>{slip}<article>{BODY}</article></body>") == EXPECTED
+        assert PROSE.strip() in html_extract.main_text(f"<body>{slip}<a href=1>Home</a><div>{BODY}</div></body>")
+    assert html_extract.main_text(f"<html><head><title>T</title><body><article>{BODY}</article>") == EXPECTED
+    assert html_extract.main_text(f"<html><head><title>T</title><meta name=x><article>{BODY}</article>") == EXPECTED
+
+
+def test_inline_parts_and_formulas_and_headings():
+    page = "<article><header><h1>The title</h1></header><p>Before <button>Copy</button>the <span hidden>x</span><math><mi>a</mi></math> end.</p></article>"
+    assert html_extract.main_text(page) == "The title\n\nBefore the a end."
+    form = f"<article>{BODY}<form><p>Subscribe to the best of the letters.</p></form></article>"
+    assert html_extract.main_text(form) == EXPECTED
+
+
+def plain_attributes(rest):
+    """Read sign by sign."""
+    found, at = {}, 0
+    while at < len(rest):
+        if rest[at].isspace() or rest[at] in "/=":
+            at += 1
+            continue
+        name = value = ""
+        while at < len(rest) and not rest[at].isspace() and rest[at] not in "/=":
+            name, at = name + rest[at], at + 1
+        ahead = at
+        while ahead < len(rest) and rest[ahead].isspace():
+            ahead += 1
+        if ahead < len(rest) and rest[ahead] == "=":
+            at = ahead + 1
+            while at < len(rest) and rest[at].isspace():
+                at += 1
+            if at < len(rest) and rest[at] in "\"'":
+                end = rest.find(rest[at], at + 1)
+                end = len(rest) if end < 0 else end
+                value, at = rest[at + 1 : end], end + 1
+            else:
+                while at < len(rest) and not rest[at].isspace():
+                    value, at = value + rest[at], at + 1
+        found.setdefault(name.lower(), value)
+    return found
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["a", "class", "hidden", "=", '"', "'", " ", "/", "id", "x y", "-"]), max_size=14).map("".join))
+def test_attributes_are_read_from_the_front(rest):
+    assert html_extract.attributes(rest) == plain_attributes(rest)
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "a < b", "<p title=\"", "</p></div>"])
 def test_broken_pages(page):
     text = html_extract.main_text(page)
