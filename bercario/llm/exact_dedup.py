@@ -4,7 +4,8 @@ Rows are dealt out by range of their normalised content, with splitters that Spa
 external sort of each range then puts equal texts next to each other, and the window over the
 sorted rows compares whole neighbouring texts. The range key is the start of the text, a hash
 of all of it and, for a group too large for one task, a salt, so that no splitter is a long text
-and no group fills a task.
+and no group fills a task. The salt follows the place of a row in the input, not its id: copies
+without an id, or with one id, are spread like any others.
 
 Defined results: a null text is an empty one. A null id is smaller than any other; copies that
 are all without id have a null ``keep_id``. Of rows that repeat an id and a text, one is kept.
@@ -46,12 +47,13 @@ def exact_duplicates(
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), (normalise(text) if normalise else text).alias("body")
-    ).withColumn("content", F.xxhash64("body"))
+    )
+    rows = rows.withColumn("content", F.xxhash64("body")).withColumn("place", F.monotonically_increasing_id())
     # Groups above the limit hold all rows at most, so there are fewer than a thousand of them:
     # few enough to broadcast whatever the input.
     limit = max(least_split, docs.count() // 1000)
     rows = rows.join(F.broadcast(large_groups(rows, limit)), "content", "left")
-    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")), F.lit(0))
+    salt = F.coalesce(F.pmod(F.xxhash64("place"), F.col("salts")), F.lit(0)).cast("int")
     rows = rows.select(
         "doc_id",
         "body",
@@ -70,6 +72,7 @@ def exact_duplicates(
         F.count(F.lit(1)).over(equal).alias("group_size"),
         (F.row_number().over(descending) == 1).alias("leads"),
         "split",
+        "salt",
     )
     runs = stored(runs, "exact-dedup")
     # A split group lies in several runs; each gives one row here. There are fewer than a
@@ -77,14 +80,24 @@ def exact_duplicates(
     whole = (
         runs.filter("split AND leads")
         .groupBy("text_sha256")
-        .agg(F.max("keep_id").alias("whole_id"), F.sum("group_size").alias("whole_size"))
+        .agg(F.max(F.struct("keep_id", "salt")).alias("most"), F.sum("group_size").alias("whole_size"))
+        .select(
+            "text_sha256",
+            F.col("most.keep_id").alias("whole_id"),
+            F.col("most.salt").alias("whole_salt"),
+            "whole_size",
+        )
     )
     joined = runs.join(F.broadcast(whole), "text_sha256", "left")
-    keep_id = F.when(F.col("whole_size").isNull(), F.col("keep_id")).otherwise(F.col("whole_id"))
+    alone = F.col("whole_size").isNull()
+    keep_id = F.when(alone, F.col("keep_id")).otherwise(F.col("whole_id"))
+    # Of runs that lead with one id, the run of the greatest salt keeps its row.
+    stays = F.col("leads") & F.col("keep_id").eqNullSafe(keep_id)
+    stays = stays & (alone | (F.col("salt") == F.col("whole_salt")))
     return joined.select(
         "doc_id",
         keep_id.alias("keep_id"),
         F.coalesce("whole_size", "group_size").alias("group_size"),
-        (F.col("leads") & F.col("keep_id").eqNullSafe(keep_id)).alias("kept"),
+        stays.alias("kept"),
         "text_sha256",
     )

@@ -1,7 +1,8 @@
 """Near duplicates: an inverted join of MinHash signatures, confirmed on full shingle sets.
 
-1. A signature has 64 coordinates, each the least value of one random function over the shingles of
-   a text. Texts of equal shingle sets are one class from here on, so exact copies cost nothing.
+1. A signature has 64 coordinates, each the least 64-bit value of one random function over the
+   shingles of a text, and marked by its coordinate: texts without a common shingle share none, but
+   for a chance of their lengths' product in 2 ** 64. Texts of equal shingle sets are one class from here on, so exact copies cost nothing.
 2. Every class is posted under each coordinate and value. Classes of similarity 0.75 agree in 48
    coordinates on average, and in fewer than 32 with a probability of 4.6 in a million. Two
    classes with 32 agreements must meet among the 33 rarest postings of either (the prefix); the
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from bercario.llm.components import components
 from bercario.llm.tables import stored
 from bercario.llm.words import NOT_SPACE, Words, chunks
+from bercario.operators.lookups import fits_broadcast
 
 SHINGLE = 5
 COORDINATES = 64
@@ -45,14 +47,18 @@ LEADERS = 2
 # Lists of more classes are compared in blocks of this many.
 LONG_LIST = 64
 BLOCK = 256
-# Classes whose keys may be sent to all tasks, at some 100 bytes each.
-BROADCAST_ROWS = 200_000
+# A block has about this many shingles at most, 8 bytes each, but for one longer text.
+BLOCK_SHINGLES = 1 << 19
+# Classes whose keys may be sent to all tasks, and their bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 # Columns of a block's shingle table handled at a time.
 _COLUMNS = 4096
 
 _RANDOM = np.random.default_rng(75)
 _MASK = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
 _FACTOR = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
+# Least values are small; a mark moves those of each coordinate to a region of their own.
+_MARK = (np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -78,11 +84,11 @@ def _signatures(value: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The least value of each random function over each text's shingles; zeros without any."""
     begin = np.cumsum(size) - size
     some = np.flatnonzero(size)
-    signature = np.zeros((len(size), COORDINATES), np.int32)
+    signature = np.zeros((len(size), COORDINATES), np.int64)
     if len(some):
         for i in range(COORDINATES):
             least = np.minimum.reduceat((value ^ _MASK[i]) * _FACTOR[i], begin[some])
-            signature[some, i] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            signature[some, i] = (least ^ _MARK[i]).view(np.int64)
     return signature
 
 
@@ -114,12 +120,12 @@ def sketches(rows: DataFrame) -> DataFrame:
                 size, digest, signature = _sketch_chunk(data, offsets)
                 part = batch.slice(begin, end - begin)
                 columns = [pa.array(size, pa.int64()), pa.array(digest, pa.binary())]
-                columns.append(_lists(signature, pa.int32()))
+                columns.append(_lists(signature, pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        work, f"doc_id {kind}, text_key long, n long, digest binary, signature array<int>"
+        work, f"doc_id {kind}, text_key long, n long, digest binary, signature array<long>"
     )
 
 
@@ -140,10 +146,7 @@ def full_sets(rows: DataFrame) -> DataFrame:
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
     """token, cid, n, company: the prefix of each class, of postings that others share."""
-    value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    postings = classes.select(
-        "cid", "n", F.posexplode("signature").alias("coordinate", "value")
-    ).select("cid", "n", (F.shiftleft(F.col("coordinate").cast("long"), 32) + value).alias("token"))
+    postings = classes.select("cid", "n", F.explode("signature").alias("token"))
     company = stored(
         postings.groupBy("token")
         .agg(F.count(F.lit(1)).alias("company"))
@@ -232,16 +235,21 @@ def _long_list_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
 
     Only classes outside the largest component of a list are compared with the rest of it.
     """
-    part = lists.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n_label"))
+    # Classes, and their shingles in units that make a block of either as large.
+    units = F.sum(F.greatest(F.lit(1.0), F.col("n") * (BLOCK / BLOCK_SHINGLES)))
+    part = lists.groupBy("token", "label").agg(units.alias("n_label"))
     largest = part.groupBy("token").agg(
-        F.max(F.struct("n_label", "label")).alias("most"), F.sum("n_label").alias("n_all")
+        F.max(F.struct("n_label", "label")).alias("most"),
+        F.sum("n_label").alias("n_all"),
+        F.count(F.lit(1)).alias("labels"),
     )
-    largest = largest.select(
+    minor = F.greatest(F.col("n_all") - F.col("most.n_label"), F.lit(1.0))
+    largest = largest.filter("labels > 1").select(
         F.col("token").alias("of_token"),
         F.col("most.label").alias("main"),
         F.ceil(F.col("n_all") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("n_all") - F.col("most.n_label")) / BLOCK).cast("int").alias("minor_blocks"),
-    ).filter("minor_blocks > 0")
+        F.ceil(minor / BLOCK).cast("int").alias("minor_blocks"),
+    )
     largest = stored(largest, "minhash-long")
     rows = lists.join(largest, F.col("token") == F.col("of_token")).select(
         "token", "cid", "label", "main", "blocks", "minor_blocks"
@@ -292,7 +300,8 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         classes.join(met, F.col("cid") == F.col("met")).select("cid", "rep"),
         "minhash-met",
     )
-    keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    few = fits_broadcast(wanted, BROADCAST_ROWS, BROADCAST_BYTES)
+    keys = F.broadcast(wanted) if few else wanted
     texts = rows.join(
         keys,
         rows["doc_id"].eqNullSafe(F.col("rep.doc_id")) & (rows["text_key"] == F.col("rep.text_key")),

@@ -44,6 +44,21 @@ def test_exact_splits_large_groups(frame):
     assert found(exact_dedup.exact_duplicates(frame(pairs), least_split=7)) == exact(pairs)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_exact_spreads_copies_without_an_id_of_their_own(frame, doc_id):
+    pairs = [(doc_id, "same text")] * 300 + [(3, "same text"), (9, "same text")][: 2 if doc_id is None else 1]
+    pairs += [(i, f"text {i}") for i in range(100, 150)]
+    assert found(exact_dedup.exact_duplicates(frame(pairs).repartition(5), least_split=20)) == exact(pairs)
+
+
+def test_exact_uses_several_salts_for_one_id(frame, monkeypatch):
+    runs = []
+    monkeypatch.setattr(exact_dedup, "stored", lambda df, purpose: runs.append(df) or df)
+    exact_dedup.exact_duplicates(frame([(None, "same text")] * 400), least_split=20).count()
+    per_salt = [row["count"] for row in runs[0].groupBy("salt").count().collect()]
+    assert len(per_salt) >= 15 and max(per_salt) < 80
+
+
 def test_exact_normalised(frame):
     from pyspark.sql import functions as F
 
@@ -192,7 +207,8 @@ def test_near_in_blocks_alone(frame, monkeypatch):
     monkeypatch.setattr(minhash, "LEADERS", 1)
     monkeypatch.setattr(minhash, "LONG_LIST", 2)
     monkeypatch.setattr(minhash, "BLOCK", 16)
-    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 800)
+    monkeypatch.setattr(minhash, "BROADCAST_BYTES", 0)
     pairs = near_corpus()
     rows = minhash.near_duplicates(frame(pairs)).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows}
@@ -211,6 +227,16 @@ def test_classes_that_meet_are_decided_by_their_sets(spark):
     assert [tuple(r) for r in minhash.confirmed(pairs, sets).collect()] == [(1, 2)]
 
 
+def test_unrelated_sets_share_no_list():
+    import numpy as np
+
+    size = np.full(4_000, 400)
+    value = np.random.default_rng(1).integers(0, 1 << 64, size.sum(), dtype=np.uint64)
+    tokens = minhash._signatures(value, size)
+    assert len(np.unique(tokens)) == tokens.size
+    assert (minhash._signatures(value[:400], size[:1]) == tokens[0]).all()
+
+
 def test_near_odd_rows(odd):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
