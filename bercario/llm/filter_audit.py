@@ -6,12 +6,13 @@ follows from how many documents have each mask.
 
 Copies are found by radix tries of whole texts. First every task puts the texts of a batch into a
 trie: rows that share a text with a smaller id are copies, one row stands for its text. Those texts
-are then dealt by prefixes that adapt: a prefix that more than ``RANGE_WEIGHT`` of text begins with
-is lengthened, again and again, until its texts fit, or are all one text. The texts of a prefix meet
+are then dealt by prefixes that adapt: a prefix that more than ``RANGE_WEIGHT`` of text begins with,
+or more than ``RANGE_SHARE`` of a task's share, is lengthened, again and again, until its texts fit,
+or are all one text. The texts of a prefix meet
 in one trie, whose terminals hold the least ids; traversing it gives the rows that stand behind a
 smaller id. A text that a third of the rows have comes there once from each batch.
 
-The prefixes to lengthen are collected: at most one for each ``RANGE_WEIGHT`` of text, and never more
+The prefixes to lengthen are collected: at most one for each range's weight of text, and never more
 than ``PREFIX_BYTES`` of them: beyond that, ranges are made larger instead.
 
 Masks are counted per part before anything else, so a part on a third of the rows is a few counts. Of
@@ -49,8 +50,10 @@ LEAST_DIFFERENT = 65  # per cent of the words
 MOST_CAPITALS = 5  # per cent of the code points
 MARKUP = re.compile(rb"[#$%&*|]")
 
-# Bytes of text under one prefix, each row counting as some more, and bytes of all prefixes.
+# Bytes of text under one prefix, each row counting as some more, and bytes of all prefixes; a prefix
+# has no more than this part of what a shuffled partition has on average.
 RANGE_WEIGHT, ROW_WEIGHT = 32 << 20, 400
+RANGE_SHARE = 0.5
 PREFIX_BYTES = 8 << 20
 FIRST_PREFIX, LONGER = 4, 4
 
@@ -124,6 +127,13 @@ def _with_heavy(texts: DataFrame, heavy: DataFrame, length: int, how: str) -> Da
     return texts.join(F.broadcast(heavy), _prefix(length) == F.col(heavy.columns[0]), how)
 
 
+def range_weight(texts: DataFrame, most: int = RANGE_WEIGHT) -> int:
+    """How much text may share a prefix, for as many partitions as the session shuffles to."""
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = texts.agg(F.sum(_weight())).first()[0] or 0
+    return min(most, max(1, int(RANGE_SHARE * total / partitions)))
+
+
 def long_prefixes(texts: DataFrame, weight: int) -> list[tuple[int, DataFrame]]:
     """By length: the prefixes (one column) with more than ``weight`` of text that can be split."""
     spark, levels, length, size = texts.sparkSession, [], FIRST_PREFIX, 0
@@ -159,7 +169,8 @@ def later_rows(texts: DataFrame, weight: int = RANGE_WEIGHT) -> DataFrame:
 
     The rows of a partition are sorted by prefix, so one trie is held at a time.
     """
-    dealt = _by_prefix(texts, long_prefixes(texts, weight)).repartition("prefix").sortWithinPartitions("prefix")
+    levels = long_prefixes(texts, range_weight(texts, weight))
+    dealt = _by_prefix(texts, levels).repartition("prefix").sortWithinPartitions("prefix")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, prefix, ids, keys = TextTrie(), None, [], []
