@@ -12,10 +12,12 @@ that its validator refuses is dropped and not tried again in another way (but se
   start is tried, so a refused match hides none behind it
 
 A span's score is the prior of its kind, raised if one of the kind's context words stands in the
-40 characters before it. Scores do not decide which spans are reported.
+40 characters before it, of which no more is looked at than back to the second match of the kind
+before. Scores do not decide which spans are reported.
 
 Offsets count code points; the end is exclusive. All expressions take time in proportion to the
-text: they give nothing back and start a long run only at its beginning.
+text, however many spans it has: they give nothing back, start a long run only at its beginning,
+and places are running sums of the lengths of matches and of what lies between, see ``folding``.
 
 Defined results: a null or empty text has no spans. Every row gives one row, ids repeated, null or
 not. Columns besides id and text are not read. An empty table gives an empty result.
@@ -26,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bercario.llm.folding import bound, folded, indices, running_sums
+
 # Characters of an account number by country, of the registry of ISO 13616 and of
 # countries that use the format without being in it.
 IBAN_LENGTHS = {
@@ -146,49 +150,44 @@ def _valid(kind: str, match: Column) -> Column:
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
+_PLACES = "array<struct<start:int,end:int,near:boolean>>"
 
 
 def spans_of(kind: str, text: Column) -> Column:
     """The confirmed spans of one kind, in order."""
     expression, may_match, prior, words = KINDS[kind]
     rank = list(KINDS).index(kind)
+    # Of an account number only the first letter is consumed, so its matches may overlap.
+    consumed = (lambda match: F.left(match, F.lit(1))) if kind == "iban" else (lambda match: match)
+    context_words = r"\b(?:" + "|".join(words) + ")"
 
     def located(found: Column) -> Column:
         # The text is: between[0] match[0] between[1] match[1] ... between[n].
-        def step(done: Column, index: Column) -> Column:
-            start = done["end"] + F.length(F.get(found["between"], index))
-            match = F.get(found["matches"], index)
-            end = start + F.length(match)
-            valid = _valid(kind, match)
-            next_search = end
-            if kind == "iban":
-                # Only the first letter is consumed, so matches may overlap; the first valid stays.
-                next_search = start + 1
-                last = F.get(done["spans"], F.size(done["spans"]) - 1)["end"]
-                valid = valid & (F.coalesce(last, F.lit(0)) <= start)
-            spans = F.when(
-                valid,
-                F.concat(done["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))),
-            ).otherwise(done["spans"])
-            return F.struct(spans.alias("spans"), next_search.alias("end"))
-
-        nothing = F.struct(
-            F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
-            F.lit(0).alias("end"),
-        )
-        indices = F.sequence(F.lit(0), F.size(found["matches"]) - 1)
-        return F.when(
-            F.size(found["matches"]) > 0, F.aggregate(indices, nothing, step)["spans"]
-        )
+        between, matches = found["between"], found["matches"]
+
+        def advance(i: Column) -> Column:
+            before = F.coalesce(F.length(consumed(F.get(matches, i - 1))), F.lit(0))
+            return F.length(F.get(between, i)) + before
+
+        def place(i: Column, starts: Column) -> Column:
+            match, start = F.get(matches, i), F.get(starts, i)
+            last = F.lit(CONTEXT_CHARS)
+            pieces = [F.get(between, i - 1), consumed(F.get(matches, i - 1)), F.get(between, i)]
+            context = F.concat(*[F.coalesce(F.right(piece, last), F.lit("")) for piece in pieces])
+            return F.struct(
+                start.alias("start"),
+                (start + F.length(match)).alias("end"),
+                F.lower(F.right(context, last)).rlike(context_words).alias("near"),
+                _valid(kind, match).alias("valid"),
+            )
+
+        def placed(starts: Column) -> Column:
+            return F.filter(F.transform(indices(matches), lambda i: place(i, starts)), lambda s: s["valid"])
+
+        return bound(running_sums(F.transform(indices(matches), advance)), placed)
 
     def scored(span: Column) -> Column:
-        before = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-        context = F.lower(F.substring(text, before + 1, span["start"] - before))
-        near = context.rlike(r"\b(?:" + "|".join(words) + ")")
-        score = F.when(near, round((prior + 1) / 2, 3)).otherwise(prior)
+        score = F.when(span["near"], round((prior + 1) / 2, 3)).otherwise(prior)
         return F.struct(
             span["start"].alias("start"),
             F.lit(rank).alias("rank"),
@@ -197,12 +196,20 @@ def spans_of(kind: str, text: Column) -> Column:
             score.cast("double").alias("score"),
         )
 
+    def first_of_overlapping(end: Column, span: Column) -> tuple[Column, Column]:
+        stays = span["start"] >= end
+        kept = F.struct(*[span[name].alias(name) for name in ("start", "end", "near")])
+        nothing = F.array().cast(_PLACES)
+        return F.when(stays, F.array(kept)).otherwise(nothing), F.when(stays, span["end"]).otherwise(end)
+
     found = F.struct(
         F.split(text, expression, -1).alias("between"),
         F.regexp_extract_all(text, F.lit(expression), F.lit(int(kind == "iban"))).alias("matches"),
     )
-    spans = F.transform(_bound(found, located), scored)
-    return F.coalesce(F.when(may_match(text), spans), F.array()).cast(_SPANS)
+    spans = bound(found, located)
+    if kind == "iban":
+        spans = folded(spans, F.lit(0), _PLACES, first_of_overlapping)
+    return F.coalesce(F.when(may_match(text), F.transform(spans, scored)), F.array()).cast(_SPANS)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
