@@ -1,24 +1,27 @@
 """Leaked credentials: candidates by shape, false ones removed by a random forest.
 
-A candidate is a run of 16 or more characters of keys and tokens (letters, digits, ``+/_=-``)
-with at least one digit or a change between capital and small letters. The forest scores it on
+A candidate is a run of 16 or more characters of keys and tokens (letters, digits, ``+/_-``, and up
+to two ``=`` behind them; a name before a sign, as in ``TOKEN=...``, is not part of it) with at least one digit or a change between capital and small letters. The forest scores it on
 
 * length and share of digits, capitals and distinct characters
 * transitions: how often the character class changes from one character to the next
 * dictionary coverage: share of letters in frequent words or word pieces of prose
 * path: whether the path or source is one where credentials are kept
-* neighbouring words: whether a credential word stands before it, an assignment sign, quotes
-* provider: whether it has a published format
-
-It is trained from labelled findings. Where there are none by hand, ``silver_labels`` gives them:
-published formats of providers, and values assigned to a credential word in quotes, are true;
-everything else is false. The training rows are a bounded sample, ``TRAINING_ROWS`` at most: by
+* neighbouring words: whether a credential word stands anywhere in the text shortly before it
+
+It is trained from labelled findings. Where there are none by hand, ``silver_labels`` gives them from
+evidence that the forest does not see: published formats of providers, and values assigned to a
+credential word in quotes, are true; everything else is false. So the forest cannot learn that rule
+again; it learns what secrets look like, and finds those that stand without quotes or sign. As such
+secrets count as false in training, scores are divided by the share that has a label, see
+``labelled_share``, as is usual for learning from positive and unlabelled rows. The training rows are a bounded sample, ``TRAINING_ROWS`` at most: by
 hash within each label, half of the bound for either and what one leaves free for the other, so
 that rare secrets are learned from however many candidates there are. A row weighs as many
 candidates of its label as it stands for, so a score is a share of all candidates. Every candidate
-is scored; those of a published format are secrets whatever the forest says.
+is scored; those with the evidence of a silver label are secrets whatever the forest says.
 
-All steps are column expressions and Spark's own forest. Offsets count code points.
+All steps are column expressions and Spark's own forest, in time proportional to the texts however
+many candidates one has. Offsets count code points.
 
 Defined results: a null or empty text has no candidates, and a row without candidates gives no
 row. Rows that repeat an id or have none give their findings all the same. If all candidates have
@@ -33,6 +36,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bercario.llm.folding import indices, running_sums
 from bercario.llm.tables import stored
 
 TRAINING_ROWS = 20_000
@@ -58,15 +62,16 @@ DICTIONARY = (
     "las", "del", "ado", "ando", "cion", "mente", "para", "ver", "ge", "er", "en", "es", "re",
 )
 
-_CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}+"
-_MAY_MATCH = r"[A-Za-z0-9+/_=-]{16}"
+_CANDIDATE = r"[A-Za-z0-9+/_-]{16,}+={0,2}+"
+_MAY_MATCH = r"[A-Za-z0-9+/_-]{16}"
 # A run of letters alone is a word; a digit or a change of case makes it a candidate.
 _MIXED = r"[0-9]|[a-z][A-Z]"
 
 FEATURES = [
-    "length", "digits", "capitals", "distinct", "transitions", "dictionary", "path_hint",
-    "word_before", "assigned", "quoted", "provider",
+    "length", "digits", "capitals", "distinct", "transitions", "dictionary", "path_hint", "words_near",
 ]
+# What silver labels are made from, never an input of the forest.
+EVIDENCE = ["word_before", "assigned", "quoted", "provider"]
 
 
 def _share(text: Column, expression: str) -> Column:
@@ -93,20 +98,12 @@ def candidates(
         F.split("body", _CANDIDATE, -1).alias("between"),
         F.regexp_extract_all("body", F.lit(_CANDIDATE), F.lit(0)).alias("matches"),
     )
-    none = F.array().cast("array<int>")
-    # Starts of all matches in one pass over the pieces of the text.
-    starts = F.aggregate(
-        F.sequence(F.lit(0), F.size("matches") - 1),
-        F.struct(none.alias("starts"), F.lit(0).alias("end")),
-        lambda done, i: F.struct(
-            F.concat(
-                done["starts"], F.array(done["end"] + F.length(F.get("between", i)))
-            ).alias("starts"),
-            (
-                done["end"] + F.length(F.get("between", i)) + F.length(F.get("matches", i))
-            ).alias("end"),
-        ),
-    )["starts"]
+    # What lies before a match: the piece before it, and the match before that.
+    lengths = F.transform(
+        indices(F.col("matches")),
+        lambda i: F.length(F.get("between", i)) + F.coalesce(F.length(F.get("matches", i - 1)), F.lit(0)),
+    )
+    starts = running_sums(lengths)
     pieces = F.arrays_zip(
         F.col("matches").alias("value"),
         starts.alias("start"),
@@ -130,7 +127,7 @@ def candidates(
 
 
 def with_features(found: DataFrame) -> DataFrame:
-    """The candidates with the columns of ``FEATURES``, all doubles."""
+    """The candidates with the columns of ``FEATURES`` and ``EVIDENCE``, all doubles."""
     value = F.col("value")
     classes = F.translate(value, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A" * 26)
     classes = F.translate(classes, "abcdefghijklmnopqrstuvwxyz", "a" * 26)
@@ -146,6 +143,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "transitions": (F.length(runs) - 1) / F.length(value),
         "dictionary": _share(F.lower(value), "(?:" + "|".join(DICTIONARY) + ")"),
         "path_hint": F.lower("path").rlike(paths),
+        "words_near": F.lower("before").rlike("|".join(CREDENTIAL_WORDS)),
         "word_before": F.lower("before").rlike("(?:" + "|".join(CREDENTIAL_WORDS) + r")\W*+$"),
         "assigned": F.col("before").rlike(r"[=:]\s*+[\"'`]?$"),
         "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").isin('"', "'", "`"),
@@ -199,6 +197,17 @@ def scored(found: DataFrame, model, otherwise: float = 0.0) -> DataFrame:
     )
 
 
+def labelled_share(found: DataFrame, model) -> float:
+    """How many of the secrets have a silver label, or 1.0 if that cannot be told.
+
+    The mean score of labelled candidates: where nothing but secrets looks like them, what it lacks
+    to 1 are secrets without evidence. Below one half, too much else looks like them.
+    """
+    positive = scored(found.filter(F.col("label") == 1), model)
+    share = positive.agg(F.avg("score")).first()[0]
+    return share if share >= 0.5 else 1.0
+
+
 def secret_findings(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -213,10 +222,12 @@ def secret_findings(
         ),
         "secrets-candidates",
     )
-    model = train(found, "label")
     # Without a model all labels are the same.
-    known = F.when(F.col("provider") == 1, 1.0) if model is not None else F.col("label")
-    result = scored(found, model).withColumn("score", F.coalesce(known, F.col("score")))
+    model = train(found, "label")
+    result = scored(found, model)
+    if model is not None:
+        result = result.withColumn("score", F.least(F.col("score") / labelled_share(found, model), F.lit(1.0)))
+    result = result.withColumn("score", F.greatest("score", "label"))
     return result.select(
         "doc_id",
         F.col("start").cast("bigint").alias("start"),
