@@ -416,7 +416,8 @@ def plain_pipeline(spark, docs, folder):
     ensemble = classifier(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     accepted = {r["doc_id"] for r in quality.scored(docs, ensemble).filter("score >= 0.5").collect()}
     pairs = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in accepted]
-    pairs = [(i, text) for i, (text, _, _) in without_lines(pairs).items()]
+    cut = without_lines(pairs).items()
+    pairs = [(i, text) for i, (text, _, removed) in cut if not removed or text.strip(" \t\n\x0b\f\r")]
     kept = {i for i, (_, _, stays) in near(pairs).items() if stays}
     pairs = [(i, text) for i, text in pairs if i in kept]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
@@ -431,6 +432,28 @@ def test_pipeline(spark, folder):
     pairs = plain_pipeline(spark, documents(spark, folder), folder)
     assert 0 < len(pairs) < documents(spark, folder).count()
     check_packing(rows, pairs, 2048)
+    # The end id alone is a blank document.
+    blank = {i for i, text in pairs if not (text or "").strip()}
+    assert {row["doc_id"] for row in rows if row["doc_tokens"] == 1} == blank == set()
+
+
+def test_copies_leave_as_rows(spark, frame, folder):
+    """Exact copies line by line, near copies as documents; what was blank before is left alone."""
+    import corpus_pipeline
+
+    lines = "\n".join(prose(800 + i, 30) for i in range(6))
+    loose = prose(900, 120)
+    pairs = [(1, lines), (2, lines), (3, f" {lines}\n"), (4, loose), (5, changed_words(loose)), (6, prose(901, 40))]
+    pairs += [(7, ""), (8, None), (9, " \n ")]
+    docs = corpus_pipeline.remove_repeated_lines(spark, frame(pairs), folder)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [1, 4, 5, 6, 7, 8, 9]
+    docs = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [1, 4, 6, 7, 8, 9]
+
+
+def changed_words(text):
+    """In so many places that no three lines are left as they were."""
+    return " ".join("changed" if place in (30, 60, 90) else word for place, word in enumerate(text.split()))
 
 
 def test_stages_keep_columns_and_odd_rows(spark, odd, folder):
