@@ -1,10 +1,14 @@
-"""Licence notices, through a positional index of their rarest words.
+"""Licences, through a positional index of their rarest words.
 
-Every notice is a template: its words, and the key phrase that must stand in it. The index posts
-each template under its words of highest IDF, with their places. IDF is counted over all
-documents. A document's occurrences of a posted word give places where the template may start;
-the places of the other posted words must agree, and the key phrase is then verified word by word.
-The score of a place is the share of the template's IDF found there.
+Every notice and every whole licence text is a template: its words, and the key phrases that must all
+stand in it. The index posts a template under the words of highest IDF of its key phrases, with their
+places. IDF is counted over all documents.
+
+A file's words are looked up in the index, the rarest posted word of each template first: each
+occurrence gives the places where a template would start, and the postings of its other words must
+agree with that start. What is left is verified, key phrase by key phrase. Templates whose rarest words
+a file does not have cost it nothing, however many there are. The score of a place is the share of the
+template's IDF that stands there.
 
 Words are what is left of ``a-z``, ``0-9`` and everything outside ASCII, after lower-casing A-Z.
 
@@ -16,6 +20,7 @@ result; without documents every word weighs the same.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,37 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bercario.llm.licence_texts import BASE_PHRASES, NOTICES, TEXTS
 from bercario.llm.words import ALPHANUMERIC, Words, chunks
 
-# Phrases and their labels.
-BASE_PHRASES = {
-    "gnu general public license": "gpl",
-    "apache license": "apache",
-    "cc by": "cc-by",
-    "mit license": "mit",
-}
-# Label, wording, key phrase.
-NOTICES = [
-    ("gpl", "licensed under the gnu general public license version", "gnu general public license"),
-    ("gpl", "free software you can redistribute it and or modify it under the terms of the gnu general public license", "gnu general public license"),
-    ("lgpl", "gnu lesser general public license", "gnu lesser general public license"),
-    ("agpl", "gnu affero general public license", "gnu affero general public license"),
-    ("apache", "licensed under the apache license version 2 0", "apache license"),
-    ("apache", "you may not use this file except in compliance with the license", "except in compliance with the license"),
-    ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
-    ("bsd", "bsd license", "bsd license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee"),
-    ("mpl", "mozilla public license", "mozilla public license"),
-    ("cc-by", "licensed under cc by", "cc by"),
-    ("cc-by", "creative commons attribution", "creative commons attribution"),
-    ("cc-by-nc", "cc by nc", "cc by nc"),
-    ("cc-by-sa", "cc by sa", "cc by sa"),
-    ("cc-by-nd", "cc by nd", "cc by nd"),
-    ("cc0", "cc0 1 0 universal", "cc0 1 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
-]
 POSTED = 3
 
 COLUMNS = (
@@ -65,12 +42,14 @@ COLUMNS = (
 
 @dataclass
 class Template:
+    """Words by number; ``key`` are the places of all key phrases, ``posted`` the rarest of them."""
+
     label: str
     words: list[int]
-    key: range
+    key: list[int]
     base: bool
-    weight: np.ndarray | None = None
-    posted: list[int] | None = None
+    weight: np.ndarray
+    posted: list[int]
 
 
 def _hash_of(words: list[bytes]) -> np.ndarray:
@@ -79,33 +58,91 @@ def _hash_of(words: list[bytes]) -> np.ndarray:
     return Words(data, offsets, ALPHANUMERIC).hash
 
 
-def vocabulary(notices=NOTICES, phrases=BASE_PHRASES) -> list[str]:
-    texts = [*phrases, *(text for _, text, _ in notices)]
-    return sorted({word for text in texts for word in text.split()})
+def plain_words(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+", text.lower())
+
+
+def wordings(notices=NOTICES, phrases=BASE_PHRASES, texts=TEXTS) -> list[tuple[str, list[str], list[str], bool]]:
+    """Label, words, key phrases of all templates, and whether a base phrase is all of it."""
+    base = [(label, plain_words(text), [text], True) for text, label in phrases.items()]
+    short = [(label, plain_words(text), [key], False) for label, text, key in notices]
+    return base + short + [(label, plain_words(text), keys, False) for label, text, keys in texts]
+
 
+def vocabulary(known=None) -> list[str]:
+    return sorted({word for _, words, _, _ in known or wordings() for word in words})
 
-def templates(words: list[str], weights: np.ndarray, notices=NOTICES, phrases=BASE_PHRASES) -> list[Template]:
+
+def _phrase_places(words: list[str], phrase: str) -> list[int]:
+    key = plain_words(phrase)
+    first = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+    return list(range(first, first + len(key)))
+
+
+def templates(words: list[str], weights: np.ndarray, known=None) -> list[Template]:
     """The templates with their weights and posted places, rarest first."""
     number = {word: i for i, word in enumerate(words)}
-    made = [
-        Template(label, [number[w] for w in text.split()], range(len(text.split())), True)
-        for text, label in phrases.items()
-    ]
-    for label, text, key in notices:
-        all_words, key_words = text.split(), key.split()
-        at = next(
-            i for i in range(len(all_words)) if all_words[i : i + len(key_words)] == key_words
-        )
-        made.append(
-            Template(label, [number[w] for w in all_words], range(at, at + len(key_words)), False)
-        )
-    for template in made:
-        template.weight = weights[template.words]
-        order = sorted(range(len(template.words)), key=lambda i: (-template.weight[i], i))
-        template.posted = order[:POSTED]
+    made = []
+    for label, text, keys, base in known or wordings():
+        own = [number[word] for word in text]
+        key = sorted({place for phrase in keys for place in _phrase_places(text, phrase)})
+        rarest = sorted(key, key=lambda place: (-weights[own[place]], place))
+        made.append(Template(label, own, key, base, weights[own], rarest[:POSTED]))
     return made
 
 
+class PositionalIndex:
+    """Postings of the rarest words, and the templates as tables."""
+
+    def __init__(self, known: list[Template], words: int):
+        def table(rows: list[list], fill) -> np.ndarray:
+            made = np.full((len(rows), max(map(len, rows), default=0)), fill)
+            for at, row in enumerate(rows):
+                made[at, : len(row)] = row
+            return made
+
+        self.templates = known
+        self.words = table([t.words for t in known], -2)
+        self.weights = table([t.weight.tolist() for t in known], 0.0)
+        self.total = np.array([t.weight.sum() for t in known])
+        # Places that must agree: those of posted words first, then the rest of the key phrases.
+        self.must = table([list(dict.fromkeys([*t.posted, *t.key])) for t in known], -1)
+        # Postings: by word, the templates whose rarest word it is and where it stands in them.
+        rarest = np.array([t.words[t.posted[0]] for t in known], np.int64)
+        self.of = np.argsort(rarest, kind="stable")
+        self.place = np.array([t.posted[0] for t in known], np.int64)[self.of]
+        self.first = np.searchsorted(rarest[self.of], np.arange(words + 1))
+
+    def starts(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From the postings of a text's words: the template, where it would start, by which word."""
+        spot = np.flatnonzero(number >= 0)
+        low, high = self.first[number[spot]], self.first[number[spot] + 1]
+        size = high - low
+        which = np.repeat(np.arange(len(spot)), size)
+        entry = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + low[which]
+        return self.of[entry], spot[which] - self.place[entry], spot[which]
+
+    def found(self, number: np.ndarray, text: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template, start, text and share of the weight, where all key phrases stand."""
+        template, start, by = self.starts(number)
+        owner = text.text[by]
+        for column in range(1, self.must.shape[1]):
+            place = self.must[template, column]
+            keep = (place < 0) | self._agree(number, text, template, start, owner, place)
+            template, start, owner = template[keep], start[keep], owner[keep]
+        share = np.zeros(len(start))
+        for place in range(self.words.shape[1] if len(start) else 0):
+            places = np.full(len(start), place)
+            share += self._agree(number, text, template, start, owner, places) * self.weights[template, place]
+        return template, start, owner, np.minimum(share / self.total[template], 1.0)
+
+    def _agree(self, number, text: Words, template, start, owner, place) -> np.ndarray:
+        at = start + place
+        inside = (at >= 0) & (at < len(number))
+        at = np.clip(at, 0, max(len(number) - 1, 0))
+        return inside & (text.text[at] == owner) & (number[at] == self.words[template, place])
+
+
 def idf(docs: DataFrame, words: list[str], text_col: str) -> np.ndarray:
     """Inverse document frequency of each word over all documents."""
     body = docs.select(F.col(text_col).alias("body"))
@@ -141,33 +178,10 @@ def _numbers(values: np.ndarray, ordered: np.ndarray, numbers: np.ndarray) -> np
     return np.where(ordered[at] == values, numbers[at], -1)
 
 
-def _places(template: Template, number: np.ndarray, text: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Where the template stands: the place of its first word, and the share of its weight."""
-    size = len(number)
-    rarest = template.posted[0]
-    start = np.flatnonzero(number == template.words[rarest])
-    of_text = text.text[start]
-    start = start - rarest
-
-    def agrees(place: int) -> np.ndarray:
-        at = start + place
-        inside = (at >= 0) & (at < size)
-        at = np.clip(at, 0, max(size - 1, 0))
-        return inside & (text.text[at] == of_text) & (number[at] == template.words[place])
-
-    for place in dict.fromkeys([*template.posted[1:], *template.key]):
-        keep = agrees(place)
-        start, of_text = start[keep], of_text[keep]
-    share = np.zeros(len(start))
-    for place, weight in enumerate(template.weight):
-        share += agrees(place) * weight
-    return start, share / template.weight.sum()
-
-
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: the id and ``COLUMNS``."""
     words = vocabulary()
-    known = templates(words, idf(docs, words, text_col))
+    index = PositionalIndex(templates(words, idf(docs, words, text_col)), len(words))
     hashes = _hash_of([w.encode() for w in words])
     order = np.argsort(hashes)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
@@ -179,15 +193,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         base: dict[int, list] = {}
         labels: dict[int, set] = {}
         score: dict[int, float] = {}
-        for template in known:
-            start, share = _places(template, number, text)
-            # The key phrase lies inside the text even if the template begins before it.
-            owner = text.text[start + template.key[0]] if len(start) else start
-            for of, at, part in zip(owner.tolist(), start.tolist(), share.tolist(), strict=True):
-                labels.setdefault(of, set()).add(template.label)
-                score[of] = max(score.get(of, 0.0), min(part, 1.0))
-                if template.base:
-                    base.setdefault(of, []).append((at - int(text.first[of]), template.label))
+        for which, at, of, part in zip(*(x.tolist() for x in index.found(number, text)), strict=True):
+            template = index.templates[which]
+            labels.setdefault(of, set()).add(template.label)
+            score[of] = max(score.get(of, 0.0), part)
+            if template.base:
+                base.setdefault(of, []).append((at - int(text.first[of]), template.label))
         found = []
         for i in range(text.texts):
             own = base.get(i, [])

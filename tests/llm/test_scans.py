@@ -8,7 +8,7 @@ import time
 import pytest
 
 from bercario.llm import decontaminate, license_scan, pii, secrets
-from bercario.llm.license_scan import BASE_PHRASES
+from bercario.llm.licence_texts import BASE_PHRASES, TEXTS
 
 from .conftest import ODD, prose
 
@@ -63,6 +63,68 @@ def test_licences(frame):
         assert 0 <= row["score"] <= 1 and (row["score"] > 0) == (row["labels"] != "")
 
 
+def plain_licences(text, known, weight):
+    """Every template at every start: labels and the best score."""
+    own, labels, best = words(text), set(), 0.0
+    for label, template, keys, _ in known:
+        key = {p for phrase in keys for p in license_scan._phrase_places(template, phrase)}
+        for start in range(-len(template), len(own)):
+            stands = [0 <= start + p < len(own) and own[start + p] == word for p, word in enumerate(template)]
+            if all(stands[p] for p in key):
+                labels.add(label)
+                total = sum(weight[word] for word in template)
+                best = max(best, sum(weight[word] for word, here in zip(template, stands, strict=True) if here) / total)
+    return ",".join(sorted(labels)), min(best, 1.0)
+
+
+def licence_texts():
+    rng = random.Random(9)
+    texts = list(LICENCES)
+    for at, (_, text, _) in enumerate(TEXTS):
+        lines = [f" * {line.strip()}" for line in text.split("\n")]
+        texts += [text, f"{prose(at, 20)}\n" + "\n".join(lines), " ".join(text.split()[: len(text.split()) // 2])]
+        changed = text.split()
+        for _ in range(6):
+            changed[rng.randrange(len(changed))] = rng.choice(["the", "software", "other", "license"])
+        texts += [" ".join(changed), text + " " + TEXTS[(at + 1) % len(TEXTS)][1]]
+    return texts
+
+
+def test_licences_against_every_template_at_every_place(frame):
+    pairs = [(i, text) for i, text in enumerate([*licence_texts(), "", prose(1, 30)])]
+    docs = frame(pairs)
+    known = license_scan.wordings()
+    vocabulary = license_scan.vocabulary()
+    weight = dict(zip(vocabulary, license_scan.idf(docs, vocabulary, "text").tolist(), strict=True))
+    rows = {row["doc_id"]: row for row in license_scan.scan(docs).collect()}
+    for i, text in pairs:
+        labels, score = plain_licences(text, known, weight)
+        assert (rows[i]["labels"], rows[i]["score"]) == (labels, pytest.approx(score))
+    for at, (label, text, _) in enumerate(TEXTS):
+        row = rows[len(LICENCES) + 5 * at]
+        assert label in row["labels"].split(",") and row["score"] == pytest.approx(1.0)
+
+
+def test_templates_without_a_word_of_the_file_cost_nothing():
+    import numpy as np
+
+    known = license_scan.wordings()
+    others = [("x", [f"strange{i}", "license", f"odd{i}"], [f"strange{i} license odd{i}"], False) for i in range(3_000)]
+    text = " ".join(text for _, text, _ in TEXTS).encode()
+    looked_up = []
+    for more in ([], others):
+        vocabulary = license_scan.vocabulary(known + more)
+        weights = np.array([5.0 if word[-1].isdigit() else 1.0 + len(word) / 20 for word in vocabulary])
+        index = license_scan.PositionalIndex(license_scan.templates(vocabulary, weights, known + more), len(vocabulary))
+        hashes = license_scan._hash_of([word.encode() for word in vocabulary])
+        order = np.argsort(hashes)
+        own = license_scan.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), license_scan.ALPHANUMERIC)
+        number = license_scan._numbers(own.hash, hashes[order], order)
+        looked_up.append(len(index.starts(number)[0]))
+        assert {index.templates[t].label for t in index.found(number, own)[0]} >= {label for label, _, _ in TEXTS}
+    assert looked_up[0] == looked_up[1] < 20 * len(known)
+
+
 def test_licences_empty(empty):
     assert license_scan.scan(empty).count() == 0
 
