@@ -8,8 +8,10 @@ and a hit is extended to its window, whose thirteen words must all agree. Items
 one window each, found from their first word.
 
 The index of the item windows is sent to all tasks if the benchmark's texts have at most
-``INDEX_BYTES``. A larger benchmark is divided by a hash of the item into blocks of about that
-size; the documents are read once per block, and the hits are merged by document.
+``INDEX_BYTES``. The windows of a larger benchmark stay in Spark: a bitmap of its fingerprints, of a
+fixed size, goes to all tasks; the documents are read once, and what passes the bitmap is joined with
+the windows by a shuffle. A window is one row there, however many items have it, so a passage of a
+third of the documents is split like any frequent key. No item and no window comes to the driver.
 
 Words are what is left of ``a-z``, ``0-9`` and everything outside ASCII, after lower-casing A-Z.
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from bercario.llm.tables import stored
 from bercario.llm.words import ALPHANUMERIC, PLACE, Words, chunks, mixed
+from bercario.operators.lookups import fits_broadcast
 
 SPAN = 13
 GRAM = 5
@@ -37,8 +40,8 @@ WINDOW = SPAN - GRAM + 1
 INDEX_BYTES = 2 << 20
 # Contaminated: at least this share of the words, one twentieth, is hit.
 SHARE = 20
-# Contaminated documents whose keys may be sent to all tasks, at some 100 bytes each.
-BROADCAST_ROWS = 300_000
+# Contaminated documents whose keys may be sent to all tasks, and their bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 16 << 20
 
 _HITS = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
@@ -79,7 +82,7 @@ def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """The windows of a block of items. Equal windows are one entry with all their items."""
+    """The windows of a benchmark of bounded size. Equal windows are one entry with all their items."""
 
     def __init__(self, items: list[tuple[str, str]]):
         texts = [text.encode() for _, text in items]
@@ -192,34 +195,137 @@ def _scan(rows: DataFrame, index: Index) -> DataFrame:
     return rows.mapInArrow(work, f"doc_id {kind}, text_key long, {_HITS}")
 
 
-def _union(found: list[DataFrame]) -> DataFrame:
-    """The hits of several blocks, a row per document row again."""
-    first, *others = found
-    hits = first.withColumn("copies", F.lit(1))
-    for other in others:
-        hits = hits.unionByName(other.filter(F.size("spans") > 0).withColumn("copies", F.lit(0)))
-    # One document's rows, a few per block. Rows equal in id and text have equal hits.
-    whole = hits.groupBy("doc_id", "text_key").agg(
-        F.sum("copies").cast("int").alias("copies"),
-        F.max("n_words").alias("n_words"),
-        F.collect_list("spans").alias("spans"),
-        F.collect_list("items").alias("items"),
-    )
+# Bits of the bitmap of fingerprints, 64 in a number: 8 MB.
+BITS = 1 << 26
+
+
+def _bit(values: np.ndarray) -> np.ndarray:
+    return mixed(values) & np.uint64(BITS - 1)
+
+
+def _item_windows(items: DataFrame) -> DataFrame:
+    """length, mark, shift, whole, item and the bit of what a document shows first, of all windows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, data, offsets in chunks(batch, 1):
+                words = Words(data, offsets, ALPHANUMERIC)
+                start, least, at = fingerprints(words)
+                parts = [(np.full(len(start), SPAN), least, at - start, run_hash(words, start, SPAN), words.text[start])]
+                count = words.last - words.first
+                for length in range(1, SPAN):
+                    of = np.flatnonzero(count == length)
+                    whole = run_hash(words, words.first[of], length)
+                    parts.append((np.full(len(of), length), whole, np.zeros(len(of), np.int64), whole, of))
+                length, mark, shift, whole, of = (np.concatenate(x) for x in zip(*parts, strict=True))
+                names = batch.column(0).slice(begin, end - begin).take(pa.array(of, pa.int64()))
+                numbers = [length, mark.view(np.int64), shift, whole.view(np.int64), _bit(mark).view(np.int64)]
+                columns = [*[pa.array(x.astype(np.int64)) for x in numbers], names]
+                yield pa.RecordBatch.from_arrays(columns, ["length", "mark", "shift", "whole", "bit", "item"])
+
+    schema = "length long, mark long, shift long, whole long, bit long, item string"
+    return items.select("item", "item_text").mapInArrow(work, schema)
+
+
+def _bitmap(windows: DataFrame) -> np.ndarray:
+    """Which bits the windows set. At most ``BITS`` / 64 numbers, whatever the benchmark."""
+    word, bit = F.shiftright("bit", 6), F.expr("shiftleft(1L, cast(bit & 63 AS int))")
+    found = windows.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bitmap = np.zeros(BITS // 64, np.int64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bitmap.view(np.uint64)
+
+
+def _passing(words: Words, lengths: list[int], bitmap: np.ndarray) -> tuple[np.ndarray, ...]:
+    """length, mark, shift, whole and start of the windows of the texts whose mark is in the bitmap."""
+
+    def known(values: np.ndarray) -> np.ndarray:
+        bit = _bit(values)
+        return np.flatnonzero((bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1))
+
+    parts = []
+    for length in lengths:
+        if length == SPAN:
+            start, least, at = fingerprints(words)
+            some = known(least)
+            start, mark, shift = start[some], least[some], (at - start)[some]
+            whole = run_hash(words, start, SPAN)
+        else:
+            start = np.arange(max(words.count - length + 1, 0))
+            start = start[words.text[start] == words.text[start + length - 1]]
+            whole = run_hash(words, start, length)
+            some = known(whole)
+            start, whole = start[some], whole[some]
+            mark, shift = whole, np.zeros(len(start), np.int64)
+        parts.append((np.full(len(start), length), mark.view(np.int64), shift, whole.view(np.int64), start))
+    if not parts:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+_SEEN = "array<struct<length:long,mark:long,shift:long,whole:long,start:long>>"
+_SEEN_NAMES = ["length", "mark", "shift", "whole", "start"]
+
+
+def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, text_key and ``_HITS`` of each row, for a benchmark of any size."""
+    spark = rows.sparkSession
+    windows = stored(_item_windows(items).distinct(), "decontamination-windows")
+    lengths = sorted(row[0] for row in windows.select("length").distinct().collect())
+    bitmap = spark.sparkContext.broadcast(_bitmap(windows))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [
-                [{"start": s, "end": e} for s, e in merged([(x["start"], x["end"]) for part in row for x in part])]
-                for row in batch.column(4).to_pylist()
+            counts, seen = [], []
+            for _, _, data, offsets in chunks(batch, 2):
+                words = Words(data, offsets, ALPHANUMERIC)
+                counts += (words.last - words.first).tolist()
+                columns = _passing(words, lengths, bitmap.value)
+                owner = words.text[columns[4]]
+                order = np.argsort(owner, kind="stable")
+                bounds = np.searchsorted(owner[order], np.arange(words.texts + 1)).tolist()
+                columns = [*columns[:4], columns[4] - words.first[owner]]
+                listed = list(zip(*(x[order].tolist() for x in columns), strict=True))
+                seen += [
+                    [dict(zip(_SEEN_NAMES, one, strict=True)) for one in listed[a:b]]
+                    for a, b in zip(bounds[:-1], bounds[1:], strict=True)
+                ]
+            kind = pa.list_(pa.struct([(name, pa.int64()) for name in _SEEN_NAMES]))
+            columns = [*(batch.column(i) for i in (0, 1, 3)), pa.array(counts, pa.int64()), pa.array(seen, kind)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "row", "n_words", "seen"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    scanned = rows.mapInArrow(work, f"doc_id {kind}, text_key long, row long, n_words long, seen {_SEEN}")
+    scanned = stored(scanned, "decontamination-scanned")
+    seen = scanned.select("row", F.explode("seen").alias("one")).select("row", "one.*")
+    window = ["length", "mark", "shift", "whole"]
+    hits = stored(seen.join(windows.select(*window).distinct(), window), "decontamination-hits")
+    # A document's own hits: no more than it has words, for each length.
+    spans = hits.groupBy("row").agg(
+        F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("end"))).alias("spans")
+    )
+    members = windows.select("length", "whole", "item").distinct()
+    items_of = hits.select("row", "length", "whole").distinct().join(members, ["length", "whole"])
+    items_of = items_of.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [{"start": s, "end": e} for s, e in merged([(x["start"], x["end"]) for x in row])]
+                for row in batch.column(1).to_pylist()
             ]
-            items = [sorted({x for part in row for x in part}) for row in batch.column(5).to_pylist()]
-            columns = [pa.array(spans, _SPAN_TYPE), pa.array(items, pa.list_(pa.string()))]
-            names = ["doc_id", "text_key", "copies", "n_words", "spans", "items"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPAN_TYPE)], ["row", "spans"])
 
-    kind = first.schema["doc_id"].dataType.simpleString()
-    joined = whole.mapInArrow(work, f"doc_id {kind}, text_key long, copies int, {_HITS}")
-    return joined.select("*", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "col")
+    spans = spans.mapInArrow(merge, "row long, spans array<struct<start:long,end:long>>")
+    whole = scanned.drop("seen").join(spans, "row", "left").join(items_of, "row", "left")
+    return whole.select(
+        "doc_id",
+        "text_key",
+        "n_words",
+        F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
 
 
 def benchmark_hits(
@@ -242,13 +348,10 @@ def benchmark_hits(
         F.coalesce(F.col(item_text_col), F.lit("")).alias("item_text"),
     )
     size = items.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
-    blocks = 1 + size // index_bytes
-    place = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    found = [
-        _scan(rows, Index([tuple(x) for x in items.filter(place == block).collect()]))
-        for block in range(blocks)
-    ]
-    whole = found[0] if blocks == 1 else _union(found)
+    if size <= index_bytes:
+        whole = _scan(rows, Index([tuple(x) for x in items.collect()]))
+    else:
+        whole = _joined(rows, items)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return whole.withColumn("n_hit", hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
@@ -264,7 +367,7 @@ def without_contaminated(
     found = found.withColumnsRenamed({"doc_id": "llm_id", "text_key": "llm_key"})
     same = F.col(id_col).eqNullSafe(F.col("llm_id")) & (F.xxhash64(text_col) == F.col("llm_key"))
     # Few enough to send to all tasks, or else matched by a shuffle.
-    few = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    few = F.broadcast(found) if fits_broadcast(found, BROADCAST_ROWS, BROADCAST_BYTES) else found
     return docs.join(few, same, "left_anti")
 
 

@@ -444,6 +444,21 @@ def test_documents_without_contamination_stay(spark, frame):
     assert kept.columns == frame([]).columns
 
 
+def test_a_large_benchmark_never_comes_to_the_driver(spark, frame, monkeypatch):
+    """One very long item, many rows of one item, and a window that a third of the documents have."""
+    monkeypatch.setattr(decontaminate, "Index", None)
+    shared = prose(901, 20)
+    items = [(1, prose(1, 5_000)), (2, shared)] + [(3, f"{shared} {prose(400 + i, 12)}") for i in range(150)]
+    items += [(50 + i, shared) for i in range(20)]
+    pairs = [(i, f"{prose(6000 + i, 15)} {shared if i % 3 == 0 else ''} {prose(7000 + i, 15)}") for i in range(90)]
+    pairs += [(200, " ".join(words(items[0][1])[2_000:2_040])), (201, None), (202, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    rows = decontaminate.digest(decontaminate.benchmark_hits(frame(pairs), benchmark, index_bytes=1_000)).collect()
+    assert by_row(map(tuple, rows)) == contamination(pairs, items)
+    empty = decontaminate.benchmark_hits(frame([]), benchmark, index_bytes=1_000)
+    assert empty.count() == 0
+
+
 def test_contamination_empty(spark, empty, odd):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.benchmark_hits(empty, benchmark).count() == 0
