@@ -514,6 +514,18 @@ FROM {_CHOSEN} GROUP BY 1, 2""",
 
 ORACLE["warehouse_named_tables"] = ORACLE["warehouse_tables"]
 
+
+def _pareto(code: str) -> str:
+    return f"""
+SELECT {code}, nascimentos, CAST(nascimentos AS DOUBLE) / (SELECT count(*) FROM fact) AS participacao,
+       CAST(sum(nascimentos) OVER (ORDER BY nascimentos DESC, {code} ROWS UNBOUNDED PRECEDING) AS DOUBLE)
+         / (SELECT count(*) FROM fact) AS acumulado
+FROM (SELECT {code}, count(*) AS nascimentos FROM wide GROUP BY 1)"""
+
+
+ORACLE["report_municipality_pareto"] = _select(_WIDE, _pareto("id_codmunnasc"))
+ORACLE["report_occupation_pareto"] = _select(_WIDE, _pareto("id_codocupmae"))
+
 # A report from the stored counts is the report.
 ORACLE |= {f"cube_{name.removeprefix('report_')}": sql for name, sql in ORACLE.items() if name.startswith("report_")}
 

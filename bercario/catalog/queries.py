@@ -689,6 +689,10 @@ QUERIES: dict[str, Query] = {
     "report_newborn_race": _report(_fact, reports.births_by_newborn_race),
     "report_month_vs_average": _report(_fact, reports.births_by_month),
     "report_state_pareto": _report(_fact, reports.births_by_state_pareto, _city_labels),
+    "report_municipality_pareto": _report(_fact, reports.births_by_code_pareto, code="id_codmunnasc"),
+    "report_occupation_pareto": _report(
+        _profile_with("id_codocupmae"), reports.births_by_code_pareto, code="id_codocupmae"
+    ),
     "report_filtered": _report(_filtered(), reports.births_by_newborn_race),
     "report_filtered_profile": _report(_filtered("dtnascmae"), reports.births_by_age_band),
     "report_filtered_occupations": _report(
@@ -726,6 +730,8 @@ QUERIES: dict[str, Query] = {
     "cube_newborn_race": _report(_cells("raca_nascido"), reports.births_by_newborn_race),
     "cube_month_vs_average": _report(_cells("mes"), reports.births_by_month),
     "cube_state_pareto": _report(_cells(), reports.births_by_state_pareto, _city_labels),
+    "cube_municipality_pareto": _report(_cells(), reports.births_by_code_pareto, code="id_codmunnasc"),
+    "cube_occupation_pareto": _report(_cells("ocupacao"), reports.births_by_code_pareto, code="id_codocupmae"),
     "cube_filtered": _report(_cells("raca_nascido", True), reports.births_by_newborn_race),
     "cube_filtered_profile": _report(_cells("idade", True), reports.births_by_age_band),
     "cube_filtered_occupations": _report(_cells("ocupacao", True), reports.births_by_occupation, _job_labels),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from bercario.functions.codes import DELIVERY, REGIONS, UNKNOWN, VISITS, decode, label_or_unknown
 from bercario.functions.expressions import age_band, completed_years
 from bercario.operators.lookups import one_row_per_key
+from bercario.operators.running import OVERALL, UP_TO, running_totals
 
 _COUNT = "nascimentos"
 
@@ -238,3 +239,18 @@ def births_by_state_pareto(births: DataFrame, municipalities: DataFrame) -> Data
             "acumulado": so_far / F.sum(_COUNT).over(Window.partitionBy()),
         }
     )
+
+
+def births_by_code_pareto(births: DataFrame, code: str) -> DataFrame:
+    """Births per code from most to fewest, with the share of each and of all up to it.
+
+    For codes without bound, such as occupations: no task sees the counts of all codes.
+    """
+    counted = births.groupBy(code).agg(_births(births))
+    totals = running_totals(counted, _COUNT, [F.desc(_COUNT), F.asc_nulls_last(code)])
+    return totals.select(
+        code,
+        _COUNT,
+        (F.col(_COUNT) / F.col(OVERALL)).alias("participacao"),
+        (F.col(UP_TO) / F.col(OVERALL)).alias("acumulado"),
+    )

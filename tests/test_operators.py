@@ -1,12 +1,15 @@
 """Sampling, lookups, checks and reports on small frames, skewed ones included."""
 
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from bercario.operators import lookups, sampling
 from bercario.operators.checks import duplicate_keys, key_summary, orphans, records_unique
+from bercario.operators.running import running_totals
 from bercario.operators.sampling import sample_exact
 from bercario.plans import reports
 
@@ -195,3 +198,42 @@ def test_months_against_the_mean(spark):
     months = reports.births_by_month(births).collect()
     found = {str(r["mes"]): (r["nascimentos"], r["situacao"]) for r in months}
     assert found == {"2022-01-01": (3, "acima"), "2022-02-01": (1, "abaixo"), "2022-03-01": (2, "igual")}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("many", [0, 1, 500])
+def test_running_totals_equal_plain_ones(spark, many, adaptive):
+    rng = random.Random(many)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    found = [(i if i % 9 else None, rng.choice([0, 1, 1, 7, 50, -3])) for i in range(many)][: max(many, 1)]
+    found = [row for at, row in enumerate(found) if row[0] is not None or at == 0]
+    df = spark.createDataFrame(found, "code BIGINT, n BIGINT").repartition(5)
+    order = [F.desc("n"), F.asc_nulls_last("code")]
+    spark.conf.set(setting, adaptive)
+    try:
+        got = [tuple(r) for r in running_totals(df, "n", order).orderBy(*order).collect()]
+    finally:
+        spark.conf.set(setting, "true")
+    ranked = sorted(found, key=lambda r: (-r[1], r[0] is None, r[0]))
+    total = sum(n for _, n in found)
+    expected, so_far = [], 0
+    for code, n in ranked:
+        so_far += n
+        expected.append((code, n, so_far, total))
+    assert got == expected
+
+
+def test_no_task_sees_all_rows_of_a_running_total(spark):
+    """The only window without partition is over the sums of the ranges."""
+    df = spark.range(1_000).select(F.col("id").alias("code"), (F.col("id") % 7).alias("n"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        totals = running_totals(df, "n", [F.desc("n"), F.asc("code")])
+    finally:
+        spark.conf.set(setting, "true")
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    for window in re.findall(r"Window \[[^\n]*", plan):
+        assert "_sum" in window or "_range" in window.split("], [")[1]
+    sizes = spark.read.parquet(totals.inputFiles()[0].rsplit("/", 1)[0]).groupBy("_range").count().collect()
+    assert len(sizes) >= 2 and max(r["count"] for r in sizes) < 900
