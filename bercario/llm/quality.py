@@ -31,10 +31,10 @@ from bercario.llm.tables import stored
 from bercario.llm.words import NOT_SPACE, Words, chunks, sums_by_text
 
 TRAINING_ROWS = 20_000
+TRAINING_PARTS = 8
 TREES = 24
 DEPTH = 3
 PENALTY = 0.002
-MAX_RULES = 400
 
 STATISTICS = [
     "chars", "words", "word_length", "capitals", "digits", "stops", "symbols", "bars", "blanks",
@@ -204,7 +204,7 @@ def fit(labelled: DataFrame, label_col: str) -> RuleEnsemble:
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=7, weightCol="weight", featureSubsetStrategy="0.4"
     )
-    rules = rules_of(forest.fit(rows).toDebugString)[:MAX_RULES]
+    rules = rules_of(forest.fit(rows).toDebugString)
     as_rules = labelled.select(
         label, *[rule_column(rule).alias(f"r{i}") for i, rule in enumerate(rules)]
     )
@@ -231,7 +231,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     # Bounded by ``rows``, so it may be sent to all tasks.
     texts = docs.select(F.col(id_col).alias("llm_own"), F.col(text_col).alias("text"))
     found = texts.join(F.broadcast(sample), F.col("llm_own") == F.col("llm_id"))
-    return stored(with_statistics(found.select("llm_label", "text")), "quality-training")
+    found = with_statistics(found.select("llm_id", "llm_label", F.xxhash64("text").alias("llm_hash"), "text"))
+    # Of rows that share an id, the one of least text hash: partial sums keep one per task.
+    names = [name for name in found.columns if name not in ("llm_id", "llm_hash", "text")]
+    one = found.groupBy("llm_id").agg(F.min(F.struct("llm_hash", *names)).alias("llm_row"))
+    # In the same order whatever the number of partitions: trees are grown from samples by place.
+    one = one.repartition(TRAINING_PARTS, "llm_id").sortWithinPartitions("llm_id")
+    return stored(one.select(*[F.col(f"llm_row.{name}").alias(name) for name in names]), "quality-training")
 
 
 def train(

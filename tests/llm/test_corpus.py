@@ -184,6 +184,20 @@ def test_quality_labels_are_not_read_from_held_out_rows(spark, frame):
     assert (first.rules, first.weights, first.constant) == (second.rules, second.weights, second.constant)
 
 
+def test_quality_learns_from_a_bounded_sample(spark, frame):
+    """Rows that share an id are one; the sample has no more rows than asked for."""
+    pairs, labels = labelled_texts()
+    pairs += [(0, prose(i, 20)) for i in range(50)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    assert quality.training_rows(frame(pairs), table, "doc_id", "text", 30).count() == 30
+    assert quality.training_rows(frame(pairs).filter("doc_id = 0"), table, "doc_id", "text", 500).count() == 1
+    one, other = (
+        [tuple(r) for r in quality.training_rows(frame(pairs).repartition(n), table, "doc_id", "text", 500).collect()]
+        for n in (2, 7)
+    )
+    assert one == other and len(one) == len(labels)
+
+
 def test_quality_odd_rows(spark, odd, empty):
     for labels, expected in (([], 0.5), ([(4, 1), (6, 1)], 1.0), ([(4, 0)], 0.0)):
         table = spark.createDataFrame(labels, "doc_id long, quality int")
