@@ -279,6 +279,14 @@ SELECT event_type, CAST(least(n, 1000 - before) AS BIGINT) AS linhas FROM placed
         _RAW,
         f"""SELECT CAST("CONTADOR" AS VARCHAR) AS "CONTADOR", {_LINE} AS linha, 'campos demais' AS motivo
 FROM raw WHERE "CONTADOR" % 50 = 0""",
+    ),
+    "births_csv_lineage": _select(
+        _RAW,
+        """SELECT CASE WHEN "CONTADOR" % 50 = 0 THEN 'campos demais'
+            WHEN "CONTADOR" % 51 = 0 OR "ESCMAEAGR1" IS NULL THEN 'incompleta' ELSE 'completa' END AS veredito,
+       CASE "CONTADOR" % 2 WHEN 0 THEN 'pares' ELSE 'impares' END AS pasta,
+       count(*) AS linhas, CAST(sum("CONTADOR") AS BIGINT) AS soma_contador
+FROM raw GROUP BY 1, 2""",
     ),
     "births_sample_exact": _select(_SAMPLED, f"SELECT {_BIRTH_COLUMNS} FROM sampled"),
     "births_csv_scan": _select(_CLEAN, _SILVER),

@@ -54,12 +54,14 @@ from bercario.schemas import (
 )
 from bercario.sources import adapter
 from bercario.sources.delimited import (
+    FILE,
     prepare_municipalities,
     prepare_occupations,
     read_births,
     read_municipalities,
     read_occupations,
     rejected_lines,
+    split_births,
 )
 from bercario.sources.landing import land_if_absent
 from bercario.sources.storage import scratch_path, written_files
@@ -232,20 +234,42 @@ def births_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return clean_births(read_births(spark, _as_delimited(raw, "ISO-8859-1")))
 
 
-def births_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines with a field too many are listed; those with fields too few are incomplete rows."""
+def _broken_files(births: DataFrame, path: str) -> None:
+    """Text files in which some lines have a field too many, others three too few."""
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in BIRTH_COLUMNS]
     line = (
         F.when(F.col(RECORD_KEY) % 50 == 0, F.concat_ws(";", *fields, F.lit("x")))
         .when(F.col(RECORD_KEY) % 51 == 0, F.concat_ws(";", *fields[:-3]))
         .otherwise(F.concat_ws(";", *fields))
     )
-    path = scratch_path(spark, "broken")
-    lines = adapter.raw_births(spark, folder).select(line.alias(";".join(BIRTH_COLUMNS)))
+    lines = births.select(line.alias(";".join(BIRTH_COLUMNS)))
     lines.write.options(header=True, sep="\u0001", quote="\u0002").csv(path)
+
+
+def births_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with a field too many are listed; those with fields too few are incomplete rows."""
+    path = scratch_path(spark, "broken")
+    _broken_files(adapter.raw_births(spark, folder), path)
     return rejected_lines(spark, path)
 
 
+def births_csv_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by verdict and by the folder of the file they come from, of one read of the text."""
+    path = scratch_path(spark, "lineage")
+    raw = adapter.raw_births(spark, folder)
+    for name, rest in (("pares", 0), ("impares", 1)):
+        _broken_files(raw.filter(F.col(RECORD_KEY) % 2 == rest), f"{path}/{name}")
+    found = split_births(spark, [f"{path}/pares", f"{path}/impares"], scratch_path(spark, "split"))
+    origin = F.element_at(F.split(FILE, "/"), -2).alias("pasta")
+    counts = [
+        lines.groupBy(F.lit(verdict).alias("veredito"), origin).agg(
+            F.count(F.lit(1)).alias("linhas"), F.sum(F.col(RECORD_KEY).cast("bigint")).alias("soma_contador")
+        )
+        for verdict, lines in found.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def municipality_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     raw = adapter.raw_municipalities(spark, folder)
     return read_municipalities(spark, _as_delimited(raw, "UTF-8"), adapter.ADAPTER_STATES)
@@ -626,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "codes_beyond_double": codes_beyond_double,
     "births_csv_scan": births_csv_scan,
     "births_csv_rejects": births_csv_rejects,
+    "births_csv_lineage": births_csv_lineage,
     "municipality_csv_scan": municipality_csv_scan,
     "occupation_csv_scan": occupation_csv_scan,
     "municipality_prepared": _municipalities,

@@ -33,6 +33,13 @@ MISSING = [
 # The line as it is, where it has more or fewer fields than the header; else NULL.
 BROKEN_LINE = "_linha"
 
+# Where a line comes from: the file, and the byte at which the part of it begins that a task read.
+FILE, BLOCK = "arquivo", "bloco"
+
+# What ``split_births`` says of a line, and the column that says it.
+VERDICT = "veredito"
+COMPLETE, INCOMPLETE, TOO_MANY_FIELDS = "completa", "incompleta", "campos demais"
+
 
 def _fields(line: Column, sep: str, quote: str) -> Column:
     """The number of fields of a line; a separator inside quotes does not count."""
@@ -50,6 +57,7 @@ def read_lines(
     encoding: str = "UTF-8",
     missing: Sequence[str] = MISSING,
     multiline: bool = False,
+    lineage: bool = False,
 ) -> DataFrame:
     """The named columns as text, missing markers as NULL, and lines with too many fields.
 
@@ -59,7 +67,8 @@ def read_lines(
     One path (a file, folder or glob) shares one header, and a file in it with another header
     is an error. Paths in a list may have different column orders: they are joined by name.
     A quote inside quotes is written twice; a backslash is an ordinary character.
-    ``multiline`` allows line breaks inside quotes, but makes each file a single task.
+    ``multiline`` allows line breaks inside quotes, but makes each file a single task. ``lineage``
+    adds ``arquivo`` and ``bloco``, where the line comes from.
     """
     options = {
         "header": True,
@@ -71,6 +80,10 @@ def read_lines(
         "enforceSchema": False,
     }
 
+    places = []
+    if lineage:
+        places = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
+
     def read_one(path: str) -> DataFrame:
         header = spark.read.options(**options).csv(path).columns
         schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, BROKEN_LINE]])
@@ -79,13 +92,14 @@ def read_lines(
         reader = spark.read.options(**options, **whole).schema(schema)
         long = _fields(F.col(BROKEN_LINE), sep, quote) > len(header)
         line = F.when(long, F.col(BROKEN_LINE)).alias(BROKEN_LINE)
-        return reader.csv(path).select(*columns, line)
+        return reader.csv(path).select(*columns, line, *places)
 
     listed = [paths] if isinstance(paths, str) else list(paths)
     texts = reduce(DataFrame.unionByName, [read_one(path) for path in listed])
     return texts.select(
         *[F.when(~F.col(name).isin(*missing), F.col(name)).alias(name) for name in columns],
         BROKEN_LINE,
+        *([FILE, BLOCK] if lineage else []),
     )
 
 
@@ -114,6 +128,33 @@ def rejected_lines(spark: SparkSession, paths: str | Sequence[str], **options) -
     return broken.select(RECORD_KEY, F.col(BROKEN_LINE).alias("linha"), reason)
 
 
+def split_births(spark: SparkSession, paths: str | Sequence[str], target: str, **options) -> dict[str, DataFrame]:
+    """Births files read once, and stored at ``target`` by what is to be said of each line.
+
+    By verdict: ``completa`` and ``incompleta`` lines with the 17 columns as text, lines with
+    ``campos demais`` as they are; all with the file they come from and the place of the block. A
+    later step reads the lines of one verdict, a folder of its own, and never the text files again.
+    """
+    options = {"encoding": "ISO-8859-1"} | options
+    lines = read_lines(spark, paths, BIRTH_COLUMNS, lineage=True, **options)
+    complete = reduce(Column.__and__, [F.col(name).isNotNull() for name in BIRTH_COLUMNS])
+    verdict = (
+        F.when(F.col(BROKEN_LINE).isNotNull(), TOO_MANY_FIELDS).when(complete, COMPLETE).otherwise(INCOMPLETE)
+    )
+    named = lines.withColumn(VERDICT, verdict).withColumnRenamed(BROKEN_LINE, "linha")
+    named.write.mode("overwrite").partitionBy(VERDICT).parquet(target)
+    stored = spark.read.schema(named.schema).parquet(target)
+
+    def of(name: str, *columns: str) -> DataFrame:
+        return stored.filter(F.col(VERDICT) == name).select(*columns, FILE, BLOCK)
+
+    return {
+        COMPLETE: of(COMPLETE, *BIRTH_COLUMNS),
+        INCOMPLETE: of(INCOMPLETE, *BIRTH_COLUMNS),
+        TOO_MANY_FIELDS: of(TOO_MANY_FIELDS, RECORD_KEY, "linha"),
+    }
+
+
 def read_municipalities(
     spark: SparkSession,
     paths: str | Sequence[str],

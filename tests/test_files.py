@@ -22,6 +22,7 @@ from bercario.sources.delimited import (
     read_municipalities,
     read_occupations,
     rejected_lines,
+    split_births,
 )
 from bercario.sources.landing import land_if_absent
 from bercario.sources.storage import is_complete, scratch_path
@@ -163,6 +164,29 @@ def test_lines_with_too_many_or_too_few_fields(spark, tmp_path):
     assert lines == [("1", long, "campos demais")]
 
 
+def test_lines_split_by_verdict_in_one_read(spark, tmp_path, monkeypatch):
+    good = ";".join(RECORD[name] for name in BIRTH_COLUMNS)
+    long, short = good.replace("350950", "350;950", 1), good.rsplit(";", 2)[0]
+    for name, lines in (("a.csv", [good, long]), ("b.csv", [short, good, good])):
+        (tmp_path / name).write_text("\n".join([";".join(BIRTH_COLUMNS), *lines]) + "\n")
+    found = split_births(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], str(tmp_path / "split"))
+
+    def files(df):
+        return sorted((r["arquivo"].rsplit("/", 1)[1], r["bloco"]) for r in df.collect())
+
+    assert files(found["completa"]) == [("a.csv", 0), ("b.csv", 0), ("b.csv", 0)]
+    assert files(found["incompleta"]) == [("b.csv", 0)]
+    assert [(r["linha"], r["CONTADOR"]) for r in found["campos demais"].collect()] == [(long, "1")]
+    assert counters(clean_births(found["completa"])) == [1, 1, 1]
+    # Each verdict is a folder of its own; the text files are not opened again.
+    for df in found.values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(veredito" in plan and "csv" not in plan
+    empty = tmp_path / "empty.csv"
+    empty.write_text(";".join(BIRTH_COLUMNS) + "\n")
+    assert all(df.isEmpty() for df in split_births(spark, str(empty), str(tmp_path / "none")).values())
+
+
 def test_a_lookup_line_with_too_many_fields_is_an_error(spark, tmp_path):
     cities, jobs = tmp_path / "cities.csv", tmp_path / "jobs.csv"
     cities.write_text("Codigo_Municipio_Completo;Nome_Municipio;Nome_UF\n3509502;Camp;inas;São Paulo\n")
