@@ -537,6 +537,19 @@ ORACLE["report_occupation_pareto"] = _select(_WIDE, _pareto("id_codocupmae"))
 # A report from the stored counts is the report.
 ORACLE |= {f"cube_{name.removeprefix('report_')}": sql for name, sql in ORACLE.items() if name.startswith("report_")}
 
+for _name, _states in (("states", "estado IN ('AF', 'AS')"), ("unknown_states", "estado = 'EU' OR estado IS NULL")):
+    ORACLE[f"report_{_name}_by_month"] = _select(
+        _WIDE + f""",
+months AS (
+  SELECT CAST(date_trunc('month', id_calendario) AS DATE) AS mes, count(*) AS nascimentos
+  FROM wide WHERE {_states} GROUP BY 1
+)""",
+        """SELECT mes, nascimentos, mean.media,
+       CASE WHEN nascimentos > mean.media THEN 'acima' WHEN nascimentos < mean.media THEN 'abaixo'
+            ELSE 'igual' END AS situacao
+FROM months, (SELECT avg(nascimentos) AS media FROM months) mean""",
+    )
+
 # Births of 1996 with a number divisible by 7 moved to 2000, if they are still plausible there.
 _CORRECTED = _LATER + f""",
 first AS (SELECT * FROM ({_select(_births("raw"), "SELECT * FROM clean")})),

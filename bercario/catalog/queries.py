@@ -603,6 +603,16 @@ def _filtered(*only: str) -> Query:
     return query
 
 
+def _in_states(*states) -> Query:
+    """Births per month of some states, by the codes of their municipalities."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        births = reports.in_states(_warehouse(spark, folder)["fatos_nascidos"], _city_labels(spark, folder), states)
+        return reports.births_by_month(births)
+
+    return query
+
+
 def report_filters_reset(spark: SparkSession, folder: str) -> DataFrame:
     return reports.births_total(reports.apply_filters(_fact(spark, folder), {}))
 
@@ -718,6 +728,8 @@ QUERIES: dict[str, Query] = {
     "report_occupation_pareto": _report(
         _profile_with("id_codocupmae"), reports.births_by_code_pareto, code="id_codocupmae"
     ),
+    "report_states_by_month": _in_states("AF", "AS"),
+    "report_unknown_states_by_month": _in_states("EU", None),
     "report_filtered": _report(_filtered(), reports.births_by_newborn_race),
     "report_filtered_profile": _report(_filtered("dtnascmae"), reports.births_by_age_band),
     "report_filtered_occupations": _report(

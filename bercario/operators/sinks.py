@@ -13,6 +13,9 @@ from bercario.sources.storage import path_exists
 
 MODES = ("append", "append_new_only", "overwrite")
 
+# Rows of a page of a sorted file: what a filter reads at least.
+PAGE_ROWS = 4_000
+
 
 def rows_not_in(
     df: DataFrame, old: DataFrame, key: str | Sequence[str] | None = None, only_in: Column | None = None
@@ -39,6 +42,7 @@ def write_table(
     key: str | Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
     only_in: Column | None = None,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Write ``df`` to a Parquet folder or a catalog table, creating it if needed.
 
@@ -57,7 +61,11 @@ def write_table(
             # The schema is given, as a failed first write leaves a folder without any file.
             old = spark.table(table) if table else spark.read.schema(df.schema).parquet(path)
             df = rows_not_in(df, old, key, only_in)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite" if mode == "overwrite" else "append").partitionBy(*partition_by)
+    if sort_by:
+        writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS)
     if table:
         writer.format("parquet").saveAsTable(table)
     else:

@@ -80,6 +80,22 @@ def apply_filters(df: DataFrame, filters: Mapping[str, Sequence]) -> DataFrame:
     return df
 
 
+def in_states(births: DataFrame, municipalities: DataFrame, states: Sequence, code: str = "id_codmunnasc") -> DataFrame:
+    """The births of some states, as a filter on the municipality's code.
+
+    ``apply_filters`` on a joined label reads all births first. Here the codes are looked up before,
+    in ``municipalities`` (the shape of ``dim_municipio``), and the scan skips what it need not read
+    of tables that are kept together by place. None chooses births of no known state. The codes come
+    to the driver, as many as there are municipalities.
+    """
+    labels = one_row_per_key(municipalities, "id_codmunicipionasc").select("id_codmunicipionasc", "estado")
+    chosen = apply_filters(labels, {"estado": states})
+    if None not in states:
+        return births.filter(F.col(code).isin([row[0] for row in chosen.collect()]))
+    others = labels.join(chosen, "id_codmunicipionasc", "left_anti").select("id_codmunicipionasc")
+    return births.filter(~F.col(code).isin([row[0] for row in others.collect()]) | F.col(code).isNull())
+
+
 # Mothers and births ------------------------------------------------------------------------
 
 

@@ -37,6 +37,7 @@ from bercario.schemas import (
     CUBE,
     IDENTITY,
     LABEL_TABLES,
+    RECORD_HASH,
     RECORD_KEY,
     RECORDS,
     SOURCE,
@@ -53,6 +54,9 @@ WRITERS = 8
 
 MODES = ("append", "append_new_only", "overwrite", "correct", "replace")
 
+# Tables whose rows are kept together by place, then by date, within a year.
+CLUSTERED = {RECORDS: ["CODMUNNASC", "DTNASC"], "fatos_nascidos": ["id_codmunnasc", "id_calendario"]}
+
 
 def silver_path(root: str) -> str:
     return f"{root}/silver/births"
@@ -102,10 +106,13 @@ def write_records(
 ) -> DataFrame:
     """The records of a run, each once, as stored; a sample of them if asked.
 
-    If no number repeats (checked by shuffling it alone) no record does, and nothing is moved.
+    If no number repeats (checked by shuffling it alone) no record does, and none are compared. The
+    records are dealt by range of year, place and date, so that the files of all tables hold few
+    places each. As the record's hash is part of the range, no place or day is too large for a task.
     """
     spark = births.sparkSession
     found = records(births, records_unique(births)).withColumn(SOURCE, F.lit(source))
+    found = found.repartitionByRange(YEAR, *CLUSTERED[RECORDS], RECORD_HASH)
     path = f"{root}/silver/{RECORDS}"
     found.write.mode("overwrite").parquet(path)
     found = spark.read.schema(found.schema).parquet(path)
@@ -219,7 +226,9 @@ def build_warehouse(
     def write(name: str) -> None:
         by_year = [YEAR] if _by_year(name) else []
         rows = tables[name].withColumn(BATCH, F.lit(name_of_load))
-        write_table(rows, **store.target(name), partition_by=[*by_year, BATCH])
+        write_table(
+            rows, **store.target(name), partition_by=[*by_year, BATCH], sort_by=CLUSTERED.get(name, [])
+        )
 
     with ThreadPoolExecutor(WRITERS) as pool:
         for written in [pool.submit(write, name) for name in tables]:

@@ -337,3 +337,44 @@ def test_silver_is_assessed_and_counted_in_one_pass(spark, tmp_path):
     root = str(tmp_path / "silver")
     load(spark, root, {})
     assert not Path(root, "silver", "births_rejected").exists()
+
+
+# Files kept together by place -----------------------------------------------------------------
+
+
+def rows_scanned(df):
+    """Rows that the file scan of a frame gives to the rest of the plan."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plans, found = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            plans.append(plan.executedPlan())
+        if plan.nodeName().startswith("Scan parquet"):
+            found += plan.metrics().apply("numOutputRows").value()
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+        if plan.nodeName().endswith("QueryStage"):
+            plans.append(plan.plan())
+    return found
+
+
+def test_a_filter_on_place_reads_few_rows(spark):
+    root = scratch_path(spark, "clustered")
+    many, place = 60_000, 110_000 + (F.col("id") * 7919) % 60
+    changes = {"CONTADOR": F.col("id"), "CODMUNNASC": place, "DTNASC": F.lit(1012022), "DTNASCMAE": F.lit(1011990)}
+    one = raw(spark, {}).drop(*changes)
+    births_ = spark.range(many).crossJoin(one).select(*one.columns, *[c.cast("bigint").alias(n) for n, c in changes.items()])
+    cities = spark.createDataFrame(
+        [(str(110_000 + i), f"c{i}", "SP" if i < 3 else "RJ") for i in range(60)],
+        "Codigo_Municipio_Completo STRING, Nome_Municipio STRING, UF STRING",
+    )
+    build_warehouse(births_, cities, occupations(spark), root)
+    fact = read_warehouse(spark, root)["fatos_nascidos"]
+    chosen = reports.in_states(fact, star.municipality_labels(cities), ["SP"])
+    assert chosen.count() == many // 20
+    assert rows_scanned(fact.select("id_mae")) == many
+    assert rows_scanned(chosen.select("id_mae")) <= many // 4
+    rest = reports.in_states(fact, star.municipality_labels(cities), ["RJ", None])
+    assert rest.count() == many - many // 20
