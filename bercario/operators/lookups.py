@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What a broadcast may hold. It is measured, never assumed.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
@@ -13,6 +14,10 @@ BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 # A key is frequent if it is on more than this part of the rows, and on more than ``LEAST_HOT``.
 # There are fewer frequent keys than parts, whatever the input.
 HOT_PART, LEAST_HOT = 1_000, 1_000
+# Keys that the sketch of a task keeps: its counts are off by less than one in 10,000 rows.
+TRACKED = 16_384
+# Into how many parts the rows of a frequent key are dealt; its label has as many copies.
+SALTS = 512
 
 
 def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
@@ -45,13 +50,17 @@ def fits_broadcast(
 def frequent_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys on more than a thousandth of the rows and on more than ``LEAST_HOT``.
 
-    All rows are counted, with map-side sums, and the keys are fewer than a thousand. They are
-    read out once, so that every use of them sees the same keys.
+    Found in one pass by a sketch of frequent items, which each task fills for itself and which are
+    then merged: no key is shuffled. Its counts may be off a little, so a key near the limit may be
+    in or out; the keys are read out once, so that every use of them sees the same ones.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    limit = max(LEAST_HOT, df.count() // HOT_PART)
-    hot = counts.filter(F.col("rows") > limit).select(key)
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    kind = df.schema[key].dataType
+    keyed = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"))
+    sketch = F.expr(f"approx_top_k(key, {HOT_PART}, {TRACKED})").alias("items")
+    found = keyed.agg(F.count(F.lit(1)).alias("rows"), sketch).first()
+    limit = max(LEAST_HOT, found["rows"] // HOT_PART)
+    hot = [(item["item"],) for item in found["items"] or [] if item["count"] > limit]
+    return df.sparkSession.createDataFrame(hot, T.StructType([T.StructField(key, kind)]))
 
 
 def attach(
@@ -65,13 +74,13 @@ def attach(
 
     Each row stays one row: a key counts once, see ``one_row_per_key``, which ``unique`` skips.
 
-    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise rows without
-    a key get no label and move nowhere, rows of frequent keys (fewer than a thousand) are
-    joined to those keys' labels where they are, equal rows or not, and the rest is joined by
-    shuffle. ``df`` is read three times then, so it is best a stored table. Should the labels of
-    the frequent keys themselves be too large to broadcast, all rows are joined by shuffle.
+    A lookup measured to be small is broadcast, and ``df`` is not shuffled. Otherwise the two are
+    joined by shuffle, in which the rows of frequent keys (fewer than a thousand) are dealt to
+    ``SALTS`` parts one after the other, equal rows or not, and their labels copied to each part; rows
+    without a key are dealt like them and get no label. ``df`` is read once, and before that its key
+    alone for the sketch of ``frequent_keys``.
 
-    ``seen_in`` may give a frame that is cheaper to count frequent keys in than ``df``.
+    ``seen_in`` may give a frame in which frequent keys are cheaper to find than in ``df``.
     """
     labels = [name for name in lookup.columns if name != key]
     small = fits_broadcast(lookup)
@@ -79,14 +88,16 @@ def attach(
     if small:
         return df.join(F.broadcast(lookup), key, "left").select(*df.columns, *labels)
 
-    keyed = df.filter(F.col(key).isNotNull())
-    none = [F.lit(None).cast(lookup.schema[name].dataType).alias(name) for name in labels]
-    missing = df.filter(F.col(key).isNull()).select(*df.columns, *none)
     hot = frequent_keys(df if seen_in is None else seen_in, key)
-    hot_rows = hot.join(lookup.join(F.broadcast(hot), key, "left_semi"), key, "left")
-    if not fits_broadcast(hot_rows):
-        joined = keyed.join(lookup, key, "left").select(*df.columns, *labels)
-        return joined.unionByName(missing)
-    frequent = keyed.join(F.broadcast(hot_rows), key).select(*df.columns, *labels)
-    others = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, "left")
-    return frequent.unionByName(others.select(*df.columns, *labels)).unionByName(missing)
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    frequent = F.col("_hot").isNotNull()
+    parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = lookup.join(hot, F.col(key) == F.col("_hot"), "left")
+    copies = copies.select(
+        F.col(key).alias("_key"), *labels, F.explode(F.when(frequent, parts).otherwise(F.array(F.lit(0)))).alias("_of")
+    )
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salt = F.when(frequent | F.col(key).isNull(), turn).otherwise(F.lit(0)).alias("_salt")
+    dealt = df.join(hot, F.col(key) == F.col("_hot"), "left").select(*df.columns, salt)
+    joined = dealt.join(copies, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_of")), "left")
+    return joined.select(*df.columns, *labels)
