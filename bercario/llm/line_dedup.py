@@ -1,12 +1,15 @@
 """Repeated passages, by windows of three consecutive lines.
 
-A line ends at a line break, or after 16 words, so that a long paragraph is many lines. Three
-consecutive lines make a window. Windows that occur more than once in the corpus are found by
-counting their hashes; every occurrence but the first, in the order of id and place, covers its
-three lines, and covered lines are removed. A removed line always remains at the place where its
-window occurs first, or where that one's does.
+A line ends at a line break, at the end of a sentence (a word with one of ``ENDS`` as its last
+character), or after 16 words, so that a long paragraph is many lines. A passage is therefore cut alike
+wherever it stands in a paragraph, from its first sentence end on. Three consecutive lines make a
+window. Windows that occur more than once in the corpus are found by counting their hashes; every
+occurrence but the first, in the order of id and place, covers its three lines, and covered lines are
+removed. A removed line always remains at the place where its window occurs first, or where that one's
+does.
 
-Lines are compared without white space around them. Both 64-bit hashes of a window must agree.
+Lines are compared without white space around them. Both 64-bit hashes of a window must agree. Windows
+are computed once and stored; the texts are read once more to be put together.
 
 Defined results: a null text stays null and has no lines; a text of fewer than three lines has
 no window and stays as it is. Rows that repeat an id and a text count as one occurrence and are
@@ -23,10 +26,15 @@ from pyspark.sql import functions as F
 from bercario.llm.tables import stored, text_key
 
 LINE_WORDS = 16
+# Last characters of a sentence.
+ENDS = ".!?。！？"
 _SPACE = " \t\n\x0b\f\r"
-# Words with the blanks after them, up to the line break and the empty lines that follow it.
-# Nothing is ever given back, so the time is in proportion to the text.
-_LINE = rf"\s*+(?:\S++[^\S\n]*+){{1,{LINE_WORDS}}}+\s*+|\s++"
+# Hashes hardly repeat: a dictionary of them is work for nothing.
+HASHES_AS_THEY_ARE = {f"parquet.enable.dictionary#{name}": "false" for name in ("ld_a", "ld_b")}
+# Words that end no sentence, each with the blanks before the next word of the same line; then one
+# more word, with all white space behind it. Nothing is ever given back, so the time is in proportion
+# to the text.
+_LINE = rf"\s*+(?:\S++(?<![{ENDS}])[^\S\n]++(?=\S)){{0,{LINE_WORDS - 1}}}+\S++\s*+|\s++"
 
 
 def lines(text: Column) -> Column:
@@ -34,27 +42,18 @@ def lines(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_LINE), F.lit(0))
 
 
-def _windows(text: Column) -> Column:
+def _line_hashes(text: Column) -> Column:
     bare = F.transform(lines(text), lambda line: F.btrim(line, F.lit(_SPACE)))
-    hashed = F.transform(
-        bare,
-        lambda line: F.struct(
-            F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")
-        ),
+    return F.transform(
+        bare, lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
     )
 
-    def window(hashes: Column) -> Column:
-        def at(place: Column) -> Column:
-            three = [F.get(hashes, place + step) for step in range(3)]
-            return F.struct(
-                F.xxhash64(*[x["a"] for x in three]).alias("ld_a"),
-                F.xxhash64(*[x["b"] for x in three]).alias("ld_b"),
-            )
-
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - 3), at)
 
-    # The hashes are bound by a lambda, so that they are computed once and not at each place.
-    return F.get(F.transform(F.array(hashed), lambda x: F.when(F.size(x) >= 3, window(x))), 0)
+def _windows(hashes: Column) -> Column:
+    """Every three consecutive lines, as structs of the hashes of each."""
+    many = F.size(hashes) - 2
+    three = [F.slice(hashes, step + 1, many).alias(f"line{step}") for step in range(3)]
+    return F.when(many > 0, F.arrays_zip(*three))
 
 
 def repeated_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -62,8 +61,18 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     places = docs.select(
         F.col(id_col).alias("ld_id"),
         text_key(F.col(text_col)).alias("ld_text"),
-        F.posexplode(_windows(F.col(text_col))).alias("ld_place", "ld_window"),
-    ).select("ld_id", "ld_text", "ld_place", "ld_window.*")
+        _line_hashes(F.col(text_col)).alias("ld_hashes"),
+    )
+    # The lines of a window are hashed together after the explosion, in compiled code.
+    places = places.select("ld_id", "ld_text", F.posexplode(_windows(F.col("ld_hashes"))).alias("ld_place", "w"))
+    places = places.select(
+        "ld_id",
+        "ld_text",
+        "ld_place",
+        F.xxhash64("w.line0.a", "w.line1.a", "w.line2.a").alias("ld_a"),
+        F.xxhash64("w.line0.b", "w.line1.b", "w.line2.b").alias("ld_b"),
+    )
+    places = stored(places, "line-dedup-all", **HASHES_AS_THEY_ARE)
     # One hash aggregation with map-side sums: a passage on a third of all rows is one row per
     # task before the shuffle. Stored, so that the join below is between two plain exchanges and
     # Spark can split a frequent window's rows.

@@ -135,7 +135,8 @@ ORACLE["op3_exact_dedup"] = """
     WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-_LINE = r"[ \t\n\x0B\f\r]*(?:[^ \t\n\x0B\f\r]+[ \t\x0B\f\r]*){1,16}[ \t\n\x0B\f\r]*|[ \t\n\x0B\f\r]+"
+_SPACE = r" \t\n\x0B\f\r"
+_LINE = rf"[{_SPACE}]*(?:[^{_SPACE}]*[^{_SPACE}.!?。！？][ \t\x0B\f\r]+){{0,15}}[^{_SPACE}]+[{_SPACE}]*|[{_SPACE}]+"
 
 ORACLE["op5_line_dedup"] = f"""
     WITH split AS (

@@ -12,13 +12,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame, written once to the shared folder and read back.
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """The frame, written once to the shared folder and read back; with options of the writer.
 
     Later steps read the files, so a lost executor never makes them compute the frame anew.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -73,16 +73,29 @@ def test_exact_empty(empty):
 
 # Repeated lines ---------------------------------------------------------------------------
 
-LINE = re.compile(r"[ \t\n\x0b\f\r]*(?:[^ \t\n\x0b\f\r]+[ \t\x0b\f\r]*){1,16}[ \t\n\x0b\f\r]*|[ \t\n\x0b\f\r]+")
+SPACE = " \t\n\x0b\f\r"
+
+
+def plain_lines(text):
+    """Word by word: a line ends at a line break, after the last word of a sentence, or after 16 words."""
+    pieces, words = [], 0
+    begin = 0
+    for m in re.finditer(rf"[^{SPACE}]+[{SPACE}]*", text):
+        words += 1
+        word = m[0].rstrip(SPACE)
+        if "\n" in m[0] or word[-1] in line_dedup.ENDS or words == 16 or m.end() == len(text):
+            pieces.append(text[begin : m.end()])
+            begin, words = m.end(), 0
+    return pieces if pieces or not text else [text]
 
 
 def without_lines(pairs):
     """Ids are unique here."""
     seen, result = set(), {}
     for i, text in sorted(pairs):
-        pieces = LINE.findall(text or "")
+        pieces = plain_lines(text or "")
         assert "".join(pieces) == (text or "")
-        bare = [piece.strip(" \t\n\x0b\f\r") for piece in pieces]
+        bare = [piece.strip(SPACE) for piece in pieces]
         covered = set()
         for at in range(len(bare) - 2):
             window = tuple(bare[at : at + 3])
@@ -107,9 +120,9 @@ def corpus(seed, many=60):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3])
 def test_lines_against_plain_version(frame, seed):
-    pairs = corpus(seed) + [(900, "same line\n" * 500), (901, None), (902, "")]
+    pairs = corpus(seed) + [(700 + i, sentences(i % 9, 90) + " \t \n" + sentences(i % 4, 30)) for i in range(20)] + [(900, "same line\n" * 500), (901, None), (902, "")]
     df = line_dedup.without_repeated_lines(frame(pairs))
     assert df.columns[: len(frame([]).columns)] == frame([]).columns
     got = {row["doc_id"]: (row["text"], row["ld_lines"], row["ld_removed"]) for row in df.collect()}
@@ -125,6 +138,32 @@ def test_passage_of_over_fifty_words_goes_once(frame):
         assert rows[i] == f"{prose(i, 30)}\n{prose(i + 50, 20)}"
 
 
+def sentences(seed, words):
+    """Prose whose sentences have 4 to 14 words."""
+    rng = random.Random(seed)
+    found = prose(seed, words).split()
+    at = rng.randint(0, 13)
+    while at < len(found):
+        found[at] += rng.choice(".?!")
+        at += rng.randint(4, 14)
+    return " ".join(found)
+
+
+def test_passages_at_any_offset_inside_paragraphs(frame):
+    """The same 70 words behind a different number of words of one paragraph."""
+    passage = sentences(500, 70)
+    pairs = [(i, f"{sentences(600 + i, 1 + i)} {passage} {sentences(700 + i, 20)}") for i in range(48)]
+    rows = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(frame(pairs)).collect()}
+    assert rows[0] == pairs[0][1]
+    assert not any(passage in rows[i] for i in range(1, 48))
+    # Of the passage, what stands before its first sentence end and after its last may stay.
+    words = passage.split()
+    for i in range(1, 48):
+        assert sum(word in set(rows[i].split()) for word in words) <= 28
+    got = {i: text for i, (text, _, _) in without_lines(pairs).items()}
+    assert rows == got
+
+
 def test_lines_odd_rows(odd):
     rows = line_dedup.without_repeated_lines(odd).collect()
     assert len(rows) == len(ODD)
