@@ -18,8 +18,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from bercario.plans import reports, star
-from bercario.plans.warehouse import build_warehouse, read_warehouse
+from bercario.plans import cube, reports, star
+from bercario.plans.warehouse import build_warehouse, read_cube, read_warehouse
 from bercario.schemas import RECORDS
 from bercario.session import local_session
 from bercario.sources import adapter
@@ -94,10 +94,19 @@ def main() -> None:
             lambda: build_warehouse(read_births(spark, text), cities, jobs, root, mode="append_new_only")
         ),
     }
+    # A later file: a hundredth of the births of one year with another education, the others again.
+    texts = read_births(spark, text)
+    year = texts.filter(F.col("DTNASC").cast("bigint") % 10_000 == 1996)
+    changed = F.when(F.col("CONTADOR").cast("bigint") % 100 == 0, "9").otherwise(F.col("ESCMAE"))
+    found["correct_one_year"] = measured(
+        lambda: build_warehouse(year.withColumn("ESCMAE", changed), cities, jobs, root, mode="correct")
+    )
     tables = read_warehouse(spark, root)
     found["births_wide_from_star"] = measured(lambda: noop(star.births_wide_from_star(tables)))
     profile = star.birth_profile(tables[RECORDS], unique=True, only=["escolaridade"])
     found["report_education"] = measured(lambda: noop(reports.births_by_education(profile)))
+    by_label = cube.cells(read_cube(spark, root), "escolaridade")
+    found["cube_education"] = measured(lambda: noop(reports.births_by_education(by_label)))
     rows = {name: df.count() for name, df in tables.items()}
     made = {"raw_births": raw.count(), "cores": int(cores), "rows": rows, "steps": found}
     spark.stop()
