@@ -39,6 +39,7 @@ from bercario.plans.warehouse import (
     read_history,
     read_warehouse,
     rejected_path,
+    write_assessed,
     write_silver,
 )
 from bercario.schemas import (
@@ -77,7 +78,12 @@ FILTERS = {"parto": ["Vaginal", "Cesário"], "estado": ["AF", "AS", None], "esta
 
 
 def _births(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_births(adapter.raw_births(spark, folder))
+    """Clean births by way of silver, as a load has them: the raw ones are read and parsed once."""
+    return write_silver(adapter.raw_births(spark, folder), scratch_path(spark, "silver"))
+
+
+def _assessed(spark: SparkSession, folder: str) -> DataFrame:
+    return write_assessed(adapter.raw_births(spark, folder), scratch_path(spark, "silver"))
 
 
 def _municipalities(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,8 +178,7 @@ def births_dropna(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def births_parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = parse_columns(births_dropna(spark, folder), DATE_COLUMNS)
-    return parsed.select(RECORD_KEY, *DATE_COLUMNS)
+    return _assessed(spark, folder).select(RECORD_KEY, *DATE_COLUMNS)
 
 
 def births_lenient_dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,7 +187,7 @@ def births_lenient_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def births_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = parse_columns(births_dropna(spark, folder), DATE_COLUMNS)
+    parsed = _assessed(spark, folder)
     return plausible_births(parsed).select(RECORD_KEY, "DTNASCMAE", "QTDFILVIVO", "QTDFILMORT")
 
 
@@ -231,7 +236,8 @@ def codes_beyond_double(spark: SparkSession, folder: str) -> DataFrame:
 def births_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Stored with the columns in another order, read by header name, then cleaned."""
     raw = adapter.raw_births(spark, folder).select(*sorted(BIRTH_COLUMNS))
-    return clean_births(read_births(spark, _as_delimited(raw, "ISO-8859-1")))
+    texts = read_births(spark, _as_delimited(raw, "ISO-8859-1"))
+    return write_silver(texts, scratch_path(spark, "silver"))
 
 
 def _broken_files(births: DataFrame, path: str) -> None:

@@ -76,7 +76,12 @@ def _accepted(assessed: DataFrame) -> DataFrame:
 
 
 def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
-    """Store the assessed births and return the accepted ones as stored.
+    """Store the assessed births and return the accepted ones as stored, see ``write_assessed``."""
+    return _accepted(write_assessed(raw, root, strict))
+
+
+def write_assessed(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
+    """Store all complete births, parsed and with a verdict, and return them as stored.
 
     The text files are parsed once, with a verdict on every complete row, and counted by the write
     itself. If there are rows that hold a value that cannot be read, they are then listed under ``births_rejected``, implausible ones
@@ -98,7 +103,7 @@ def write_silver(raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
         first = spark.read.parquet(rejected_path(root)).first()
         values = "; ".join(f"unreadable {name}: {first[name]}" for name in first[REASON].split(","))
         raise UnreadableBirths(f"{many} rows, listed in {rejected_path(root)}: {values}")
-    return _accepted(stored)
+    return stored
 
 
 def write_records(

@@ -13,6 +13,7 @@ from bercario.operators.cleaning import assessed_births, clean_births, rejected_
 from bercario.operators.lookups import attach
 from bercario.plans import reports, star
 from bercario.schemas import BIRTH_COLUMNS
+from bercario.sources import adapter
 from bercario.sources.delimited import read_births
 
 # The JVM only interprets, and never compiles, a method with more bytes of code than this.
@@ -60,9 +61,23 @@ def test_cleaning_of_text_files_is_compiled(spark, tmp_path):
 
 
 def test_cleaning_does_not_shuffle(spark, folder):
+    assert shuffles(clean_births(adapter.raw_births(spark, folder))) == []
     assert shuffles(q._births(spark, folder)) == []
 
 
+def test_strict_queries_parse_once(spark, folder, monkeypatch):
+    """No strict query looks at the raw births before it stores them: one write reads them."""
+    from bercario.operators import cleaning
+
+    def looked(raw):
+        raise AssertionError("the raw births are read a second time")
+
+    monkeypatch.setattr(cleaning, "require_readable", looked)
+    for name in ("births_parsed_dates", "births_filtered", "births_clean", "births_csv_scan", "dim_municipio"):
+        files = q.QUERIES[name](spark, folder).inputFiles()
+        assert files and not any("orders.parquet" in file or ".csv" in file for file in files)
+
+
 def test_large_tables_shuffle_once_or_never(spark, folder):
     births = q._births(spark, folder)
     for build in (star.fact_births, star.dim_mae, star.birth_profile):
@@ -87,7 +102,8 @@ def test_a_wide_view_does_not_join_its_large_tables(spark, folder):
 
 
 def test_scans_are_pruned_and_filtered(spark, folder):
-    plan = explained(reports.births_by_visits(star.fact_births(q._births(spark, folder), unique=True)))
+    births = clean_births(adapter.raw_births(spark, folder))
+    plan = explained(reports.births_by_visits(star.fact_births(births, unique=True)))
     assert "PushedFilters: [IsNotNull(o_orderkey)" in plan
     assert "o_totalprice" not in plan and "c_name" not in plan and "c_acctbal" not in plan
 
