@@ -33,6 +33,19 @@ def rows_not_in(
     return df.join(old, reduce(and_, same), "left_anti")
 
 
+def records_not_in(df: DataFrame, old: DataFrame, digest: str, also: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose ``digest``, a hash of the row, and whole numbers ``also`` are not in ``old``.
+
+    Joined by the digest alone, the numbers being compared on what it finds: if ``old`` is a table
+    bucketed by the digest, its rows stay where they are.
+    """
+    old = old.select(*[F.col(name).alias(f"_old_{name}") for name in (digest, *also)])
+    same = df[digest] == old[f"_old_{digest}"]
+    for name in also:
+        same = same & ((df[name] - old[f"_old_{name}"]) == 0)
+    return df.join(old, same, "left_anti")
+
+
 def write_table(
     df: DataFrame,
     path: str | None = None,
@@ -43,6 +56,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     only_in: Column | None = None,
     sort_by: Sequence[str] = (),
+    buckets: tuple[int, str] | None = None,
 ) -> None:
     """Write ``df`` to a Parquet folder or a catalog table, creating it if needed.
 
@@ -66,6 +80,10 @@ def write_table(
     writer = df.write.mode("overwrite" if mode == "overwrite" else "append").partitionBy(*partition_by)
     if sort_by:
         writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS)
+    if buckets and table:
+        many, column = buckets
+        dealt = df.repartition(many, column).write.mode("overwrite" if mode == "overwrite" else "append")
+        writer = dealt.partitionBy(*partition_by).bucketBy(many, column).sortBy(column)
     if table:
         writer.format("parquet").saveAsTable(table)
     else:

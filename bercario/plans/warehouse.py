@@ -27,7 +27,7 @@ from bercario.operators.cleaning import (
 )
 from bercario.operators.history import SINCE, dated, history_of, new_labels
 from bercario.operators.sampling import sample_exact
-from bercario.operators.sinks import rows_not_in, write_table
+from bercario.operators.sinks import records_not_in, rows_not_in, write_table
 from bercario.plans.cube import CUBE_SCHEMA, counted
 from bercario.plans.ledger import Ledger, Load, Store
 from bercario.plans.star import municipality_labels, occupation_labels, records, star_tables
@@ -52,6 +52,9 @@ from bercario.sources.storage import path_exists
 # Tables written at a time; each write is its own job and most are small.
 WRITERS = 8
 
+# Files per year and load of the records of a catalog table, by hash of the record.
+BUCKETS = 16
+
 MODES = ("append", "append_new_only", "overwrite", "correct", "replace")
 
 # Tables whose rows are kept together by place, then by date, within a year.
@@ -155,6 +158,11 @@ def corrected(
     return years, kept.unionByName(new.select(*kept.columns)), new
 
 
+def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The records of a batch that differ from every stored one of their year and number."""
+    return records_not_in(batch, stored, RECORD_HASH, [YEAR, RECORD_KEY])
+
+
 def _restored(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -179,7 +187,8 @@ def build_warehouse(
     """Clean the births, optionally sample them, and write the records and the eight star tables.
 
     The tables go to folders under ``root``, or to the named ``database`` of the catalog; silver is
-    always under ``root``. Readers see nothing of a run before all of it is written, see ``ledger``:
+    always under ``root``. In a catalog the records are bucketed by their hash, so that a later load is
+    compared with them without moving them. Readers see nothing of a run before all of it is written, see ``ledger``:
     a failed run can be repeated in any mode.
 
     ``mode``: ``append`` adds every record, so a repeated run stores everything twice;
@@ -207,7 +216,7 @@ def build_warehouse(
     if mode == "append_new_only":
         # One row per year of birth.
         own = [row[0] for row in batch.select(YEAR).distinct().collect()]
-        found = rows_not_in(batch, stored[RECORDS], IDENTITY[RECORDS], F.col(YEAR).isin(own))
+        found = unseen(batch, stored[RECORDS].filter(F.col(YEAR).isin(own)))
         found = _restored(found, f"{root}/silver/{RECORDS}_new")
     elif only_new:
         years, found, described = corrected(stored[RECORDS], batch, source, mode == "replace")
@@ -232,7 +241,11 @@ def build_warehouse(
         by_year = [YEAR] if _by_year(name) else []
         rows = tables[name].withColumn(BATCH, F.lit(name_of_load))
         write_table(
-            rows, **store.target(name), partition_by=[*by_year, BATCH], sort_by=CLUSTERED.get(name, [])
+            rows,
+            **store.target(name),
+            partition_by=[*by_year, BATCH],
+            sort_by=CLUSTERED.get(name, []),
+            buckets=(BUCKETS, RECORD_HASH) if name == RECORDS else None,
         )
 
     with ThreadPoolExecutor(WRITERS) as pool:
