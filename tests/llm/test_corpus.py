@@ -1,5 +1,6 @@
 """Packing, quality, page extraction and the pipeline."""
 
+import math
 import random
 import re
 import zlib
@@ -184,6 +185,26 @@ def test_quality_labels_are_not_read_from_held_out_rows(spark, frame):
     assert (first.rules, first.weights, first.constant) == (second.rules, second.weights, second.constant)
 
 
+def test_quality_scores_are_those_of_the_rules_one_by_one(spark, frame):
+    pairs, labels = labelled_texts(120)
+    pairs += [(900, None), (901, ""), (902, prose(902, 3_000))]
+    docs = frame(pairs)
+    ensemble = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert ensemble.rules
+    expected = {}
+    for row in quality.with_statistics(docs.select("doc_id", "text")).collect():
+        total = ensemble.constant
+        for rule, weight in zip(ensemble.rules, ensemble.weights, strict=True):
+            holds = True
+            for number, above, threshold in rule:
+                value = row[f"llm_{quality.STATISTICS[number]}"]
+                holds = holds and (value > threshold if above else value <= threshold)
+            total += weight * holds
+        expected[row["doc_id"]] = 1 / (1 + math.exp(-total))
+    got = {row["doc_id"]: row["score"] for row in quality.scored(docs, ensemble).collect()}
+    assert got == pytest.approx(expected, rel=1e-12)
+
+
 def test_quality_learns_from_a_bounded_sample(spark, frame):
     """Rows that share an id are one; the sample has no more rows than asked for."""
     pairs, labels = labelled_texts()
@@ -498,9 +519,8 @@ def test_one_of_near_copies_with_repeated_or_null_ids(spark, frame, folder):
 def test_stages_of_an_empty_table(spark, empty, folder):
     import corpus_pipeline
 
-    for name, stage in corpus_pipeline.STAGES:
-        if name != "quality":  # its labels find no document, as in the tests of the operator
-            assert stage(spark, empty, folder).count() == 0
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).count() == 0
 
 
 def test_queries_read_whole_tables(spark, folder):
