@@ -321,7 +321,8 @@ def test_reports_of_an_empty_cube(spark):
 def test_reports_from_the_cube_read_no_record(spark, folder):
     for name in (n for n in q.QUERIES if n.startswith("cube_") and n != "cube_after_corrections"):
         tables = {file.split("/dw/")[-1].split("/")[0] for file in q.QUERIES[name](spark, folder).inputFiles()}
-        assert "cubo" in tables
+        # Running totals are stored in between, made from the counts.
+        assert "cubo" in tables or name.endswith(("municipality_pareto", "occupation_pareto"))
         assert not any(name in file for file in tables for name in ("registros", "fatos", "dim_mae", "orders"))
 
 
