@@ -47,7 +47,7 @@ from bercario.schemas import (
     stored_schema,
     table_schema,
 )
-from bercario.sources.storage import path_exists
+from bercario.sources.storage import path_exists, scratch_path
 
 # Tables written at a time; each write is its own job and most are small.
 WRITERS = 8
@@ -132,7 +132,7 @@ def write_records(
 
 
 def corrected(
-    stored: DataFrame, batch: DataFrame, source: str, whole: bool
+    stored: DataFrame, batch: DataFrame, source: str, whole: bool, root: str | None = None
 ) -> tuple[list[int], DataFrame, DataFrame]:
     """What a new file of a source changes in the records: the years, the records of those years
     afterwards, and the new ones among them.
@@ -141,7 +141,11 @@ def corrected(
     are. If the file is the ``whole`` source, stored records that it lacks are withdrawn. Records that
     agree in every column are no change, and a year without a change is not touched. Of several
     different records with one number in the batch, all are kept.
+
+    What goes and what is new is found once and stored under ``root``, or else in a new folder, as all tables
+    are made from it. The stored records are compared with what goes only if something does.
     """
+    path = f"{root or scratch_path(batch.sparkSession, 'corrections')}/silver/{RECORDS}"
     identity = [*IDENTITY[RECORDS], SOURCE]
     batch = batch.withColumn(SOURCE, F.lit(source))
     own = stored.filter(F.col(SOURCE) == source).select(*identity)
@@ -149,12 +153,15 @@ def corrected(
     if not whole:
         numbers = offered.select(F.col(RECORD_KEY).alias("_number")).distinct()
         own = own.join(numbers, F.col(RECORD_KEY) == F.col("_number"), "left_semi")
-    gone = rows_not_in(own, offered)
+    gone = _restored(rows_not_in(own, offered), f"{path}_gone")
     new = rows_not_in(batch, stored.filter(F.col(SOURCE) == source), identity)
+    new = _restored(new, f"{path}_new")
     # One row per year of birth.
     changed = gone.select(YEAR).unionByName(new.select(YEAR)).distinct()
     years = sorted(row[0] for row in changed.collect())
-    kept = rows_not_in(stored.filter(F.col(YEAR).isin(years)), gone, identity)
+    kept = stored.filter(F.col(YEAR).isin(years))
+    if not gone.isEmpty():
+        kept = _restored(rows_not_in(kept, gone, identity), f"{path}_kept")
     return years, kept.unionByName(new.select(*kept.columns)), new
 
 
@@ -219,8 +226,7 @@ def build_warehouse(
         found = unseen(batch, stored[RECORDS].filter(F.col(YEAR).isin(own)))
         found = _restored(found, f"{root}/silver/{RECORDS}_new")
     elif only_new:
-        years, found, described = corrected(stored[RECORDS], batch, source, mode == "replace")
-        found = _restored(found, f"{root}/silver/{RECORDS}_corrected")
+        years, found, described = corrected(stored[RECORDS], batch, source, mode == "replace", root)
 
     def tables_of(rows: DataFrame) -> dict[str, DataFrame]:
         return star_tables(

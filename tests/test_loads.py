@@ -404,3 +404,15 @@ def test_stored_records_of_a_catalog_are_not_moved(spark, monkeypatch):
     assert "Bucketed: true" in plan or "SelectedBucketsCount: 3 out of 3" in plan
     # One exchange: that of the batch.
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_what_a_correction_changes_is_found_once(spark):
+    def recorded(*changes):
+        return star.records(births(spark, *changes), True).withColumn(SOURCE, F.lit("a"))
+
+    stored = recorded({}, {"CONTADOR": 2})
+    for change in ({"CONTADOR": 3}, {"ESCMAE": 9}):
+        _, after, new = corrected(stored, recorded(change), "a", False)
+        for found in (after, new):
+            assert "Join" not in explained(found)
+    assert rows(after.select("CONTADOR", "ESCMAE")) == [(1, 9), (2, 4)]
