@@ -37,8 +37,9 @@ from bercario.llm.words import NOT_SPACE, Words, chunks
 LENGTH = 2048
 END_ID = 1
 SALTS = 256
-# Words, and pieces of words, whose ids a worker remembers at a time, at some 200 bytes each.
-KNOWN_WORDS, KNOWN_PIECES = 600_000, 800_000
+# What a worker remembers at a time: words, at 24 bytes each, and their ids, at four; and pieces of words,
+# at some 200 bytes each.
+KNOWN_WORDS, KNOWN_IDS, KNOWN_PIECES = 600_000, 4_000_000, 50_000
 
 PIECES = "doc_id {id}, piece_key long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -52,8 +53,8 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 class WordIds:
     """Ids of texts by a tokenizer that lower-cases and never joins across white space.
 
-    Words are encoded once and remembered, and so are the pieces that the tokenizer cuts them
-    into: letters, single digits, other signs. The pieces of new words are encoded together, and
+    Words are encoded once and remembered by their hash, and so are the pieces that the tokenizer cuts
+    them into: letters, single digits, other signs. The pieces of new words are encoded together, and
     the ids are told apart by the mark that ends a piece. Words with other letters than those of
     Latin-1 are left to the tokenizer whole, and so are texts that may hold a special token.
     ``tests`` compare with encoding whole texts.
@@ -64,7 +65,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.last = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
-        self.known: dict[bytes, bytes] = {}
+        # Hashes of known words in order, and where in ``ids`` the ids of each begin, and how many.
+        self.known = np.zeros(0, np.uint64)
+        self.begin, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
         self.pieces: dict[str, bytes] = {" ": _NEXT}
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -74,32 +78,47 @@ class WordIds:
             bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
             return self._encode_each([raw[a:b].decode() for a, b in bounds])
         words = Words(data, offsets, NOT_SPACE)
-        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
         lower = words.lower.tobytes()
-        starts, ends = words.start[first].tolist(), words.end[first].tolist()
-        found = self._look_up([lower[a:b] for a, b in zip(starts, ends, strict=True)])
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.array([len(x) // 4 for x in found], np.int64)
-        begin = np.cumsum(sizes) - sizes
+        ids, begin, sizes = self._look_up(
+            hashes, lambda at: [lower[a:b] for a, b in zip(words.start[first[at]], words.end[first[at]], strict=True)]
+        )
         # From the ids of each different word to those of all words in order.
-        counts = sizes[which]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        at = np.arange(total[-1]) + np.repeat(begin[which] - total[:-1], counts)
-        ids = ids[at].tobytes()
+        total = np.concatenate([[0], np.cumsum(sizes[which])])
+        ids = _gathered(ids, begin[which], sizes[which]).tobytes()
         bounds = zip((4 * total[words.first]).tolist(), (4 * total[words.last]).tolist(), strict=True)
         return [ids[a:b] for a, b in bounds]
 
-    def _look_up(self, words: list[bytes]) -> list[bytes]:
-        found = [self.known.get(word) for word in words]
-        places = [at for at, ids in enumerate(found) if ids is None]
-        if places:
-            missing = [words[at].decode() for at in places]
-            learned = self._learn(missing)
-            if len(self.known) + len(learned) > KNOWN_WORDS:
-                self.known.clear()
-            for at, word in zip(places, missing, strict=True):
-                found[at] = self.known[words[at]] = learned[word]
-        return found
+    def _look_up(
+        self, hashes: np.ndarray, words: Callable[[np.ndarray], list[bytes]]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array with the ids of all words, and where those of each begin, and how many.
+
+        ``hashes`` are in order, ``words`` gives the words at some of their places.
+        """
+        at = np.searchsorted(self.known, hashes)
+        old = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        old[inside] = self.known[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~old)
+        missing = [word.decode() for word in words(new)]
+        learned = self._learn(missing) if missing else {}
+        found = [learned[word] for word in missing]
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        begin, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        begin[old], sizes[old] = self.begin[at[old]], self.sizes[at[old]]
+        sizes[new] = [len(one) // 4 for one in found]
+        begin[new] = len(self.ids) + np.cumsum(sizes[new]) - sizes[new]
+        if len(self.known) + len(new) > KNOWN_WORDS or len(ids) > KNOWN_IDS:
+            # The words of this call alone stay.
+            self.known, self.sizes, self.begin = hashes, sizes, np.cumsum(sizes) - sizes
+            self.ids = _gathered(ids, begin, sizes)
+        else:
+            self.known = np.insert(self.known, at[new], hashes[new])
+            self.begin = np.insert(self.begin, at[new], begin[new])
+            self.sizes = np.insert(self.sizes, at[new], sizes[new])
+            self.ids = ids
+        return ids, begin, sizes
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         learned = {}
@@ -137,6 +156,12 @@ class WordIds:
         return [np.array(one.ids, "<u4").tobytes() for one in encoded]
 
 
+def _gathered(values: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values[begin[i] : begin[i] + sizes[i]]`` for each i, one after the other."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return values[np.arange(total[-1]) + np.repeat(begin - total[:-1], sizes)]
+
+
 # Words whose lower case and composition need no tables, and their pieces or the blank between.
 _PLAIN = re.compile(r"[\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 ]+| ")

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -109,6 +110,31 @@ def test_ids_of_any_texts_one_chunk_after_another(texts):
     assert encoded(USED, texts) == [whole_ids(text)[:-1].tobytes() for text in texts]
 
 
+def test_words_are_remembered_in_little_memory():
+    rng = random.Random(5)
+    made = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(150_000)]
+    ids = packing.WordIds(packing.tokenizer_file())
+    encoded(ids, ["first"])
+    tracemalloc.start()
+    for at in range(0, len(made), 10_000):
+        encoded(ids, [" ".join(made[at : at + 10_000])])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 100 * len(made)
+    for text in (" ".join(made[:300]), " ".join(made[-300:])):
+        assert encoded(ids, [text]) == [whole_ids(text)[:-1].tobytes()]
+
+
+@pytest.mark.parametrize("most", [{"KNOWN_WORDS": 5}, {"KNOWN_IDS": 9}, {"KNOWN_PIECES": 3}])
+def test_ids_after_words_are_forgotten(monkeypatch, most):
+    for name, value in most.items():
+        monkeypatch.setattr(packing, name, value)
+    ids = packing.WordIds(packing.tokenizer_file())
+    texts = ["the quick brown fox", "the lazy dog", "a fox, a dog", "quick 12 the fox the", "", "brown dog"]
+    for text in [*texts, *texts]:
+        assert encoded(ids, [text, "the"]) == [whole_ids(x)[:-1].tobytes() for x in (text, "the")]
+
+
 def test_packing_one_text_without_latin_letters(frame):
     for text in ("Привет мир", "日本語", "😀"):
         check_packing(packing.pack(frame([(1, text)])).collect(), [(1, text)], 2048)
