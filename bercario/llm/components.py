@@ -15,10 +15,10 @@ from bercario.llm.tables import stored
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label``, the least node reachable, for every node of links (a, b)."""
-    both = stored(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-        "links",
-    )
+    # Both directions of a row in one pass: a union of the two would compute the links twice. Links are
+    # few and come from many tasks; dealt anew they are in few files, which every step reads.
+    there, back = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = stored(links.select(F.inline(F.array(there, back))).distinct(), "links")
     first = both.groupBy("a").agg(F.min("b").alias("least"))
     labels = stored(
         first.select(F.col("a").alias("node"), F.least("a", "least").alias("label")), "labels"

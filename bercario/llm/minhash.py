@@ -301,7 +301,8 @@ def class_links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         "minhash-met",
     )
     few = fits_broadcast(wanted, BROADCAST_ROWS, BROADCAST_BYTES)
-    keys = F.broadcast(wanted) if few else wanted
+    # Told to merge, as Spark goes by the size of files, of which the rows in memory are many times.
+    keys = F.broadcast(wanted) if few else wanted.hint("merge")
     texts = rows.join(
         keys,
         rows["doc_id"].eqNullSafe(F.col("rep.doc_id")) & (rows["text_key"] == F.col("rep.text_key")),

@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import pytest
 
-from bercario.llm import exact_dedup, line_dedup, minhash
+from bercario.llm import exact_dedup, line_dedup, minhash, tables
 from bercario.llm.components import components
 
 from .conftest import ODD, prose
@@ -297,3 +297,40 @@ def test_components_of_a_chain(spark):
     rows = components(spark.createDataFrame(links, "a long, b long")).collect()
     expected = {i: 0 if i <= 20 else 21 for i in range(41)} | {100: 100, 101: 100, 102: 100}
     assert {row["node"]: row["label"] for row in rows} == expected
+
+
+def test_components_compute_links_once_into_few_files(spark, monkeypatch):
+    from bercario.llm import components as module
+
+    written = []
+
+    def keep(df, purpose, **options):
+        kept = tables.stored(df, purpose, **options)
+        written.append((purpose, df._jdf.queryExecution().optimizedPlan().toString(), kept.inputFiles()))
+        return kept
+
+    monkeypatch.setattr(module, "stored", keep)
+    pairs = spark.range(200, numPartitions=40).selectExpr("id * 2 AS a", "id * 2 + 1 AS b")
+    links = pairs.unionByName(pairs).mapInArrow(lambda batches: batches, "a long, b long")
+    rows = components(links).collect()
+    assert {row["node"]: row["label"] for row in rows} == {i: i - i % 2 for i in range(400)}
+    plan, files = next((plan, files) for purpose, plan, files in written if purpose == "links")
+    assert plan.count("MapInArrow") == 1
+    assert len(files) <= 4
+
+
+def test_keys_measured_as_too_many_are_not_broadcast(frame, monkeypatch):
+    plans = []
+
+    def keep(df, purpose, **options):
+        kept = tables.stored(df, purpose, **options)
+        if purpose == "minhash-sets":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept
+
+    monkeypatch.setattr(minhash, "stored", keep)
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 1)
+    text = prose(7, 40)
+    rows = minhash.near_duplicates(frame([(1, text), (2, text + " end"), (3, "another one")])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 1, 3: 3}
+    assert len(plans) == 1 and "Broadcast" not in plans[0] and "SortMergeJoin" in plans[0]
